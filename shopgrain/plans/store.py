@@ -1,0 +1,82 @@
+"""Tables that are kept from run to run, as Parquet segments with a commit log.
+
+A run writes its rows to a directory of its own and then adds one row to the log. Readers only see
+logged segments, the path being read is never overwritten, and a repeated run is recognised by its id.
+One writer at a time is assumed, as for any table without a transaction service.
+"""
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+COMMIT = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("replaces", T.BooleanType()),
+    ]
+)
+
+
+class StoredTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        partition_by: tuple[str, ...] = (),
+    ):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by = partition_by
+
+    def commits(self) -> list:
+        """The log, oldest first: one short row per run."""
+        try:
+            log = self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits")
+            return sorted(log.collect())
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+
+    def has_run(self, run_id: str) -> bool:
+        return any(c.run_id == run_id for c in self.commits())
+
+    def read(self) -> DataFrame:
+        """Rows of the latest snapshot and the segments after it; empty before the first run.
+
+        Columns that an older segment lacks read as null.
+        """
+        live = []
+        for commit in self.commits():
+            live = [commit] if commit.replaces else [*live, commit]
+        if not live:
+            return self.spark.createDataFrame([], self.schema)
+        table = (
+            self.spark.read.schema(self.schema)
+            .option("basePath", f"{self.path}/segments")
+            .parquet(*(self._segment(c.run_id) for c in live))
+        )
+        return table.select(*self.schema.fieldNames())
+
+    def append(self, rows: DataFrame, run_id: str) -> None:
+        self._commit(rows, run_id, replaces=False)
+
+    def replace(self, rows: DataFrame, run_id: str) -> None:
+        self._commit(rows, run_id, replaces=True)
+
+    def _segment(self, run_id: str) -> str:
+        return f"{self.path}/segments/run={run_id}"
+
+    def _commit(self, rows: DataFrame, run_id: str, replaces: bool) -> None:
+        done = self.commits()
+        if any(c.run_id == run_id for c in done):
+            return
+        rows = rows.select(*self.schema.fieldNames())
+        if self.partition_by:
+            # AQE splits a hot table over many tasks and merges small ones into few files.
+            rows = rows.hint("rebalance", *self.partition_by)
+        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._segment(run_id))
+        entry = [(len(done) + 1, run_id, replaces)]
+        self.spark.createDataFrame(entry, COMMIT).coalesce(1).write.mode("append").parquet(
+            f"{self.path}/commits"
+        )
