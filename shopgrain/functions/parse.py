@@ -4,7 +4,7 @@ from pyspark.sql import Column, functions as F
 
 from shopgrain import fixed_values as V
 from shopgrain import schema as S
-from shopgrain.functions.text import WS, blank_to_null, col, strip_ws
+from shopgrain.functions.text import blank_to_null, col, strip_ws
 
 
 def price_number(x) -> Column:
@@ -22,8 +22,9 @@ def stock_count(x) -> Column:
 
 def rating_word(css_class) -> Column:
     """First token of a class list that is a rating word (case-sensitive)."""
-    tokens = F.split(col(css_class), rf"{WS}+")
-    return F.get(F.filter(tokens, lambda t: t.isin(list(V.RATING_NUMBERS))), 0)
+    words = "|".join(V.RATING_NUMBERS)
+    token = r"(?U)(?:^|[\s\x1c-\x1f])(" + words + r")(?![^\s\x1c-\x1f])"
+    return F.nullif(F.regexp_extract(col(css_class), token, 1), F.lit(""))
 
 
 def rating_number(word) -> Column:

@@ -4,8 +4,12 @@ from pyspark.sql import Column, functions as F
 
 from shopgrain import fixed_values as V
 
-# Unicode whitespace plus the four ASCII separator controls.
+# Unicode whitespace plus the four ASCII separator controls: as a pattern, and as characters, which
+# trim without a pattern search.
 WS = r"(?U)[\s\x1c-\x1f]"
+WS_CHARS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
 
 
 def col(x) -> Column:
@@ -14,7 +18,7 @@ def col(x) -> Column:
 
 def strip_ws(x) -> Column:
     """Drop whitespace of any kind at both ends."""
-    return F.regexp_replace(col(x), rf"^{WS}+|{WS}+$", "")
+    return F.btrim(col(x), F.lit(WS_CHARS))
 
 
 def blank_to_null(x) -> Column:

@@ -25,32 +25,39 @@ def decode_entities(x) -> Column:
 
 
 def _character(ref: Column) -> Column:
-    pairs = [F.lit(v) for name, code in REFERENCE_CODES.items() for v in (name, code)]
+    codes = ",".join(f"{name}:{code}" for name, code in REFERENCE_CODES.items())
+    named = F.str_to_map(F.lit(codes), F.lit(","), F.lit(":"))
     body = F.regexp_extract(ref, "^&(.*);$", 1)
     code = (
         F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10).cast("int"))
         .when(body.startswith("#"), F.substring(body, 2, 8).cast("int"))
-        .otherwise(F.try_element_at(F.create_map(*pairs), body))
+        .otherwise(F.try_element_at(named, body).cast("int"))
     )
     legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     utf32 = F.unhex(F.lpad(F.hex(F.when(legal, code).otherwise(F.lit(0xFFFD))), 8, "0"))
     return F.when(code.isNull(), ref).otherwise(F.decode(utf32, "UTF-32"))
 
 
-def element_text(inner_html) -> Column:
-    """Text of an element as shown: tags gone, whitespace squeezed, breaks as new lines."""
+def shown_text(inner_html) -> Column:
+    """Text of an element as shown: tags gone, whitespace squeezed, breaks as new lines.
+
+    Null when nothing is left.
+    """
     lines = F.regexp_replace(squeeze_ws(inner_html), r"(?i) ?<br\s*/?> ?", "\n")
-    return decode_entities(F.regexp_replace(lines, "<[^>]*>", ""))
+    return blank_to_null(decode_entities(F.regexp_replace(lines, "<[^>]*>", "")))
 
 
-def first_text(html, pattern: str) -> Column:
-    """Shown text of the first match's group 1; null when missing or empty."""
-    return blank_to_null(element_text(F.regexp_extract(col(html), pattern, 1)))
+def attribute_value(raw) -> Column:
+    """Decoded attribute; null when empty."""
+    return blank_to_null(decode_entities(raw))
 
 
-def first_attribute(html, pattern: str) -> Column:
-    """Attribute value in the first match's group 1; null when missing or empty."""
-    return blank_to_null(decode_entities(F.regexp_extract(col(html), pattern, 1)))
+def first_match(html, pattern: str) -> Column:
+    """Group 1 of the first match, empty when there is none.
+
+    Select it as a column of its own before it is cleaned, so the page is searched once.
+    """
+    return F.regexp_extract(col(html), pattern, 1)
 
 
 def all_attributes(html, pattern: str) -> Column:

@@ -4,13 +4,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain import fixed_values as V
 from shopgrain.functions.text import rate_line
-from shopgrain.operators.lookup import lookup
+from shopgrain.operators.lookup import fits_broadcast, salted_join
 from shopgrain.operators.ordinal import with_running_totals
 from shopgrain.sources.scratch import materialise
 
 FIRST_GUESS_PAGES = 16
 GUESS_GROWTH = 8
-MAX_DOUBLINGS = 62
+MAX_HOPS = 1 << 60
 
 
 def first_pages(pages: DataFrame, max_pages: int, first_page: int = 1) -> DataFrame:
@@ -108,20 +108,25 @@ def progress_report(
 def walk_chain(nodes: DataFrame, starts: DataFrame, max_pages: int = 0) -> DataFrame:
     """Follow next links from each start: rows ``(start, node, hop)``, hop 0 at the start itself.
 
-    ``nodes(node, next)`` is unique on ``node``. Jumps double in length each round, so a chain of n
-    pages takes about log2(n) joins. A page already reached from the same start is not entered
-    again, so a cycle ends the walk. Rounds are written out, so a lost executor repeats one round
-    at most.
+    ``nodes(node, next)`` is unique on ``node``. The length of a jump grows by a factor each round,
+    so a chain of n pages takes a number of joins that grows with log n. A page already reached from
+    the same start is not entered again, so a cycle ends the walk. Rounds are written out, so a lost
+    executor repeats one round at most.
     """
     pages = materialise(nodes.select("node", "next"), "chain-nodes")
     known = pages.select("node")
-    jumps = materialise(
-        lookup(
-            pages.where("next is not null"), known.withColumnRenamed("node", "next"), ["next"],
-            "left_semi",
-        ),
-        "chain-jumps",
-    )
+    # Longer jumps have the same nodes or fewer, so what fits once always fits.
+    small = fits_broadcast(pages)
+    per_round = 4 if small else 2
+
+    def jump(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+        if small:
+            return left.join(F.broadcast(right), on, how)
+        return salted_join(left, right, [on], how)
+
+    linked = pages.where("next is not null")
+    jumps = jump(linked, known.withColumnRenamed("node", "next"), "next", "left_semi")
+    jumps = materialise(jumps.select("node", "next"), "chain-jumps")
     reached = materialise(
         starts.select(F.col("node").alias("start"), "node").distinct()
         .join(known, "node", "left_semi")
@@ -129,25 +134,24 @@ def walk_chain(nodes: DataFrame, starts: DataFrame, max_pages: int = 0) -> DataF
         "chain-reached",
     )
     n_reached = reached.count()
-    for doubling in range(MAX_DOUBLINGS):
-        length = 1 << doubling
-        if max_pages > 0 and length >= max_pages:
-            break
-        moved = lookup(reached, jumps, ["node"], "inner").select(
-            "start", F.col("next").alias("node"), (F.col("hop") + length).alias("hop")
-        )
+    length = 1
+    while (max_pages <= 0 or length < max_pages) and length <= MAX_HOPS:
+        moved = everywhere = reached
+        further = jumps
+        for _ in range(per_round - 1):
+            moved = jump(moved, jumps, "node").select(
+                "start", F.col("next").alias("node"), (F.col("hop") + length).alias("hop")
+            )
+            everywhere = everywhere.unionByName(moved)
+            onward = jumps.select(F.col("node").alias("next"), F.col("next").alias("far"))
+            further = jump(further, onward, "next").select("node", F.col("far").alias("next"))
         reached = materialise(
-            reached.unionByName(moved).groupBy("start", "node").agg(F.min("hop").alias("hop")),
-            "chain-reached",
+            everywhere.groupBy("start", "node").agg(F.min("hop").alias("hop")), "chain-reached"
         )
         n_now = reached.count()
         if n_now == n_reached:
             break
         n_reached = n_now
-        second = jumps.select(F.col("node").alias("mid"), F.col("next").alias("far"))
-        first = jumps.select("node", F.col("next").alias("mid"))
-        jumps = materialise(
-            lookup(first, second, ["mid"], "inner").select("node", F.col("far").alias("next")),
-            "chain-jumps",
-        )
+        length *= per_round
+        jumps = materialise(further, "chain-jumps")
     return reached.where(F.col("hop") < max_pages) if max_pages > 0 else reached

@@ -38,11 +38,15 @@ def lookup(
 
     A right side measured to be small is broadcast, so the left is not shuffled. Otherwise both
     sides shuffle on the key plus a salt that is non-zero only for hot keys: no task gets more
-    than its share, and only the few hot right rows are copied.
+    than its share, and only the few hot right rows are copied. The left's columns come first, in
+    their order.
     """
     if fits_broadcast(right, max_rows, max_bytes):
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
+        joined = left.join(F.broadcast(right), on, how)
+    else:
+        joined = salted_join(left, right, on, how)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on]
+    return joined.select(*left.columns, *added)
 
 
 def salted_join(

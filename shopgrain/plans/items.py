@@ -16,6 +16,7 @@ from shopgrain.sources.pages import (
     product_records,
     product_texts,
 )
+from shopgrain.sources.scratch import materialise
 
 PARSE_ONLY_LINKED_BELOW = 100_000
 
@@ -80,8 +81,10 @@ def items_from_pages(
     if 0 < max_items <= PARSE_ONLY_LINKED_BELOW:
         # The limit bounds the links, so they can be broadcast to skip other pages' parsing.
         details = details.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
-    records = first_wins(
-        product_records(product_texts(details, patterns)), ["url"], ["title_src"]
+    # Measured and then joined, so the pages are parsed once.
+    records = materialise(
+        first_wins(product_records(product_texts(details, patterns)), ["url"], ["title_src"]),
+        "records",
     )
     captured = lookup(links.select("ord", "url"), records, ["url"])
     return enrich_records(

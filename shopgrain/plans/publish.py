@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shopgrain import fixed_values as V
 from shopgrain import schema as S
@@ -35,32 +35,39 @@ def export(
     spark = items.sparkSession
     root = f"{out_dir.rstrip('/')}/{name}_{run_ts:%Y%m%d_%H%M%S}"
     items_path, dash_path = f"{root}/{V.ALL_SHEET}", f"{root}/{V.DASHBOARD_SHEET}"
-    items.write.format(fmt).options(**_options(fmt)).save(items_path)
-    written = _read(spark, items_path, items.schema, fmt)
+    if fmt == "parquet":
+        _write(items, items_path, fmt)
+        written = _read(spark, items_path, items.schema, fmt)
+    else:
+        written = materialise(items, "items")
+        _write(written, items_path, fmt)
     if written.isEmpty():
         path = f"{root}/{V.MESSAGE_SHEET}"
         _write(placeholder_if_empty(written).coalesce(1), path, fmt)
         return Export(root, message=path)
 
-    _write(in_report_order(dashboard(written)), dash_path, fmt)
-    sheets_path = f"{root}/sheets"
-    labels = _read(spark, dash_path, S.DASHBOARD, fmt).withColumnRenamed(
-        "category", "category_label"
-    )
+    dash = materialise(dashboard(written), "dashboard")
+    _write(in_report_order(dash), dash_path, fmt)
+    labels = dash.select(F.col("category").alias("category_label"))
     names = materialise(sheet_names(labels), "sheet-names")
+    sheets_path = f"{root}/sheets"
     # AQE splits a hot sheet over many tasks and merges small ones into few files.
     by_sheet = lookup(written, names, ["category_label"], "inner").hint("rebalance", "sheet")
-    by_sheet.write.format(fmt).options(**_options(fmt)).partitionBy("sheet").save(sheets_path)
+    _write(by_sheet, sheets_path, fmt, "sheet")
     return Export(root, items_path, dash_path, sheets_path)
 
 
-def read_sheets(spark, exported: Export, items_schema, fmt: str = "parquet") -> DataFrame:
+def read_sheets(
+    spark: SparkSession, exported: Export, items_schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
     """All category sheets of an export as one table with its ``sheet`` column."""
     sheet = T.StructField("sheet", T.StringType())
     return _read(spark, exported.sheets, T.StructType([*items_schema.fields, sheet]), fmt)
 
 
-def sheet_report(spark, exported: Export, items_schema, fmt: str = "parquet") -> DataFrame:
+def sheet_report(
+    spark: SparkSession, exported: Export, items_schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
     """Rows per sheet of an export, counted from what was written."""
     if exported.message:
         one = spark.range(1).select(F.lit(V.MESSAGE_SHEET).alias("sheet"))
@@ -77,13 +84,21 @@ def sheet_report(spark, exported: Export, items_schema, fmt: str = "parquet") ->
     )
 
 
-def _options(fmt: str) -> dict:
-    return {"header": "true"} if fmt == "csv" else {}
+# Text leaves and returns as it is, with its spaces and line breaks.
+OPTIONS = {
+    "csv": {
+        "header": True,
+        "multiLine": True,
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+}
 
 
-def _write(df: DataFrame, path: str, fmt: str) -> None:
-    df.write.format(fmt).options(**_options(fmt)).save(path)
+def _write(df: DataFrame, path: str, fmt: str, *partition_by: str) -> None:
+    writer = df.write.format(fmt).options(**OPTIONS.get(fmt, {}))
+    writer.partitionBy(*partition_by).save(path)
 
 
-def _read(spark, path: str, schema, fmt: str) -> DataFrame:
-    return spark.read.schema(schema).format(fmt).options(**_options(fmt)).load(path)
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    return spark.read.schema(schema).format(fmt).options(**OPTIONS.get(fmt, {})).load(path)

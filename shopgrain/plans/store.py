@@ -6,7 +6,9 @@ One writer at a time is assumed, as for any table without a transaction service.
 """
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from shopgrain.operators.keyed import conform
 
 COMMIT = T.StructType(
     [
@@ -50,7 +52,7 @@ class StoredTable:
         for commit in self.commits():
             live = [commit] if commit.replaces else [*live, commit]
         if not live:
-            return self.spark.createDataFrame([], self.schema)
+            return conform(self.spark.range(0), self.schema)
         table = (
             self.spark.read.schema(self.schema)
             .option("basePath", f"{self.path}/segments")
@@ -76,7 +78,9 @@ class StoredTable:
             # AQE splits a hot table over many tasks and merges small ones into few files.
             rows = rows.hint("rebalance", *self.partition_by)
         rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._segment(run_id))
-        entry = [(len(done) + 1, run_id, replaces)]
-        self.spark.createDataFrame(entry, COMMIT).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
+        entry = self.spark.range(1, numPartitions=1).select(
+            F.lit(len(done) + 1).cast("bigint").alias("version"),
+            F.lit(run_id).alias("run_id"),
+            F.lit(replaces).alias("replaces"),
         )
+        entry.write.mode("append").parquet(f"{self.path}/commits")

@@ -50,18 +50,18 @@ def routed(catalog: Catalog, items: DataFrame) -> DataFrame:
     ``route`` is 0 for the table of all items. Items without a usable key go nowhere. Sheets whose
     names become the same table name share that table.
     """
-    names = materialise(sheet_names(items), "sheet-names")
-    with_sheets = lookup(usable_key(items), names, ["category_label"])
-    all_items = F.struct(F.lit(0).alias("route"), F.lit(V.ALL_SHEET).alias("sheet"))
-    own_sheet = F.struct(F.lit(1).alias("route"), F.col("sheet"))
-    routes = F.when(F.col("sheet").isNull(), F.array(all_items)).otherwise(
-        F.array(all_items, own_sheet)
+    names = materialise(
+        sheet_names(items).select("category_label", catalog.table("sheet").alias("own_table")),
+        "tables",
     )
-    return (
-        with_sheets.withColumn("_to", F.explode(routes))
-        .withColumn("table_name", catalog.table(F.col("_to.sheet")))
-        .withColumn("route", F.col("_to.route"))
-        .drop("_to", "sheet")
+    with_tables = lookup(usable_key(items), names, ["category_label"])
+    to_all = F.struct(
+        F.lit(0).alias("route"), catalog.table(F.lit(V.ALL_SHEET)).alias("table_name")
+    )
+    to_own = F.struct(F.lit(1).alias("route"), F.col("own_table").alias("table_name"))
+    routes = F.when(F.col("own_table").isNull(), F.array(to_all)).otherwise(F.array(to_all, to_own))
+    return with_tables.select(*items.columns, F.explode(routes).alias("_to")).select(
+        *items.columns, "_to.*"
     )
 
 

@@ -6,7 +6,7 @@ one projection, so ``html`` is read once and dropped before anything is shuffled
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.functions.parse import (
     low_stock,
@@ -18,9 +18,10 @@ from shopgrain.functions.parse import (
 from shopgrain.functions.text import blank_to_null
 from shopgrain.functions.web import (
     all_attributes,
-    first_attribute,
-    first_text,
+    attribute_value,
+    first_match,
     resolve_link,
+    shown_text,
 )
 
 
@@ -62,33 +63,47 @@ def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
 
 def next_pages(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Chain of listing pages: ``(node, next)``, next null at the end."""
-    href = first_attribute("html", patterns.next_link)
-    return pages.select(F.col("url").alias("node"), resolve_link("url", href).alias("next"))
+    raw = pages.select("url", first_match("html", patterns.next_link).alias("raw"))
+    hrefs = raw.select("url", attribute_value("raw").alias("href"))
+    return hrefs.select(F.col("url").alias("node"), resolve_link("url", "href").alias("next"))
 
 
 def page_fields(pages: DataFrame, texts: dict[str, str], attributes: dict[str, str]) -> DataFrame:
     """Named element texts and attributes beside the page's own columns, without ``html``."""
-    found: dict[str, Column] = {k: first_text("html", p) for k, p in texts.items()}
-    found |= {k: first_attribute("html", p) for k, p in attributes.items()}
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(*kept, *(c.alias(k) for k, c in found.items()))
+    raw = pages.select(
+        *kept, *(first_match("html", p).alias(k) for k, p in {**texts, **attributes}.items())
+    )
+    return raw.select(
+        *kept,
+        *(shown_text(k).alias(k) for k in texts),
+        *(attribute_value(k).alias(k) for k in attributes),
+    )
 
 
 def product_texts(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Raw texts of one product per detail page; a missing element gives null."""
-    crumbs = F.split(F.regexp_extract("html", patterns.breadcrumb, 1), patterns.breadcrumb_item)
+    crumbs = F.split(first_match("html", patterns.breadcrumb), patterns.breadcrumb_item)
     blocks = pages.select(
         "url",
-        F.regexp_extract("html", patterns.main_block, 1).alias("main"),
+        first_match("html", patterns.main_block).alias("main"),
         F.get(crumbs, patterns.category_position).alias("crumb"),
     )
-    return blocks.select(
+    raw = blocks.select(
+        "url",
+        first_match("main", patterns.title).alias("title"),
+        first_match("main", patterns.price).alias("price_text"),
+        first_match("main", patterns.rating_class).alias("rating_class"),
+        first_match("main", patterns.availability).alias("availability"),
+        first_match("crumb", patterns.category_link).alias("category"),
+    )
+    return raw.select(
         "url",
-        first_text("main", patterns.title).alias("title"),
-        first_text("main", patterns.price).alias("price_text"),
-        first_attribute("main", patterns.rating_class).alias("rating_class"),
-        first_text("main", patterns.availability).alias("availability"),
-        first_text("crumb", patterns.category_link).alias("category"),
+        shown_text("title").alias("title"),
+        shown_text("price_text").alias("price_text"),
+        attribute_value("rating_class").alias("rating_class"),
+        shown_text("availability").alias("availability"),
+        shown_text("category").alias("category"),
     )
 
 

@@ -1,0 +1,87 @@
+import pytest
+
+from pyspark.sql import functions as F
+from shopgrain import fixed_values as V
+from shopgrain.operators import capture
+
+COUNTS = [3, 0, 2, 5, 1] + [1] * 40
+
+
+def listing(spark):
+    rows = [(i + 1, f"p{i + 1}", [f"u{i + 1}-{j}" for j in range(n)]) for i, n in enumerate(COUNTS)]
+    return spark.createDataFrame(rows, "page_no bigint, page_url string, links array<string>")
+
+
+ALL = [(i + 1, j, f"u{i + 1}-{j}") for i, n in enumerate(COUNTS) for j in range(n)]
+
+
+@pytest.mark.parametrize(
+    "max_items, max_pages", [(0, 0), (4, 0), (0, 4), (7, 3), (7, 100), (1000, 0), (3, 2), (35, 0)]
+)
+def test_limits(spark, max_items, max_pages):
+    got = capture.capture_links(listing(spark), max_items, max_pages).orderBy("ord").collect()
+    expected = [r for r in ALL if not max_pages or r[0] <= max_pages]
+    expected = expected[:max_items] if max_items else expected
+    assert [(r.page_no, r.pos, r.url) for r in got] == expected
+    assert [r.ord for r in got] == list(range(1, len(expected) + 1))
+
+
+def test_page_limit_reaches_the_scan(spark, tmp_path):
+    listing(spark).write.parquet(str(tmp_path / "l"))
+    pages = capture.first_pages(spark.read.parquet(str(tmp_path / "l")), 3)
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(page_no,4)" in plan
+
+
+def lines(spark, max_items, max_pages, rate=None):
+    counts = listing(spark).select("page_no", F.size("links").cast("bigint").alias("links"))
+    report = capture.progress_report(
+        counts, F.lit(rate).cast("decimal(18,6)"), max_items, max_pages
+    )
+    return [r.line for r in report.orderBy("seq").collect()]
+
+
+def test_progress_lines_and_reasons(spark):
+    whole = lines(spark, 0, 0, "6.5")
+    assert whole[0] == "Taxa GBP->BRL carregada: 6.5000"
+    assert whole[1] == "Pagina 1 | produtos_encontrados=3 | total_capturados=0"
+    assert whole[3] == "Pagina 3 | produtos_encontrados=2 | total_capturados=3"
+    assert whole[-1] == V.NO_NEXT_PAGE_LINE and len(whole) == len(COUNTS) + 2
+
+    paged = lines(spark, 0, 2)
+    assert paged[0] == V.NO_RATE_LINE
+    assert paged[-1] == V.PAGE_LIMIT_LINE % 2 and len(paged) == 4
+
+    # The item limit is tested first.
+    both = lines(spark, 4, 3)
+    assert both[-1] == V.ITEM_LIMIT_LINE % 4 and len(both) == 5
+    assert lines(spark, 3, 1)[-1] == V.ITEM_LIMIT_LINE % 3
+
+
+def brute_walk(nodes, starts, max_pages):
+    found = set()
+    for s in starts:
+        node, hop, seen = s, 0, set()
+        while node in nodes and node not in seen and (not max_pages or hop < max_pages):
+            seen.add(node)
+            found.add((s, node, hop))
+            node, hop = nodes[node], hop + 1
+    return found
+
+
+NODES = {
+    **{f"a{i}": f"a{i + 1}" for i in range(37)}, "a37": None,
+    "r1": "r2", "r2": "r3", "r3": "r4", "r4": "r2", "self": "self", "gone": "nowhere",
+    **{f"in{i}": "a20" for i in range(30)},
+}
+STARTS = ["a0", "a30", "r1", "self", "gone", "missing", "a37", *(f"in{i}" for i in range(30))]
+
+
+@pytest.mark.parametrize("max_pages", [0, 1, 2, 5, 16])
+@pytest.mark.parametrize("small", [True, False])
+def test_chain_walk(spark, monkeypatch, max_pages, small):
+    monkeypatch.setattr(capture, "fits_broadcast", lambda df: small)
+    nodes = spark.createDataFrame(list(NODES.items()), "node string, next string")
+    starts = spark.createDataFrame([(s,) for s in STARTS], "node string")
+    got = capture.walk_chain(nodes, starts, max_pages)
+    assert {tuple(r) for r in got.collect()} == brute_walk(NODES, STARTS, max_pages)

@@ -1,0 +1,89 @@
+from datetime import datetime
+
+import pytest
+
+from pyspark.sql import functions as F
+from shopgrain import schema as S
+from shopgrain.operators.keyed import first_wins
+from shopgrain.plans.store import StoredTable
+from shopgrain.plans.sync import Catalog
+from shopgrain.streaming.ingest import append_new_keys, file_stream, first_seen_keys, sync_batches
+from tests.conftest import SF_DIR
+from tests.helpers import sorted_rows
+from tests.samples import FIRST, SECOND, items
+
+TS = datetime(2024, 2, 1)
+
+
+@pytest.fixture()
+def events(spark):
+    return spark.read.parquet(f"{SF_DIR}/events.parquet")
+
+
+def arrive(df, path):
+    df.coalesce(1).write.mode("append").parquet(str(path))
+
+
+def test_two_batches_equal_one(spark, tmp_path, events):
+    source, schema = tmp_path / "in", events.schema
+    target = StoredTable(spark, str(tmp_path / "target"), schema)
+    cut = F.lit("2024-01-10").cast("timestamp_ntz")
+    expected = first_wins(events, ["user_id", "event_type"], ["ts", "event_id"])
+    for part in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)):
+        arrive(part, source)
+        append_new_keys(
+            file_stream(spark, str(source), schema), target, ["user_id", "event_type"],
+            ["ts", "event_id"], str(tmp_path / "check"),
+        ).awaitTermination()
+    assert len(target.commits()) == 2
+    assert sorted_rows(target.read()) == sorted_rows(expected)
+
+
+def test_a_repeated_batch_adds_nothing(spark, tmp_path, events):
+    source = tmp_path / "in"
+    arrive(events, source)
+    target = StoredTable(spark, str(tmp_path / "target"), events.schema)
+    for check in ("a", "b"):  # a lost checkpoint starts the batches over
+        append_new_keys(
+            file_stream(spark, str(source), events.schema), target, ["user_id"],
+            ["ts", "event_id"], str(tmp_path / check),
+        ).awaitTermination()
+    assert target.read().count() == events.select("user_id").distinct().count()
+    assert len(target.commits()) == 1
+
+
+def test_null_keys_are_skipped(spark, tmp_path):
+    source, schema = tmp_path / "in", "k string, n bigint"
+    df = spark.createDataFrame([("a", 1), (None, 2), ("a", 0)], schema)
+    arrive(df, source)
+    target = StoredTable(spark, str(tmp_path / "t"), df.schema)
+    append_new_keys(
+        file_stream(spark, str(source), df.schema), target, ["k"], ["n"], str(tmp_path / "c")
+    ).awaitTermination()
+    assert sorted_rows(target.read()) == [("a", 0)]
+
+
+def test_first_seen_keys_in_small_batches(spark, tmp_path, events):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for _ in range(3):
+        arrive(events, source)
+    stream = file_stream(spark, str(source), events.schema, max_files_per_trigger=1)
+    first_seen_keys(stream, ["user_id"]).writeStream.option(
+        "checkpointLocation", str(tmp_path / "c")
+    ).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.count() == got.distinct().count() == events.select("user_id").distinct().count()
+
+
+def test_dashboard_covers_the_current_batch(spark, tmp_path):
+    source, catalog = tmp_path / "in", Catalog(spark, str(tmp_path / "catalog"))
+    for rows in (FIRST, SECOND):
+        arrive(items(spark, rows), source)
+        sync_batches(
+            file_stream(spark, str(source), S.ITEM), lambda df: df, catalog, str(tmp_path / "c"),
+            run_ts=TS,
+        ).awaitTermination()
+    dash = {r.category: (r.item_count, r.avg_price) for r in catalog.dashboard.read().collect()}
+    assert dash == {"arte": (2, 53.5), "viagem": (1, 5.0), " ": (1, 2.0), "poesia": (1, 5.0)}
+    todos = catalog.items.read().where("table_name = 'catalog.items_todos'")
+    assert sorted(r.url for r in todos.collect()) == ["u1", "u2", "u3", "u4", "u5", "u9"]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shopgrain import schema as S
 from shopgrain.functions import parse, text, web
 from shopgrain.operators import capture, enrich, keyed
-from shopgrain.operators.dashboard import dashboard, in_report_order
+from shopgrain.operators.dashboard import dashboard, in_report_order, labelled_dashboard
 from shopgrain.operators.lookup import lookup, salted_join
 from shopgrain.operators.ordinal import with_ordinal
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names
@@ -66,8 +66,7 @@ def dashboard_offers(spark, sf_dir):
     offers = lookup(W.offers_large(W.table(spark, sf_dir, "lineitem")), parts, ["l_partkey"])
     priced = enrich.with_price(offers, enrich.run_rate(W.rates(spark)))
     flagged = priced.withColumn("low_stock", parse.low_stock("stock"))
-    labelled = enrich.with_label(flagged, labels=W.labels(spark))
-    return in_report_order(dashboard(labelled))
+    return in_report_order(labelled_dashboard(flagged, W.labels(spark)))
 
 
 def dashboard_offers_salted(spark, sf_dir):

@@ -48,16 +48,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    def sql(v):
+        return "NULL" if v is None else f"'{v}'" if isinstance(v, str) else f"{v}D"
+
+    values = ", ".join(f"({', '.join(sql(v) for v in row)})" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({schema})")
+
+
 def labels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELS, "key string, label string")
+    return _inline(spark, LABELS, "key, label")
 
 
 def translations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRANSLATIONS, "key string, translated string")
+    return _inline(spark, TRANSLATIONS, "key, translated")
 
 
 def rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(r,) for r in RATES], "rate double")
+    return _inline(spark, [(r,) for r in RATES], "rate")
 
 
 def offers_raw(part: DataFrame) -> DataFrame:
