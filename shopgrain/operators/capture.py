@@ -14,7 +14,10 @@ MAX_HOPS = 1 << 60
 
 
 def first_pages(pages: DataFrame, max_pages: int, first_page: int = 1) -> DataFrame:
-    """The pages within the page limit; 0 means no limit. The filter reaches the scan."""
+    """The pages within the page limit; 0 means no limit. The filter reaches the scan.
+
+    Pages are numbered without gaps from ``first_page``.
+    """
     if max_pages <= 0:
         return pages
     return pages.where(F.col("page_no") < F.lit(first_page + max_pages))
@@ -31,7 +34,7 @@ def capture_links(
     pages = first_pages(page_links, max_pages, first_page)
     if max_items > 0:
         pages = _pages_that_fill(pages, max_items, first_page)
-    counted = materialise(pages.withColumn("n_links", F.size("links")), "page-links")
+    counted = pages.withColumn("n_links", F.size("links"))
     placed = with_running_totals(counted, "page_no", {"before": "n_links"})
     if max_items > 0:
         placed = placed.where(F.col("before") < max_items)

@@ -1,78 +1,71 @@
-"""Running totals and ordinals over whole tables without a single-task sort."""
+"""Ordinals and running totals over whole tables without a single-task sort.
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+Rows are range-partitioned in the wanted order and written out with their place in the partition. Per
+partition one row meets in a single task to give each partition its start, and that small table, no
+longer than the number of partitions, is broadcast back.
+"""
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from shopgrain.sources.scratch import materialise
 
-PAGES_PER_BLOCK = 4096
 INDEX_MASK = (1 << 33) - 1
 
 
-def with_running_totals(
-    pages: DataFrame, page_no: str, totals: dict[str, Column | str]
+def with_ordinal(
+    df: DataFrame, order_by: list[str], out: str = "ord", partitions: int | None = None
 ) -> DataFrame:
-    """Add, per page, the total of each measure over the pages before it.
+    """Number all rows 1..n in the order of ``order_by``.
 
-    ``page_no`` is a unique integer, so a block of page numbers holds a bounded number of rows.
-    Each block is summed in its own window; only one row per block meets in a single task.
+    The whole row takes part in the order, so neither a hot leading key nor copies of one row fill a
+    task.
     """
-    measures = {k: F.col(v) if isinstance(v, str) else v for k, v in totals.items()}
-    blocked = pages.withColumns(
-        {
-            "_block": F.floor(F.col(page_no) / PAGES_PER_BLOCK),
-            **{f"_m_{k}": v.cast("bigint") for k, v in measures.items()},
-        }
-    )
-    earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    block_start = (
-        blocked.groupBy("_block")
-        .agg(*(F.sum(f"_m_{k}").alias(f"_s_{k}") for k in measures))
-        .select(
-            "_block",
-            *(
-                F.coalesce(F.sum(f"_s_{k}").over(earlier_blocks), F.lit(0)).alias(f"_b_{k}")
-                for k in measures
-            ),
-        )
-    )
-    earlier_pages = (
-        Window.partitionBy("_block").orderBy(page_no).rowsBetween(Window.unboundedPreceding, -1)
+    order = [*order_by, *(c for c in df.columns if c not in order_by)]
+    placed = _placed(df, order, partitions)
+    start = (
+        placed.groupBy("_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_part", _before("_n", Window.orderBy("_part"), "_start"))
     )
-    within = blocked.withColumns(
-        {f"_w_{k}": F.coalesce(F.sum(f"_m_{k}").over(earlier_pages), F.lit(0)) for k in measures}
+    return placed.join(F.broadcast(start), "_part").select(
+        *df.columns, (F.col("_start") + F.col("_index") + 1).alias(out)
     )
-    return within.join(block_start, "_block").select(
+
+
+def with_running_totals(
+    pages: DataFrame, page_no: str, totals: dict[str, Column | str], partitions: int | None = None
+) -> DataFrame:
+    """Add, per page, the total of each measure over the pages before it; ``page_no`` is unique."""
+    measures = {k: F.col(v) if isinstance(v, str) else v for k, v in totals.items()}
+    measured = pages.withColumns({f"_m_{k}": v.cast("bigint") for k, v in measures.items()})
+    placed = _placed(measured, [page_no], partitions)
+    sums = placed.groupBy("_part").agg(*(F.sum(f"_m_{k}").alias(f"_s_{k}") for k in measures))
+    parts, rows = Window.orderBy("_part"), Window.partitionBy("_part").orderBy("_index")
+    start = sums.select("_part", *(_before(f"_s_{k}", parts, f"_b_{k}") for k in measures))
+    within = placed.select("*", *(_before(f"_m_{k}", rows, f"_w_{k}") for k in measures))
+    return within.join(F.broadcast(start), "_part").select(
         *pages.columns, *((F.col(f"_b_{k}") + F.col(f"_w_{k}")).alias(k) for k in measures)
     )
 
 
-def with_ordinal(
-    df: DataFrame, order_by: list[str], out: str = "ord", partitions: int | None = None
-) -> DataFrame:
-    """Number all rows 1..n in the order of ``order_by``.
+def _before(measure: str, window: WindowSpec, name: str) -> Column:
+    """Total of a measure over the earlier rows of the window."""
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(measure).over(earlier), F.lit(0)).alias(name)
+
+
+def _placed(df: DataFrame, order: list[str], partitions: int | None) -> DataFrame:
+    """``df`` in ranges of ``order``: the range in ``_part``, the place in it in ``_index``.
 
-    Rows are range-partitioned on the whole row, so neither a hot leading key nor copies of one row
-    fill a task. They are written out before they are counted, because range bounds come from a
-    sample and must not change between the two reads.
+    It is written out, because range bounds come from a sample and must not change between reads.
+    Copies of one row are kept apart by the partition they come from.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [*order_by, *(c for c in df.columns if c not in order_by)]
-    placed = materialise(
+    placed = (
         df.withColumn("_from", F.spark_partition_id())
         .repartitionByRange(n, *order, "_from")
         .sortWithinPartitions(*order, "_from")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_index", F.monotonically_increasing_id().bitwiseAND(F.lit(INDEX_MASK)))
-        .drop("_from"),
-        "ordinal",
-    )
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    start = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    )
-    # One row per range partition, so the broadcast is bounded by the partition count.
-    return placed.join(F.broadcast(start), "_part").select(
-        *df.columns, (F.col("_start") + F.col("_index") + 1).alias(out)
     )
+    return materialise(placed.drop("_from"), "placed")

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from shopgrain import schema as S
+from shopgrain.operators.keyed import conform
 from shopgrain.plans.publish import export, read_sheets, sheet_report
 from shopgrain.plans.run import publish_run
 from shopgrain.plans.store import StoredTable
@@ -121,16 +122,17 @@ def test_whole_run(spark, tmp_path):
 
 
 def test_a_hot_sheet_is_written_by_many_tasks(spark, tmp_path):
-    hot = items(spark, FIRST[:1]).drop("url", "ord").crossJoin(
-        spark.range(200_000).selectExpr("concat('u', id) AS url", "id AS ord")
+    urls = spark.range(200_000).selectExpr(
+        "concat('u', id) AS url", "id AS ord", "'t' AS title", "'arte' AS category_label"
     )
+    hot = conform(urls, S.ITEM)
     for key, value in {
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
         "spark.sql.files.maxPartitionBytes": "200k",
     }.items():
         spark.conf.set(key, value)
     try:
-        exported = export(hot.select(*S.ITEM.names).repartition(16), str(tmp_path), TS)
+        exported = export(hot.repartition(16), str(tmp_path), TS)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

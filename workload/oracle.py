@@ -364,7 +364,7 @@ SHEET_CATEGORIES = """cats AS (
         WHEN 4 THEN 'a:b/[c]*d?e' WHEN 5 THEN NULL
         ELSE 'Shop/' || p_name || ' [' || p_type || ']: ' || p_brand END AS category_label
     FROM part)"""
-ORACLE["unique_sheet_names"] = f"""WITH {SHEET_CATEGORIES}, {sheets("cats", "category_label")}
+ORACLE["sheet_names"] = f"""WITH {SHEET_CATEGORIES}, {sheets("cats", "category_label")}
     SELECT label AS category_label, sheet FROM named ORDER BY label"""
 ORACLE["table_names"] = f"""WITH {SHEET_CATEGORIES}, names AS (
     SELECT url AS name FROM pages

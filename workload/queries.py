@@ -10,7 +10,7 @@ from shopgrain.operators import capture, enrich, keyed
 from shopgrain.operators.dashboard import dashboard, in_report_order, labelled_dashboard
 from shopgrain.operators.lookup import lookup, salted_join
 from shopgrain.operators.ordinal import with_ordinal
-from shopgrain.operators.sheets import placeholder_if_empty, sheet_names
+from shopgrain.operators.sheets import placeholder_if_empty, sheet_names as names_of_sheets
 from shopgrain.plans.items import items_from_offers, items_from_pages
 from shopgrain.plans.publish import export, sheet_report
 from shopgrain.plans.store import StoredTable
@@ -290,8 +290,8 @@ def table_names(spark, sf_dir):
     )
 
 
-def unique_sheet_names(spark, sf_dir):
-    return sheet_names(W.sheet_categories(W.table(spark, sf_dir, "part"))).orderBy(
+def sheet_names(spark, sf_dir):
+    return names_of_sheets(W.sheet_categories(W.table(spark, sf_dir, "part"))).orderBy(
         "category_label"
     )
 
@@ -464,7 +464,7 @@ QUERIES = {
         payload_tables,
         quote_keys,
         table_names,
-        unique_sheet_names,
+        sheet_names,
         first_wins,
         new_rows,
         existing_rows,
