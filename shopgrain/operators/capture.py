@@ -34,7 +34,8 @@ def capture_links(
     pages = first_pages(page_links, max_pages, first_page)
     if max_items > 0:
         pages = _pages_that_fill(pages, max_items, first_page)
-    counted = pages.withColumn("n_links", F.size("links"))
+    # Placing reads its input twice, so the pages are parsed into a table of their own first.
+    counted = materialise(pages.withColumn("n_links", F.size("links")), "page-links")
     placed = with_running_totals(counted, "page_no", {"before": "n_links"})
     if max_items > 0:
         placed = placed.where(F.col("before") < max_items)

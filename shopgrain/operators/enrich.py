@@ -52,7 +52,7 @@ def with_translation(
     )
     keyed = df.withColumn("_key", blank_to_null(text))
     return (
-        lookup(keyed, answers, ["_key"])
+        lookup(keyed, answers, ["_key"], measure=translations.select("key", "translated"))
         .withColumn(out, F.coalesce("_answer", "_key", text))
         .drop("_key", "_answer")
     )

@@ -31,6 +31,7 @@ def lookup(
     right: DataFrame,
     on: list[str],
     how: str = "left",
+    measure: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -38,10 +39,10 @@ def lookup(
 
     A right side measured to be small is broadcast, so the left is not shuffled. Otherwise both
     sides shuffle on the key plus a salt that is non-zero only for hot keys: no task gets more
-    than its share, and only the few hot right rows are copied. The left's columns come first, in
-    their order.
+    than its share, and only the few hot right rows are copied. ``measure`` is a table no smaller
+    than the right side that is cheaper to measure. The left's columns come first, in their order.
     """
-    if fits_broadcast(right, max_rows, max_bytes):
+    if fits_broadcast(right if measure is None else measure, max_rows, max_bytes):
         joined = left.join(F.broadcast(right), on, how)
     else:
         joined = salted_join(left, right, on, how)
@@ -52,7 +53,10 @@ def lookup(
 def salted_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
 ) -> DataFrame:
-    """Shuffle join with hot left keys spread over ``salts`` buckets; exact for any input."""
+    """Shuffle join with hot left keys spread over ``salts`` buckets; exact for any input.
+
+    The left's key columns are read once more for the sketch.
+    """
     hot = F.broadcast(hot_key_hashes(left, on))
     key_hash = F.xxhash64(*on)
 

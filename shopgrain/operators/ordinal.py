@@ -2,7 +2,8 @@
 
 Rows are range-partitioned in the wanted order and written out with their place in the partition. Per
 partition one row meets in a single task to give each partition its start, and that small table, no
-longer than the number of partitions, is broadcast back.
+longer than the number of partitions, is broadcast back. The input is read twice, once for a sample that
+sets the ranges: pass a written table where it is costly to compute.
 """
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F

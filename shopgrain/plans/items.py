@@ -6,7 +6,7 @@ from shopgrain import schema as S
 from shopgrain.operators.capture import capture_links, walk_chain
 from shopgrain.operators.enrich import run_rate, with_label, with_price, with_translation
 from shopgrain.operators.keyed import conform, first_wins
-from shopgrain.operators.lookup import lookup
+from shopgrain.operators.lookup import fits_broadcast, lookup, salted_join
 from shopgrain.sources.pages import (
     SHOP,
     PagePatterns,
@@ -47,13 +47,18 @@ def listing_in_order(
 ) -> DataFrame:
     """Links of the listing pages reached from a start page, numbered along the chain from 1.
 
-    Links are cut out before the join with the chain, so no html is shuffled.
+    No html is shuffled: a short chain is broadcast to pick its pages, and for a long one the links
+    are cut out before the join.
     """
     starts = pages.where(F.col("url") == start_url).select(F.col("url").alias("node"))
     chain = walk_chain(next_pages(pages, patterns), starts, max_pages)
-    numbers = chain.select(F.col("node").alias("page_url"), (F.col("hop") + 1).alias("page_no"))
-    links = page_links(pages.withColumn("page_no", F.lit(0)), patterns).drop("page_no")
-    return lookup(links, numbers, ["page_url"], "inner").select("page_no", "page_url", "links")
+    numbers = chain.select(F.col("node").alias("url"), (F.col("hop") + 1).alias("page_no"))
+    texts = pages.select("url", "html")
+    if fits_broadcast(numbers):
+        return page_links(texts.join(F.broadcast(numbers), "url"), patterns)
+    links = page_links(texts.withColumn("page_no", F.lit(0)), patterns).drop("page_no")
+    placed = numbers.withColumnRenamed("url", "page_url")
+    return salted_join(links, placed, ["page_url"], "inner").select("page_no", "page_url", "links")
 
 
 def items_from_pages(
@@ -81,11 +86,11 @@ def items_from_pages(
     if 0 < max_items <= PARSE_ONLY_LINKED_BELOW:
         # The limit bounds the links, so they can be broadcast to skip other pages' parsing.
         details = details.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
-    # Measured and then joined, so the pages are parsed once.
-    records = materialise(
-        first_wins(product_records(product_texts(details, patterns)), ["url"], ["title_src"]),
-        "records",
+    # Measured and then joined, so the pages are parsed once. Of copies, one with a title wins.
+    parsed = product_records(product_texts(details, patterns)).withColumn(
+        "untitled", F.col("title_src").isNull()
     )
+    records = materialise(first_wins(parsed, ["url"], ["untitled"]).drop("untitled"), "records")
     captured = lookup(links.select("ord", "url"), records, ["url"])
     return enrich_records(
         captured.withColumn("low_stock", F.coalesce("low_stock", F.lit(False))),

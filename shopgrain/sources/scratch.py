@@ -6,6 +6,7 @@ executors are lost, and lets every later read prune columns.
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +20,12 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="shopgrain-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shopgrain-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

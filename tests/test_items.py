@@ -64,3 +64,12 @@ def test_a_large_limit_parses_all_pages(spark, shop, monkeypatch):
     monkeypatch.setattr(plan, "PARSE_ONLY_LINKED_BELOW", 1)
     listing, details = shop
     assert titles(plan.items_from_pages(listing, details, max_items=3)) == ["Alpha", "Beta", "Alpha"]
+
+
+def test_a_long_chain_is_joined_after_parsing(spark, shop, monkeypatch):
+    listing, details = shop
+    short = plan.listing_in_order(listing, START)
+    monkeypatch.setattr(plan, "fits_broadcast", lambda df: False)
+    long = plan.listing_in_order(listing, START)
+    assert sorted(map(repr, short.collect())) == sorted(map(repr, long.collect()))
+    assert short.columns == long.columns

@@ -7,9 +7,6 @@ class Conf(dict):
     def get(self, key, default=None):
         return super().get(key, default)
 
-    def set(self, key, value):
-        self[key] = value
-
 
 class Session:
     def __init__(self, **conf):

@@ -142,7 +142,8 @@ def format_prices(spark, sf_dir):
 
 
 def capture_report(spark, sf_dir):
-    items = with_ordinal(_part_items(spark, sf_dir).withColumnRenamed("ord", "key"), ["key"])
+    unnumbered = _part_items(spark, sf_dir).withColumnRenamed("ord", "key")
+    items = with_ordinal(materialise(unnumbered, "items"), ["key"])
     return items.select(
         "ord",
         text.capture_line("ord").alias("line"),
