@@ -38,18 +38,18 @@ def _character(ref: Column) -> Column:
     return F.when(code.isNull(), ref).otherwise(F.decode(utf32, "UTF-32"))
 
 
-def shown_text(inner_html) -> Column:
-    """Text of an element as shown: tags gone, whitespace squeezed, breaks as new lines.
-
-    Null when nothing is left.
-    """
+def bare_text(inner_html) -> Column:
+    """Text of an element: tags gone, whitespace squeezed, breaks as new lines."""
     lines = F.regexp_replace(squeeze_ws(inner_html), r"(?i) ?<br\s*/?> ?", "\n")
-    return blank_to_null(decode_entities(F.regexp_replace(lines, "<[^>]*>", "")))
+    return F.regexp_replace(lines, "<[^>]*>", "")
 
 
-def attribute_value(raw) -> Column:
-    """Decoded attribute; null when empty."""
-    return blank_to_null(decode_entities(raw))
+def decoded(x) -> Column:
+    """Text as shown, its character references decoded; null when nothing is left.
+
+    The text is looked at several times: select it as a column of its own before.
+    """
+    return blank_to_null(decode_entities(x))
 
 
 def first_match(html, pattern: str) -> Column:

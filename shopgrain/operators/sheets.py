@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shopgrain import fixed_values as V
 from shopgrain.functions.text import sheet_base_name
 from shopgrain.operators.dashboard import named_categories
+from shopgrain.sources.scratch import materialise
 
 
 def sheet_names(labelled: DataFrame, label: str = "category_label") -> DataFrame:
@@ -14,7 +15,10 @@ def sheet_names(labelled: DataFrame, label: str = "category_label") -> DataFrame
     name's first characters and ``_2``, ``_3``, ... in category order. Running out of suffixes, or
     two categories ending up with one name, is an error.
     """
-    named = named_categories(labelled, label).withColumn("_base", sheet_base_name(label))
+    # Read four times below, so the categories are picked from the items once.
+    named = materialise(
+        named_categories(labelled, label).withColumn("_base", sheet_base_name(label)), "categories"
+    )
     first = named.groupBy("_base").agg(F.min(label).alias("_first"))
     reserved = F.col("_base").isin(V.ALL_SHEET, V.DASHBOARD_SHEET)
     natural = named.join(first, "_base").withColumn(

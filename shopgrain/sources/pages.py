@@ -18,10 +18,10 @@ from shopgrain.functions.parse import (
 from shopgrain.functions.text import blank_to_null
 from shopgrain.functions.web import (
     all_attributes,
-    attribute_value,
+    bare_text,
+    decoded,
     first_match,
     resolve_link,
-    shown_text,
 )
 
 
@@ -64,21 +64,15 @@ def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
 def next_pages(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Chain of listing pages: ``(node, next)``, next null at the end."""
     raw = pages.select("url", first_match("html", patterns.next_link).alias("raw"))
-    hrefs = raw.select("url", attribute_value("raw").alias("href"))
+    hrefs = raw.select("url", decoded("raw").alias("href"))
     return hrefs.select(F.col("url").alias("node"), resolve_link("url", "href").alias("next"))
 
 
 def page_fields(pages: DataFrame, texts: dict[str, str], attributes: dict[str, str]) -> DataFrame:
     """Named element texts and attributes beside the page's own columns, without ``html``."""
+    found = {k: first_match("html", p) for k, p in {**texts, **attributes}.items()}
     kept = [c for c in pages.columns if c != "html"]
-    raw = pages.select(
-        *kept, *(first_match("html", p).alias(k) for k, p in {**texts, **attributes}.items())
-    )
-    return raw.select(
-        *kept,
-        *(shown_text(k).alias(k) for k in texts),
-        *(attribute_value(k).alias(k) for k in attributes),
-    )
+    return _shown(pages.select(*kept, *(c.alias(k) for k, c in found.items())), [*texts], kept)
 
 
 def product_texts(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
@@ -97,14 +91,14 @@ def product_texts(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
         first_match("main", patterns.availability).alias("availability"),
         first_match("crumb", patterns.category_link).alias("category"),
     )
-    return raw.select(
-        "url",
-        shown_text("title").alias("title"),
-        shown_text("price_text").alias("price_text"),
-        attribute_value("rating_class").alias("rating_class"),
-        shown_text("availability").alias("availability"),
-        shown_text("category").alias("category"),
-    )
+    return _shown(raw, ["title", "price_text", "availability", "category"], ["url"])
+
+
+def _shown(raw: DataFrame, texts: list[str], kept: list[str]) -> DataFrame:
+    """Element texts and attributes as a reader sees them; one projection per step, so that no step
+    is worked out twice."""
+    bare = raw.withColumns({k: bare_text(k) for k in texts})
+    return bare.select(*kept, *(decoded(k).alias(k) for k in raw.columns if k not in kept))
 
 
 def clean_texts(offers: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def test_element_text(spark):
         "\n  <i class='x'></i>\n In   stock\n (3 available)\n": "In stock (3 available)",
         "a<br>b <br/> c": "a\nb\nc", "<b></b>": None, "": None, "&nbsp; x &nbsp;": "x",
     }
-    assert apply(spark, list(texts), web.shown_text) == list(texts.values())
+    assert apply(spark, list(texts), lambda x: web.decoded(web.bare_text(x))) == list(texts.values())
 
 
 LISTING = """<ol><li><article class="product_pod"><div><a href="wrong">i</a></div>

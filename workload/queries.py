@@ -334,7 +334,7 @@ def existing_rows(spark, sf_dir):
 def append_if_absent(spark, sf_dir):
     before, after = _event_sides(spark, sf_dir)
     key, order = ["user_id", "k"], ["ts", "event_id"]
-    target = keyed.first_wins(before, key, order)
+    target = materialise(keyed.first_wins(before, key, order), "target")
     added = keyed.append_if_absent(target, after, key, order)
     last_id = target.agg(F.max("event_id")).scalar()
     stamped = added.select(
