@@ -21,7 +21,8 @@ def first_wins(
     """
     rest = [*order_by, *(c for c in df.columns if c not in key and c not in order_by)]
     counts = [F.count(F.lit(1)).alias(copies)] if copies else []
-    least = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_least"), *counts)
+    row = F.struct(*rest) if rest else F.lit(None)
+    least = df.groupBy(*key).agg(F.min(row).alias("_least"), *counts)
     columns = [F.col(c) if c in key else F.col(f"_least.{c}") for c in df.columns]
     return least.select(*columns, *([copies] if copies else []))
 

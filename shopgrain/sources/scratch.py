@@ -29,7 +29,9 @@ def _local_folder() -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/shopgrain/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the scratch area."""
+    application = spark.conf.get("spark.app.id", "session")
+    return f"{scratch_root(spark)}/shopgrain-{application}/{name}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -90,6 +90,12 @@ def test_sheets_of_one_table_name_share_the_table(spark, tmp_path):
     assert got["catalog.items_a_b"] == (2, 2)
 
 
+def test_a_category_named_like_the_message_sheet_is_synced(spark, tmp_path):
+    rows = [FIRST[0][:10] + ("Informacoes",) + FIRST[0][11:]]
+    got = report(sync(Catalog(spark, str(tmp_path)), items(spark, rows), "r", TS))
+    assert got["catalog.items_informacoes"] == (1, 1)
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_export(spark, tmp_path, fmt):
     exported = export(items(spark, FIRST), str(tmp_path), TS, "shop", fmt)

@@ -26,6 +26,11 @@ def test_first_wins_against_brute_force(spark):
     assert {r.url: r.n for r in got.collect()} == copies
 
 
+def test_first_wins_of_keys_alone(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",)], "url string")
+    assert sorted_rows(keyed.first_wins(df, ["url"], [], copies="n")) == [("a", 2), ("b", 1)]
+
+
 def test_usable_keys(spark):
     df = frame(spark, [("a", 1, ""), ("", 2, ""), (None, 3, "")])
     assert [r.url for r in keyed.usable_key(df).collect()] == ["a"]

@@ -338,7 +338,8 @@ ORACLE = {
     "append_if_absent": f"""WITH {EVENTS}, ranked AS (
         SELECT *, row_number() OVER (PARTITION BY user_id, k ORDER BY ts, event_id) AS n FROM e)
         SELECT (SELECT max(event_id) FROM ranked WHERE n = 1 AND early) + event_id AS id,
-            * EXCLUDE (n, early), TIMESTAMP '{STAMP}' AS collected_at
+            * EXCLUDE (n, early), TIMESTAMP '{STAMP}' AS collected_at,
+            strftime(TIMESTAMP '{STAMP}', '%Y%m%d_%H%M%S') AS stamp
         FROM ranked WHERE n = 1 AND NOT early""",
     "upsert_dashboard": UPSERTED,
     "evolve_union": f"""WITH {ITEMS} SELECT {ITEM_COLUMNS} FROM (

@@ -338,9 +338,11 @@ def append_if_absent(spark, sf_dir):
     added = keyed.append_if_absent(target, after, key, order)
     last_id = target.agg(F.max("event_id")).scalar()
     stamped = added.select(
-        (last_id + F.col("event_id")).alias("id"), *added.columns, instant(W.RUN_TS).alias("collected_at")
+        (last_id + F.col("event_id")).alias("id"),
+        *added.columns,
+        instant(W.RUN_TS).alias("collected_at"),
     )
-    return _without_zone(stamped)
+    return _without_zone(stamped.withColumn("stamp", text.run_stamp("collected_at")))
 
 
 def upsert_dashboard(spark, sf_dir):
