@@ -84,7 +84,7 @@ def resolve_link(base, href) -> Column:
         F.nullif(F.regexp_replace(base_path, r"[^/]*$", ""), F.lit("")), F.lit("/")
     )
     path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    tail = F.substring(href, F.length(path) + 1, F.length(href))
+    tail = F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
     below_folder = F.regexp_replace(F.concat(folder, path), "/+", "/")
     resolved = (
         F.when(href == "", base)
@@ -111,7 +111,7 @@ def _without_dots(path: Column) -> Column:
         .otherwise(F.concat(acc, F.array(s))),
     )
     ends_in_folder = F.element_at(segments, -1).isin(".", "..")
-    closed = F.when(ends_in_folder, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    joined = F.array_join(closed, "/")
-    plain = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), plain).otherwise(path)
+    last = F.when(ends_in_folder, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    joined = F.array_join(F.concat(kept, last), "/")
+    absolute = F.concat(F.lit("/"), F.regexp_replace(joined, "^/", ""))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), absolute).otherwise(path)

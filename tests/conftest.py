@@ -16,6 +16,7 @@ def make_session():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shopgrain-test-"))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
