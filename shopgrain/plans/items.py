@@ -18,8 +18,6 @@ from shopgrain.sources.pages import (
 )
 from shopgrain.sources.scratch import materialise
 
-PARSE_ONLY_LINKED_BELOW = 100_000
-
 
 def enrich_records(
     records: DataFrame,
@@ -83,9 +81,10 @@ def items_from_pages(
     else:
         chain = listing_in_order(listing, start_url, max_pages, patterns)
         links = capture_links(chain, max_items)
-    if 0 < max_items <= PARSE_ONLY_LINKED_BELOW:
-        # The limit bounds the links, so they can be broadcast to skip other pages' parsing.
-        details = details.join(F.broadcast(links.select("url").distinct()), "url", "left_semi")
+    wanted = links.select("url").distinct()
+    if max_items > 0 and fits_broadcast(wanted):
+        # Few links: other pages are skipped before they are parsed, without a shuffle of html.
+        details = details.join(F.broadcast(wanted), "url", "left_semi")
     # Measured and then joined, so the pages are parsed once. Of copies, one with a title wins.
     parsed = product_records(product_texts(details, patterns)).withColumn(
         "untitled", F.col("title_src").isNull()

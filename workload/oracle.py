@@ -360,6 +360,8 @@ ORACLE = {
     "stream_dashboard": UPSERTED,
 }
 
+ORACLE["stream_offers"] = ORACLE["stored_items"]
+
 SHEET_CATEGORIES = """cats AS (
     SELECT p_partkey, CASE p_size WHEN 1 THEN 'Todos' WHEN 2 THEN 'Painel' WHEN 3 THEN '   '
         WHEN 4 THEN 'a:b/[c]*d?e' WHEN 5 THEN NULL

@@ -40,10 +40,14 @@ def _without_zone(df: DataFrame) -> DataFrame:
     return df.withColumn("collected_at", F.col("collected_at").cast("timestamp_ntz"))
 
 
-def _part_items(spark: SparkSession, sf_dir: str, offers=W.offers_raw) -> DataFrame:
-    raw = offers(W.table(spark, sf_dir, "part"))
+def _items(part: DataFrame, offers=W.offers_raw) -> DataFrame:
+    spark = part.sparkSession
     rate = enrich.run_rate(W.rates(spark))
-    return items_from_offers(raw, rate, W.translations(spark), W.labels(spark))
+    return items_from_offers(offers(part), rate, W.translations(spark), W.labels(spark))
+
+
+def _part_items(spark: SparkSession, sf_dir: str, offers=W.offers_raw) -> DataFrame:
+    return _items(W.table(spark, sf_dir, "part"), offers)
 
 
 # ---- extract, clean, summarise ----
@@ -401,10 +405,26 @@ def empty_run(spark, sf_dir):
 # ---- streams ----
 
 
-def _event_stream(spark, sf_dir) -> DataFrame:
+def _stream(spark, sf_dir, name) -> DataFrame:
     # A glob, because a single file is not a stream path.
-    schema = W.table(spark, sf_dir, "events").schema
-    return file_stream(spark, f"{sf_dir}/events.parque[t]", schema)
+    schema = W.table(spark, sf_dir, name).schema
+    return file_stream(spark, f"{sf_dir}/{name}.parque[t]", schema)
+
+
+def _event_stream(spark, sf_dir) -> DataFrame:
+    return _stream(spark, sf_dir, "events")
+
+
+def stream_offers(spark, sf_dir):
+    """Raw offers as they arrive: cleaned, enriched and appended to their tables."""
+    catalog = Catalog(spark, scratch_path(spark, "catalog"))
+    checkpoint = scratch_path(spark, "stream")
+    for _ in range(2):  # the second run finds nothing new
+        sync_batches(
+            _stream(spark, sf_dir, "part"), lambda part: _items(part, W.offers_with_copies),
+            catalog, checkpoint, "offers", W.RUN_TS,
+        ).awaitTermination()
+    return _without_zone(_money(catalog.items.read(), "price", "price_src"))
 
 
 def stream_ingest(spark, sf_dir):
@@ -478,6 +498,7 @@ QUERIES = {
         sync_router,
         stored_items,
         empty_run,
+        stream_offers,
         stream_ingest,
         stream_first_seen,
         stream_dashboard,
