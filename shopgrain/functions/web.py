@@ -6,8 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from shopgrain.functions.text import blank_to_null, col, squeeze_ws, strip_ws
 
-REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-REFERENCE_CODES = {**name2codepoint, "apos": ord("'")}
+REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+COMMON_NAMES = ("amp", "lt", "gt", "quot", "nbsp")  # first, because a map is searched in order
+REFERENCE_CODES = {n: name2codepoint[n] for n in COMMON_NAMES} | {"apos": 39} | name2codepoint
 SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 
@@ -18,24 +19,31 @@ def decode_entities(x) -> Column:
     reference gives is never read as part of another. An unknown name stays as it is.
     """
     text = col(x)
-    between = F.split(text, REFERENCE)
-    decoded = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)), _character)
-    joined = F.zip_with(between, decoded, lambda t, r: F.concat(t, F.coalesce(r, F.lit(""))))
+    refs = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1))
+    chars = F.zip_with(refs, F.transform(refs, _reference_code), _character)
+    joined = F.zip_with(
+        F.split(text, REFERENCE), chars, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))
+    )
     return F.when(F.contains(text, F.lit("&")), F.array_join(joined, "")).otherwise(text)
 
 
-def _character(ref: Column) -> Column:
+def _reference_code(ref: Column) -> Column:
+    """Code point of a reference like ``#233``, ``#xE9`` or ``eacute``; null for an unknown name."""
     codes = ",".join(f"{name}:{code}" for name, code in REFERENCE_CODES.items())
     named = F.str_to_map(F.lit(codes), F.lit(","), F.lit(":"))
-    body = F.regexp_extract(ref, "^&(.*);$", 1)
-    code = (
-        F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 8), 16, 10).cast("int"))
-        .when(body.startswith("#"), F.substring(body, 2, 8).cast("int"))
-        .otherwise(F.try_element_at(named, body).cast("int"))
+    return (
+        F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 6), 16, 10))
+        .when(ref.startswith("#"), F.substring(ref, 2, 7))
+        .otherwise(F.try_element_at(named, ref))
+        .cast("int")
     )
+
+
+def _character(ref: Column, code: Column) -> Column:
     legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
     utf32 = F.unhex(F.lpad(F.hex(F.when(legal, code).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.when(code.isNull(), ref).otherwise(F.decode(utf32, "UTF-32"))
+    unknown = F.concat(F.lit("&"), ref, F.lit(";"))
+    return F.when(code.isNull(), unknown).otherwise(F.decode(utf32, "UTF-32"))
 
 
 def bare_text(inner_html) -> Column:

@@ -30,7 +30,7 @@ def export(
     """Write a run below ``out_dir/<name>_<stamp>``.
 
     The items are written first; the dashboard and the category sheets are made from what was
-    written, so the items are computed once however costly they are.
+    written, so the items are computed once however costly they are. Repeating a run replaces it.
     """
     spark = items.sparkSession
     root = f"{out_dir.rstrip('/')}/{name}_{run_ts:%Y%m%d_%H%M%S}"
@@ -96,7 +96,7 @@ OPTIONS = {
 
 
 def _write(df: DataFrame, path: str, fmt: str, *partition_by: str) -> None:
-    writer = df.write.format(fmt).options(**OPTIONS.get(fmt, {}))
+    writer = df.write.mode("overwrite").format(fmt).options(**OPTIONS.get(fmt, {}))
     writer.partitionBy(*partition_by).save(path)
 
 

@@ -142,7 +142,7 @@ def sync(catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime) -> D
 
     ``items`` is read several times: pass a written table. An empty run changes nothing.
     """
-    reports = [
+    reports = [] if items.isEmpty() else [
         r
         for r in (
             append_items(catalog, items, run_id, run_ts),

@@ -120,9 +120,20 @@ def test_empty_run_exports_the_message_and_syncs_nothing(spark, tmp_path):
     assert catalog.items.commits() == []
 
 
+def test_nothing_to_sync(spark, tmp_path):
+    catalog = Catalog(spark, str(tmp_path))
+    assert report(sync(catalog, items(spark, []), "r", TS)) == {}
+    assert catalog.items.commits() == catalog.dashboard.commits() == []
+
+
 def test_whole_run(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path / "catalog"))
+    export(items(spark, SECOND), str(tmp_path / "out"), TS, "x")  # left by a run that failed
     exported, synced = publish_run(items(spark, FIRST), str(tmp_path / "out"), TS, catalog, "x")
+    assert spark.read.parquet(exported.items).count() == len(FIRST)
+    assert {p.name for p in (tmp_path / "out" / exported.sheets).glob("sheet=*")} == {
+        "sheet=arte", "sheet=viagem",
+    }
     assert report(synced)["catalog.items_todos"] == (6, 5)
     assert catalog.items.commits()[0].run_id == "x_20240201_123045"
 
