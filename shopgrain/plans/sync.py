@@ -2,8 +2,9 @@
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shopgrain import fixed_values as V
 from shopgrain import schema as S
@@ -16,6 +17,14 @@ from shopgrain.operators.sheets import sheet_names
 from shopgrain.plans.store import StoredTable
 from shopgrain.sources.scratch import materialise
 
+REPORT = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("attempted", T.LongType()),
+        T.StructField("inserted", T.LongType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Catalog:
@@ -142,18 +151,11 @@ def sync(catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime) -> D
 
     ``items`` is read several times: pass a written table. An empty run changes nothing.
     """
-    reports = [] if items.isEmpty() else [
-        r
-        for r in (
-            append_items(catalog, items, run_id, run_ts),
-            refresh_dashboard(catalog, items, run_id, run_ts),
-        )
-        if r is not None
-    ]
-    if not reports:
-        schema = "table_name string, attempted bigint, inserted bigint"
-        return catalog.spark.createDataFrame([], schema)
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    if items.isEmpty():
+        return conform(catalog.spark.range(0), REPORT)
+    reports = (
+        append_items(catalog, items, run_id, run_ts),
+        refresh_dashboard(catalog, items, run_id, run_ts),
+    )
+    done = [r for r in reports if r is not None] or [conform(catalog.spark.range(0), REPORT)]
+    return reduce(DataFrame.unionByName, done)
