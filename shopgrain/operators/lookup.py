@@ -3,15 +3,18 @@
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from shopgrain.sources.scratch import materialise
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
 HOT_KEYS = 1000
 HOT_SHARE = 0.001
-TRACKED_KEYS = 100_000
-SALTS = 64
+TRACKED_KEYS = 8192
+MERGE_GROUPS = 512
+SALTS_PER_PARTITION = 4
 
 
 def fits_broadcast(
@@ -50,48 +53,55 @@ def lookup(
     return joined.select(*left.columns, *added)
 
 
-def salted_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", salts: int = SALTS
-) -> DataFrame:
-    """Shuffle join with hot left keys spread over ``salts`` buckets; exact for any input.
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Shuffle join with each hot left key spread by its share of the rows; exact for any input.
 
     The left's key columns are read once more for the sketch.
     """
-    hot = F.broadcast(hot_key_hashes(left, on))
+    # Written once, because both sides must see the same salts and a sketch may vary between runs.
+    hot = F.broadcast(materialise(hot_keys(left, on), "hot-keys"))
     key_hash = F.xxhash64(*on)
 
     # Row copies hash alike, so the partition they come from takes part in the salt.
-    spread = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    left_salt = F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+    spread = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.col("_salts"))
     left_salted = (
         left.withColumn("_h", key_hash)
         .join(hot, "_h", "left")
-        .withColumn("_salt", left_salt)
-        .drop("_h", "_hot")
+        .withColumn("_salt", F.coalesce(spread.cast("int"), F.lit(0)))
+        .drop("_h", "_salts")
     )
-
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right_salts: Column = F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))
+    last_salt = F.coalesce(F.col("_salts"), F.lit(1)) - 1
     right_salted = (
         right.withColumn("_h", key_hash)
         .join(hot, "_h", "left")
-        .withColumn("_salt", F.explode(right_salts))
-        .drop("_h", "_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last_salt)))
+        .drop("_h", "_salts")
     )
     return left_salted.join(right_salted, [*on, "_salt"], how).drop("_salt")
 
 
-def hot_key_hashes(df: DataFrame, on: list[str]) -> DataFrame:
-    """Hashes of the keys that hold more than ``HOT_SHARE`` of the rows: at most ``HOT_KEYS``.
+def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    """Hashes of the keys that hold more than ``HOT_SHARE`` of the rows, and over how many salts to
+    spread each: at most ``HOT_KEYS`` rows, and salts in the order of the shuffle partitions in all.
 
     A frequent-items sketch finds them in one pass without shuffling keys. It only steers where
-    rows go; the join's result does not depend on it.
+    rows go; the join's result does not depend on it. Sketches are merged in groups before they meet
+    in one task, so that task's input does not grow with the number of partitions.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = ", ".join(f"`{c}`" for c in on)
-    sketch = F.expr(f"approx_top_k(xxhash64({names}), {HOT_KEYS}, {TRACKED_KEYS})")
+    sketch = F.expr(f"approx_top_k_accumulate(xxhash64({names}), {TRACKED_KEYS})")
+    merged = F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})")
     return (
-        df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
-        .select(F.explode("top").alias("t"), "n")
-        .where(F.col("t.count") > F.col("n") * HOT_SHARE)
-        .select(F.col("t.item").alias("_h"), F.lit(True).alias("_hot"))
+        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
+        .agg(sketch.alias("sketch"), F.count(F.lit(1)).alias("n"))
+        .groupBy(F.lit(0).alias("all"))  # unlike a global merge, it stands empty partitions
+        .agg(merged.alias("sketch"), F.sum("n").alias("n"))
+        .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("t"), "n")
+        .withColumn("share", F.col("t.count") / F.col("n"))
+        .where(F.col("share") > HOT_SHARE)
+        .select(
+            F.col("t.item").alias("_h"),
+            F.ceil(F.col("share") * partitions * SALTS_PER_PARTITION).cast("int").alias("_salts"),
+        )
     )

@@ -1,7 +1,7 @@
 import pytest
 
 from pyspark.sql import functions as F
-from shopgrain.operators.lookup import fits_broadcast, hot_key_hashes, lookup, salted_join
+from shopgrain.operators.lookup import fits_broadcast, hot_keys, lookup, salted_join
 from tests.helpers import sorted_rows
 
 
@@ -54,9 +54,17 @@ def test_hot_rows_are_spread(spark, skewed, words):
 
 
 def test_hot_keys_are_the_frequent_ones(spark, skewed):
-    hot = {r["_h"] for r in hot_key_hashes(skewed, ["k"]).collect()}
+    hot = {r["_h"] for r in hot_keys(skewed, ["k"]).collect()}
     frequent = skewed.groupBy("k").count().where("count > 6").select(F.xxhash64("k").alias("h"))
     assert hot == {r.h for r in frequent.collect()}
+    # A third of the rows gets a third of the salts.
+    assert [r["_salts"] for r in hot_keys(skewed, ["k"]).collect()] == [11, 11]
+
+
+def test_nothing_to_join(spark, skewed, words):
+    assert hot_keys(skewed.where("v > 99"), ["k"]).count() == 0
+    assert salted_join(skewed.where("v > 99"), words, ["k"]).count() == 0
+    assert salted_join(skewed, words.where("w < 0"), ["k"]).count() == skewed.count()
 
 
 def test_two_column_keys(spark):
