@@ -3,17 +3,33 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import bpe, near_dedup, order_minhash, token_counts
+from shopgrain.llm import ann, bpe, mixing, near_dedup, order_minhash, sharding, token_counts, url_rules
 from shopgrain.sources.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+SHARDS = 16
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     coded = bpe.encode_documents(docs, public_tokenizers.path(VOCABULARY))
@@ -25,6 +41,46 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tree = sharding.even_tree(SHARDS)
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
+
+
+def url_rules_table(spark: SparkSession) -> DataFrame:
+    rules = [
+        F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path"))
+        for v, h, p in URL_RULES
+    ]
+    return spark.range(1).select(F.inline(F.array(*rules)))
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules_table(spark))
+
+
+OP6_SQL = """
+WITH rules(verdict, host, path) AS (VALUES
+    ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+    ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+hosts AS (SELECT *, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+split AS (
+    SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+    FROM hosts),
+addresses AS (SELECT DISTINCT host, path FROM split),
+fits AS (
+    SELECT a.host, a.path, arg_max(r, length(r.host) + length(r.path) + length(r.host) / 1000000.0) AS r
+    FROM addresses a JOIN rules r
+      ON (a.host = r.host OR a.host LIKE '%.' || r.host) AND starts_with(a.path, r.path)
+    GROUP BY ALL)
+SELECT page_id, s.host, s.path, r.host || r.path AS rule, coalesce(r.verdict, 'allow') AS verdict
+FROM split s LEFT JOIN fits f ON s.host = f.host AND s.path = f.path
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
@@ -44,6 +100,15 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_bpe, op7_token_counts, op9_near_duplicates, op10_order_minhash)
+    for f in (
+        op1_mixing,
+        op2_ann,
+        op3_bpe,
+        op4_sharding,
+        op6_url_rules,
+        op7_token_counts,
+        op9_near_duplicates,
+        op10_order_minhash,
+    )
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {"op6_url_rules": OP6_SQL}
