@@ -3,7 +3,18 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import ann, bpe, mixing, near_dedup, order_minhash, sharding, token_counts, url_rules
+from shopgrain.llm import (
+    ann,
+    bpe,
+    language_id,
+    mixing,
+    near_dedup,
+    order_minhash,
+    quality,
+    sharding,
+    token_counts,
+    url_rules,
+)
 from shopgrain.sources.scratch import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -46,6 +57,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), tree, sharding.grown(tree))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def url_rules_table(spark: SparkSession) -> DataFrame:
     rules = [
         F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path"))
@@ -90,6 +105,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -105,8 +124,10 @@ QUERIES = {
         op2_ann,
         op3_bpe,
         op4_sharding,
+        op5_quality,
         op6_url_rules,
         op7_token_counts,
+        op8_language_id,
         op9_near_duplicates,
         op10_order_minhash,
     )
