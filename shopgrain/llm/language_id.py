@@ -24,6 +24,7 @@ from shopgrain.llm.batches import text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, sampled_ids
 
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -174,37 +175,52 @@ def learn(
 
 
 def predict(
-    docs: DataFrame,
-    network: Network | None,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    keep: tuple[str, ...] = (),
+    docs: DataFrame, network: Network | None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """id, held_out, lang_pred, score of every document; ``keep`` names columns to carry along in ``kept``."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    """id, held_out, lang_pred, score of every document."""
+    kind = docs.schema[id_column].dataType.simpleString()
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", 1 << 20):
+        for batch in text_slices(batches, "text", SLICE_BYTES):
             named, scores = _predicted(network, texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(named, pa.string()), pa.array(scores, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"],
-            ).select(names)
+                [
+                    batch.column("id"),
+                    batch.column("held_out"),
+                    pa.array(named, pa.string()),
+                    pa.array(scores, pa.float64()),
+                ],
+                ["id", "held_out", "lang_pred", "score"],
+            )
 
     read = docs.select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         held_out(F.col(id_column)).alias("held_out"),
-        F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
     )
-    schema = f"id {kinds[id_column]}, held_out boolean, lang_pred string, score double"
-    names = ["id", "held_out", "lang_pred", "score"]
-    if keep:
-        schema += f", kept {read.schema['kept'].dataType.simpleString()}"
-        names.append("kept")
+    schema = f"id {kind}, held_out boolean, lang_pred string, score double"
     return read.mapInArrow(label, schema).withColumnRenamed("id", id_column)
 
 
+def known_language(
+    docs: DataFrame, network: Network | None, least: float, text_column: str = "text"
+) -> DataFrame:
+    """The documents, with all their columns, whose language is known with a score of ``least``.
+
+    ``und`` goes. Without a network nothing is known about languages, and all documents stay.
+    """
+    if network is None:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_column, SLICE_BYTES):
+            named, scores = _predicted(network, texts_of(batch, text_column))
+            fits = [n != UNKNOWN and s >= least for n, s in zip(named, scores)]
+            yield batch.filter(pa.array(fits, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def _predicted(network: Network | None, texts: list[str]) -> tuple[list[str], list[float]]:
     named, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if network is None:

@@ -362,3 +362,21 @@ def near_duplicates(
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents, with all their columns, one of each group: the one with the smallest id.
+
+    Documents without words stay. If an id comes in several rows, one of its rows stays, if any of them does; rows with
+    null ids stay or go as their group's smallest id says.
+    """
+    found = materialise(near_duplicates(docs, id_column, text_column), "groups")
+    kept = found.where("kept").select(F.col(id_column).alias("_kept_id")).distinct()
+    left = docs.join(kept, F.col(id_column).eqNullSafe(F.col("_kept_id")), "left_semi")
+    named = F.col(id_column).isNotNull()
+    repeated = found.where(named).groupBy(id_column).count().where("count > 1")
+    if repeated.isEmpty():
+        return left
+    return left.where(named).dropDuplicates([id_column]).unionByName(left.where(~named))

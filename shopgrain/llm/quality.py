@@ -218,41 +218,45 @@ def learn(
 
 
 def score(
-    docs: DataFrame,
-    network: Network | None,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    keep: tuple[str, ...] = (),
+    docs: DataFrame, network: Network | None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """id, held_out, score, predicted of every document; ``keep`` names columns to carry along in ``kept``."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    """id, held_out, score, predicted of every document."""
+    kind = docs.schema[id_column].dataType.simpleString()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             scores = pa.array(_scores(network, texts_of(batch, "text")), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, scores], [*batch.schema.names, "score"]
-            ).select(names)
+                [batch.column("id"), batch.column("held_out"), scores], ["id", "held_out", "score"]
+            )
 
     read = docs.select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         held_out(F.col(id_column)).alias("held_out"),
-        F.struct(*[F.col(c) for c in keep] or [F.lit(0).alias("none")]).alias("kept"),
     )
-    schema = f"id {kinds[id_column]}, held_out boolean, score double"
-    names = ["id", "held_out", "score"]
-    if keep:
-        schema += f", kept {read.schema['kept'].dataType.simpleString()}"
-        names.append("kept")
     predicted = (F.col("score") >= THRESHOLD).cast("int")
     return (
-        read.mapInArrow(mark, schema)
+        read.mapInArrow(mark, f"id {kind}, held_out boolean, score double")
         .withColumn("predicted", predicted)
         .withColumnRenamed("id", id_column)
     )
 
 
+def good_documents(
+    docs: DataFrame, network: Network | None, least: float = THRESHOLD, text_column: str = "text"
+) -> DataFrame:
+    """The documents, with all their columns, that score ``least``; all of them without a network."""
+    if network is None:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_column):
+            yield batch.filter(pa.array(_scores(network, texts_of(batch, text_column)) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def _scores(network: Network | None, texts: list[str]) -> np.ndarray:
     if network is None:
         return np.full(len(texts), 0.5)
