@@ -5,12 +5,12 @@ to 1 in entropy, at most ``CAP``, whose sizes add up to each source's target; th
 source, and a document's rate is ``least(CAP, exp(multiplier * size / mean size))``. Newton steps on all
 multipliers together are one aggregation each over the counts of (source, size); a step that leaves a source's bracket is
 halved into it. Rates become copies by rounding: a document's fraction less a hash of its id is its place in line, and
-as many of its source's line are rounded up as bring the copies' sizes nearest to the target. That place is found by
-histograms, eight bits at a time.
+as many of its source's line are rounded up as bring the copies' sizes nearest to the target; then up to ``EXCEPTIONS`` places change
+sides, each if that closes more of the gap. The last place to round up is found by histograms, eight bits at a time.
 
 Rows: a null text has size 0; a null source is a source, the last one. Repeated rows each count and get the same copies. A
-source of size 0 has target 0 and keeps its documents once. Extra columns pass through ``copies_of``; ``mix`` leaves out all but id and
-source, so no name can clash. Results depend on the rows only, so reruns agree.
+source of size 0 has target 0 and keeps its documents once. ``mix`` leaves out all other input columns; ``mixed_documents``
+keeps all, under positional names inside, so no name can clash. Results depend on the rows only, so reruns agree.
 """
 
 import math
@@ -26,6 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 CLOSE = 1e-9  # of a target
 STEPS = 100  # far above what bracketed Newton steps need
 PLACE_BITS, DIGIT_BITS = 53, 8
+EXCEPTIONS = 3  # of a source, to the order of its line
 
 
 def word_count(text: Column) -> Column:
@@ -137,7 +138,9 @@ def _place(fraction: Column, id_column: Column) -> Column:
 
 
 def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
-    """rank, threshold: rows (rank, place, size) from that place on add up nearest to ``need`` (rank, need)."""
+    """rank, threshold, exceptions: rows (rank, place, size) from the threshold on, but for the places in ``exceptions``,
+    which change sides, add up near to ``need`` (rank, need).
+    """
     shift = PLACE_BITS
     state = materialise(
         needs.select("rank", "need", F.lit(0).cast("bigint").alias("prefix"), F.lit(0.0).alias("above")),
@@ -190,9 +193,44 @@ def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
             break
     take = (F.col("above") + F.col("size") - F.col("need")) <= (F.col("need") - F.col("above"))
     low = F.shiftleft(F.col("prefix"), shift)
-    return state.select(
-        "rank", F.when(take, low).otherwise(low + F.lit(1 << shift)).alias("threshold")
+    gap = F.col("need") - F.col("above")
+    cut = materialise(
+        state.select(
+            "rank",
+            F.when(take, low).otherwise(low + F.lit(1 << shift)).alias("threshold"),
+            F.when(take, gap - F.col("size")).otherwise(gap).alias("gap"),
+            F.array().cast("array<bigint>").alias("exceptions"),
+        ),
+        "thresholds",
     )
+    places = line.groupBy("rank", "place").agg(F.sum("size").alias("size"))
+    for _ in range(EXCEPTIONS):
+        # the place whose change of side closes most of the gap that is left
+        below = (F.col("place") < F.col("threshold")) != F.array_contains("exceptions", F.col("place"))
+        moved = F.when(below, F.col("size")).otherwise(-F.col("size"))
+        left = F.col("gap") - moved
+        best = (
+            places.join(cut, "rank")
+            .where(F.abs(left) < F.abs("gap"))
+            .groupBy("rank")
+            .agg(F.min(F.struct(F.abs(left), F.col("place").alias("place"), left.alias("left"))).alias("best"))
+        )
+        cut = materialise(
+            cut.join(best, "rank", "left").select(
+                "rank",
+                "threshold",
+                F.coalesce("best.left", "gap").alias("gap"),
+                F.when(F.col("best").isNull(), F.col("exceptions"))
+                .when(
+                    F.array_contains("exceptions", F.col("best.place")),
+                    F.array_remove("exceptions", F.col("best.place")),
+                )
+                .otherwise(F.array_append("exceptions", F.col("best.place")))
+                .alias("exceptions"),
+            ),
+            "thresholds",
+        )
+    return cut.drop("gap")
 
 
 def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
@@ -245,13 +283,17 @@ def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column:
 def with_copies(sized: DataFrame, rules: DataFrame, id_column: str, source_column: str, size_column: str) -> DataFrame:
     """Adds ``mix``: source_size, target, rate, copies, for rows with their size."""
     fraction = F.col("rate") - F.floor("rate")
-    up = (fraction > 0) & (_place(fraction, F.col(id_column)) >= F.col("threshold"))
+    place = _place(fraction, F.col(id_column))
+    from_threshold = place >= F.col("threshold")
+    sides = from_threshold != F.array_contains("exceptions", place)
+    up = (fraction > 0) & (F.col(size_column) > 0) & sides
     copies = (F.floor("rate") + F.coalesce(up, F.lit(False)).cast("int")).cast("int")
     named = rules.select(
         F.col("source").alias("of_source"),
         F.col("size").alias("of_size"),
         "rate",
         "threshold",
+        "exceptions",
         "source_size",
         "target",
     )
