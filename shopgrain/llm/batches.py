@@ -28,3 +28,29 @@ def text_slices(
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The column's texts, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """One batch for each run of equal ``keys`` (whole numbers) in sorted input."""
+    open_parts: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        changed = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            changed[1:] |= c[1:] != c[:-1]
+        changed[0] = last is not None and last != tuple(c[0] for c in columns)
+        starts = [0, *np.flatnonzero(changed[1:]) + 1, batch.num_rows]
+        if changed[0]:
+            yield pa.concat_batches(open_parts)
+            open_parts = []
+        for begin, end in zip(starts[:-2], starts[1:-1]):
+            open_parts.append(batch.slice(begin, end - begin))
+            yield pa.concat_batches(open_parts) if len(open_parts) > 1 else open_parts[0]
+            open_parts = []
+        open_parts.append(batch.slice(starts[-2]))
+        last = tuple(c[-1] for c in columns)
+    if open_parts:
+        yield pa.concat_batches(open_parts)

@@ -11,8 +11,8 @@ Candidates pass an estimate from their registers, corrected for chance collision
 
 Sets are first reduced to distinct ones. In a band's group every set is held against one pivot, which links the usual
 group of copies with a pair per member; then against another pivot, for sets that are not yet in the pivot's component.
-What is still in several components is compared exactly, in blocks of bounded size, by registers within a task;
-only pairs that pass the estimate leave it. So no group is ever expanded into all pairs and no pair that shares a band
+What is still in several components is compared exactly within tasks, in blocks of bounded size; only links that
+connect components leave a task. So no group is ever expanded into all pairs and no pair that shares a band
 goes unexamined unless it is connected already.
 
 Rows: texts without words (null, empty) have no set, 0 shingles and are linked with nothing. Repeated rows each come
@@ -25,11 +25,10 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import text_slices, texts_of
+from shopgrain.llm.batches import groups, text_slices, texts_of
 from shopgrain.llm.components import components
 from shopgrain.sources.scratch import materialise
 
@@ -230,61 +229,113 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.where(100 * shared >= PERCENT * union).select("a", "b")
 
 
-def _pairs_in_blocks(mixed: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a band group and pass the estimate, each once.
+def _links_in_blocks(mixed: DataFrame) -> DataFrame:
+    """Links (a, b) that join different components, among the sets that share a band group.
 
-    ``mixed`` has band, key, members, node, component, n, registers. Members are dealt to blocks; every pair of a
-    group's blocks is one task's work.
+    ``mixed`` has band, key, members, node, component, n, registers, hashes. Members are dealt to blocks; every pair of
+    a group's blocks is one task's work. A pair that passes the estimate is counted on the full sets at once, unless links
+    found in the task connect it already.
     """
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     placed = (
-        mixed.withColumn("blocks", blocks)
-        .withColumn("block", own)
+        mixed.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(others))
         .withColumn("one", F.least("block", "other"))
         .withColumn("two", F.greatest("block", "other"))
     )
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        band = int(group["band"].iloc[0])
-        one, two = int(group["one"].iloc[0]), int(group["two"].iloc[0])
-        bands = np.stack(group["registers"].to_numpy())
-        node, part, n, block = (
-            group[c].to_numpy() for c in ("node", "component", "n", "block")
-        )
-        signs = bands.view(np.uint16)
-        found = []
-        left = np.flatnonzero(block == one)
-        right = np.flatnonzero(block == two)
-        for i in left:
-            some = right[(node[right] > node[i]) if one == two else slice(None)]
-            some = some[part[some] != part[i]]
-            first = np.argmax(bands[some] == bands[i], axis=1) == band
-            some = some[first]
-            if len(some):
-                equal = (signs[some] == signs[i]).sum(axis=1)
-                some = some[_may_link(equal, np.full(len(some), n[i]), n[some])]
-                found += [(min(node[i], x), max(node[i], x)) for x in node[some]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return (
-        placed.select("band", "key", "one", "two", "block", "node", "component", "n", "registers")
-        .groupBy("band", "key", "one", "two")
-        .applyInPandas(compare, "a bigint, b bigint")
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int]] = []
+        for group in groups(batches, ["band", "key", "one", "two"]):
+            found += _links_of_group(group)
+            if len(found) > 1000:
+                yield _pair_batch(found)
+                found = []
+        yield _pair_batch(found)
+
+    dealt = placed.select(
+        "band", "key", "one", "two", "block", "node", "component", "n", "registers", "hashes"
     )
+    partitions = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = ["band", "key", "one", "two"]
+    together = dealt.repartition(partitions, *by).sortWithinPartitions(*by, "n")
+    return together.mapInArrow(compare, "a bigint, b bigint")
+
+
+def _pair_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(columns[:, 0]), pa.array(columns[:, 1])], ["a", "b"])
+
+
+def _links_of_group(group: pa.RecordBatch) -> list[tuple[int, int]]:
+    """Links between components for the pairs that are this group's work, in order of n."""
+    band = group.column("band")[0].as_py()
+    across = group.column("one")[0] != group.column("two")[0]
+    node, part, n, block = (group.column(c).to_numpy() for c in ("node", "component", "n", "block"))
+    labels, member, counts = np.unique(part, return_inverse=True, return_counts=True)
+    if len(labels) < 2:
+        return []
+    bands = group.column("registers").flatten().to_numpy().reshape(len(node), -1)
+    signs, sets = bands.view(np.uint16), group.column("hashes")
+    main = member == counts.argmax()
+    outside = np.flatnonzero(~main)
+    # sizes must allow the similarity
+    low = np.searchsorted(n, np.ceil(n[outside] * PERCENT / 100))
+    high = np.searchsorted(n, n[outside] * 100 // PERCENT, side="right")
+    place = np.arange(len(node))
+    joined = list(range(len(labels)))
+
+    def root(x: int) -> int:
+        while joined[x] != x:
+            joined[x] = joined[joined[x]]
+            x = joined[x]
+        return x
+
+    found = []
+    for i, begin, end in zip(outside, low, high):
+        near = slice(begin, end)
+        # outsiders meet each other once, and a pair is the work of its first band
+        wanted = (main[near] | (place[near] > i)) & (member[near] != member[i])
+        if across:
+            wanted &= block[near] != block[i]
+        some = begin + np.flatnonzero(wanted)
+        if band and len(some):
+            some = some[~(bands[some, :band] == bands[i, :band]).any(axis=1)]
+        if not len(some):
+            continue
+        equal = (signs[some] == signs[i]).sum(axis=1)
+        passed = _may_link(equal, np.full(len(some), n[i]), n[some])
+        own = None
+        for x in some[passed][np.argsort(-equal[passed], kind="stable")]:
+            a, b = root(member[i]), root(member[x])
+            if a == b:
+                continue
+            own = sets[int(i)].values.to_numpy() if own is None else own
+            shared = _shared(own, sets[int(x)].values.to_numpy())
+            if 100 * shared >= PERCENT * (n[i] + n[x] - shared):
+                joined[a] = b
+                found.append((int(node[i]), int(node[x])))
+    return found
+
+
+def _shared(one: np.ndarray, other: np.ndarray) -> int:
+    """Size of the intersection of two sets sorted as unsigned numbers."""
+    one, other = one.view(np.uint64), other.view(np.uint64)
+    at = np.searchsorted(one, other)
+    at[at == len(one)] = 0
+    return int(np.count_nonzero(one[at] == other))
 
 
 def _links(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame | None:
     """node, component of the linked sets; None if nothing is linked. ``nodes``: node, label, set_key, n, registers."""
     bands = nodes.select("node", F.posexplode("registers").alias("band", "key"))
-    groups = (
+    shared_bands = (
         bands.groupBy("band", "key")
         .agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
         .where("members > 1")
     )
-    shared = materialise(bands.join(groups, ["band", "key"]), "bands")
+    shared = materialise(bands.join(shared_bands, ["band", "key"]), "bands")
     wanted = shared.select("node").distinct()
     signs = materialise(nodes.join(wanted, "node"), "candidates")
     if signs.isEmpty():
@@ -300,32 +351,33 @@ def _links(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str)
         parts = shared.join(labels, "node", "left").withColumn(
             "component", F.coalesce("component", "node")
         )
-        chosen = F.min_by("node", F.xxhash64("node", F.lit(turn)))
+        # another pivot in every band, so that a group of copies is held against many
+        order = F.xxhash64("node", "band", F.lit(turn))
         mixed = (
             parts.groupBy("band", "key")
             .agg(
                 F.min("component").alias("lowest"),
                 F.max("component").alias("highest"),
-                chosen.alias("chosen"),
-                F.min_by("component", F.xxhash64("node", F.lit(turn))).alias("part"),
+                F.min_by("node", order).alias("chosen"),
+                F.min_by("component", order).alias("part"),
             )
             .where("lowest <> highest")
             .drop("lowest", "highest")
         )
         open_groups = materialise(parts.drop("pivot").join(mixed, ["band", "key"]), "mixed")
-        if turn < PIVOT_ROUNDS:
-            pairs = open_groups.where("component <> part").select(
-                F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")
-            )
-            found = _estimated(pairs.distinct(), signs)
-        else:
-            found = _pairs_in_blocks(open_groups.join(signs, "node"))
-        fresh = materialise(found.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty() and turn == PIVOT_ROUNDS:
+        if open_groups.isEmpty():
             return labels
+        if turn == PIVOT_ROUNDS:
+            rest = open_groups.join(signs, "node").join(sets, "node")
+            return components(links.unionByName(_links_in_blocks(rest)))
+        pairs = open_groups.where("component <> part").select(
+            F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")
+        )
+        found = _estimated(pairs.distinct(), signs).join(tested, ["a", "b"], "left_anti")
+        fresh = materialise(found, "pairs")
         tested = tested.unionByName(fresh)
         links = materialise(links.unionByName(_verified(fresh, sets)), "links")
-    return components(links)
+    return None
 
 
 def near_duplicates(
