@@ -43,8 +43,6 @@ DASHBOARD_SHEET = "Painel"
 MESSAGE_SHEET = "Informacoes"
 FALLBACK_SHEET = "Categoria"
 SHEET_NAME_CHARS = 31
-CLASH_BASE_CHARS = 28
-LAST_CLASH_SUFFIX = 99
 FALLBACK_TABLE = "tabela"
 TABLE_NAME_CHARS = 63
 

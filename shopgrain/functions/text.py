@@ -61,7 +61,7 @@ def or_missing(x) -> Column:
 
 
 def price_label(price, symbol: str = V.PRICE_SYMBOL) -> Column:
-    text = col(price).cast("decimal(18,2)").cast("string")
+    text = col(price).cast("decimal(29,2)").cast("string")
     return F.coalesce(F.concat(F.lit(f"{symbol} "), text), F.lit(V.MISSING))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from shopgrain.functions.text import blank_to_null, col, squeeze_ws, strip_ws
 
-REFERENCE = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+REFERENCE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 COMMON_NAMES = ("amp", "lt", "gt", "quot", "nbsp")  # first, because a map is searched in order
 REFERENCE_CODES = {n: name2codepoint[n] for n in COMMON_NAMES} | {"apos": 39} | name2codepoint
 SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
@@ -31,11 +31,15 @@ def _reference_code(ref: Column) -> Column:
     """Code point of a reference like ``#233``, ``#xE9`` or ``eacute``; null for an unknown name."""
     codes = ",".join(f"{name}:{code}" for name, code in REFERENCE_CODES.items())
     named = F.str_to_map(F.lit(codes), F.lit(","), F.lit(":"))
+    digits = F.regexp_replace(ref, "^#[xX]?0*", "")
+    # No code point has more digits than that; more of them stand for no character.
+    hexadecimal = F.when(F.length(digits) <= 6, F.conv(digits, 16, 10)).otherwise(F.lit("-1"))
+    decimal = F.when(F.length(digits) <= 7, F.concat(F.lit("0"), digits)).otherwise(F.lit("-1"))
     return (
-        F.when(ref.startswith("#x") | ref.startswith("#X"), F.conv(F.substring(ref, 3, 6), 16, 10))
-        .when(ref.startswith("#"), F.substring(ref, 2, 7))
+        F.when(ref.startswith("#x") | ref.startswith("#X"), F.coalesce(hexadecimal, F.lit("0")))
+        .when(ref.startswith("#"), decimal)
         .otherwise(F.try_element_at(named, ref))
-        .cast("int")
+        .try_cast("int")
     )
 
 
@@ -70,7 +74,11 @@ def first_match(html, pattern: str) -> Column:
 
 def all_attributes(html, pattern: str) -> Column:
     """Every match's group 1 in document order, stripped, empty ones dropped, copies kept."""
-    found = F.regexp_extract_all(col(html), F.lit(pattern), F.lit(1))
+    return link_targets(F.regexp_extract_all(col(html), F.lit(pattern), F.lit(1)))
+
+
+def link_targets(found: Column) -> Column:
+    """Raw attribute values as links: decoded, stripped, empty ones dropped."""
     cleaned = F.transform(found, lambda href: strip_ws(decode_entities(href)))
     return F.filter(cleaned, lambda href: href != "")
 

@@ -4,36 +4,38 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain import fixed_values as V
 from shopgrain.functions.text import rate_line
-from shopgrain.operators.lookup import fits_broadcast, salted_join
+from shopgrain.operators.lookup import salted_join, small
 from shopgrain.operators.ordinal import with_running_totals
-from shopgrain.sources.scratch import materialise
+from shopgrain.sources.scratch import materialise, measured
 
 FIRST_GUESS_PAGES = 16
 GUESS_GROWTH = 8
 MAX_HOPS = 1 << 60
 
 
-def first_pages(pages: DataFrame, max_pages: int, first_page: int = 1) -> DataFrame:
+def first_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     """The pages within the page limit; 0 means no limit. The filter reaches the scan.
 
-    Pages are numbered without gaps from ``first_page``.
+    The limit counts pages, whatever their numbers; rows of one number are one page.
     """
     if max_pages <= 0:
         return pages
-    return pages.where(F.col("page_no") < F.lit(first_page + max_pages))
+    numbers = pages.select("page_no").where("page_no IS NOT NULL").distinct()
+    last = numbers.orderBy("page_no").limit(max_pages).agg(F.max("page_no")).first()[0]
+    return pages.where(F.col("page_no") <= F.lit(last))
 
 
-def capture_links(
-    page_links: DataFrame, max_items: int = 0, max_pages: int = 0, first_page: int = 1
-) -> DataFrame:
+def capture_links(page_links: DataFrame, max_items: int = 0, max_pages: int = 0) -> DataFrame:
     """One row per link with its capture ordinal ``ord``, within both limits.
 
     ``page_links(page_no, page_url, links)`` holds each page's links in document order. With an item
-    limit only as many leading pages are read as are needed to fill it.
+    limit only as many leading pages are read as are needed to fill it. A page that is there several times counts
+    once, with the least of its link lists.
     """
-    pages = first_pages(page_links, max_pages, first_page)
+    pages = first_pages(page_links, max_pages)
     if max_items > 0:
-        pages = _pages_that_fill(pages, max_items, first_page)
+        pages = _pages_that_fill(pages, max_items)
+    pages = pages.groupBy("page_no", "page_url").agg(F.min("links").alias("links"))
     # Placing reads its input twice, so the pages are parsed into a table of their own first.
     counted = materialise(pages.withColumn("n_links", F.size("links")), "page-links")
     placed = with_running_totals(counted, "page_no", {"before": "n_links"})
@@ -47,13 +49,14 @@ def capture_links(
     return links.select("page_no", "page_url", "pos", "ord", "url")
 
 
-def _pages_that_fill(pages: DataFrame, max_items: int, first_page: int) -> DataFrame:
+def _pages_that_fill(pages: DataFrame, max_items: int) -> DataFrame:
     """The shortest tried prefix of pages that holds ``max_items`` links, or all pages."""
-    last_page = pages.agg(F.max("page_no")).first()[0]
+    first_page, last_page = pages.agg(F.min("page_no"), F.max("page_no")).first()
     guess = FIRST_GUESS_PAGES
     while last_page is not None and first_page + guess <= last_page:
         prefix = pages.where(F.col("page_no") < F.lit(first_page + guess))
-        if (prefix.agg(F.sum(F.size("links"))).first()[0] or 0) >= max_items:
+        once = prefix.groupBy("page_no", "page_url").agg(F.min(F.size("links")).alias("n"))
+        if (once.agg(F.sum("n")).first()[0] or 0) >= max_items:
             return prefix
         guess *= GUESS_GROWTH
     return pages
@@ -112,32 +115,33 @@ def progress_report(
 def walk_chain(nodes: DataFrame, starts: DataFrame, max_pages: int = 0) -> DataFrame:
     """Follow next links from each start: rows ``(start, node, hop)``, hop 0 at the start itself.
 
-    ``nodes(node, next)`` is unique on ``node``. The length of a jump grows by a factor each round,
+    A node that comes several times in ``nodes(node, next)`` counts once, with its least next. The length of a jump grows by a factor each round,
     so a chain of n pages takes a number of joins that grows with log n. A page already reached from
     the same start is not entered again, so a cycle ends the walk. Rounds are written out, so a lost
     executor repeats one round at most.
     """
-    pages = materialise(nodes.select("node", "next"), "chain-nodes")
+    once = nodes.groupBy("node").agg(F.min("next").alias("next"))
+    pages, size = measured(once, "chain-nodes")
     known = pages.select("node")
     # Longer jumps have the same nodes or fewer, so what fits once always fits.
-    small = fits_broadcast(pages)
-    per_round = 4 if small else 2
+    fits = small(size)
+    per_round = 4 if fits else 2
 
     def jump(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
-        if small:
+        if fits:
             return left.join(F.broadcast(right), on, how)
         return salted_join(left, right, [on], how)
 
     linked = pages.where("next is not null")
     jumps = jump(linked, known.withColumnRenamed("node", "next"), "next", "left_semi")
     jumps = materialise(jumps.select("node", "next"), "chain-jumps")
-    reached = materialise(
+    reached, size = measured(
         starts.select(F.col("node").alias("start"), "node").distinct()
         .join(known, "node", "left_semi")
         .select("start", "node", F.lit(0).cast("bigint").alias("hop")),
         "chain-reached",
     )
-    n_reached = reached.count()
+    n_reached = size.rows
     length = 1
     while (max_pages <= 0 or length < max_pages) and length <= MAX_HOPS:
         moved = everywhere = reached
@@ -149,13 +153,12 @@ def walk_chain(nodes: DataFrame, starts: DataFrame, max_pages: int = 0) -> DataF
             everywhere = everywhere.unionByName(moved)
             onward = jumps.select(F.col("node").alias("next"), F.col("next").alias("far"))
             further = jump(further, onward, "next").select("node", F.col("far").alias("next"))
-        reached = materialise(
+        reached, size = measured(
             everywhere.groupBy("start", "node").agg(F.min("hop").alias("hop")), "chain-reached"
         )
-        n_now = reached.count()
-        if n_now == n_reached:
+        if size.rows == n_reached:
             break
-        n_reached = n_now
+        n_reached = size.rows
         length *= per_round
         jumps = materialise(further, "chain-jumps")
     return reached.where(F.col("hop") < max_pages) if max_pages > 0 else reached

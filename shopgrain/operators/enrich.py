@@ -44,7 +44,7 @@ def with_translation(
         return df.withColumn(out, F.col(text))
     answers = (
         translations.select(
-            F.col("key").alias("_key"), blank_to_null("translated").alias("_answer")
+            blank_to_null("key").alias("_key"), blank_to_null("translated").alias("_answer")
         )
         .where(F.col("_key").isNotNull() & F.col("_answer").isNotNull())
         .groupBy("_key")
@@ -69,16 +69,19 @@ def translation_requests(
 
 
 def run_rate(rates: DataFrame | None = None, fixed_rate: float = 0) -> Column:
-    """The run's single rate: a positive fixed rate, else the positive rate in ``rates(rate)``.
+    """The run's single rate: a positive fixed rate, else the last positive rate in ``rates(rate, as_of)``.
 
-    Null when there is none. It is a scalar subquery, so no join carries it to the rows.
+    Without a column ``as_of`` the table holds one run's rate; of several, as of several of one time, the largest
+    counts. Null when there is none. It is a scalar subquery, so no join carries it to the rows.
     """
     if fixed_rate > 0:
         return F.lit(str(fixed_rate)).cast(RATE)
     if rates is None:
         return F.lit(None).cast(RATE)
     usable = F.col("rate").cast(RATE)
-    return rates.where(usable > 0).agg(F.max(usable).alias("rate")).scalar()
+    order = [F.col("as_of")] if "as_of" in rates.columns else []
+    last = F.max(F.struct(*order, usable.alias("rate")))["rate"]
+    return rates.where(usable > 0).agg(last.alias("rate")).scalar()
 
 
 def with_price(df: DataFrame, rate: Column) -> DataFrame:

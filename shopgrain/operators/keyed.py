@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.operators.lookup import fits_broadcast
+from shopgrain.operators.lookup import fits_broadcast, lookup
 
 
 def usable_key(df: DataFrame, key: str = "url") -> DataFrame:
@@ -28,8 +28,8 @@ def first_wins(
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Batch rows whose key is not in the target."""
-    return batch.join(target.select(*key), key, "left_anti")
+    """Batch rows whose key is not in the target; a hot key of the batch is spread."""
+    return lookup(batch, target.select(*key).distinct(), key, "left_anti")
 
 
 def held_keys(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
@@ -45,8 +45,8 @@ def held_keys(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
 
 
 def existing_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Batch rows whose key is in the target."""
-    return batch.join(target.select(*key), key, "left_semi")
+    """Batch rows whose key is in the target; a hot key of the batch is spread."""
+    return lookup(batch, target.select(*key).distinct(), key, "left_semi")
 
 
 def append_if_absent(

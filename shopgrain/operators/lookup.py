@@ -1,32 +1,28 @@
 """Equi-join against a table that is unique on the key, safe for hot keys on the left."""
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.sources.scratch import materialise
+from shopgrain.sources.scratch import Size, materialise, measured, size_columns
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
 
-HOT_KEYS = 1000
-HOT_SHARE = 0.001
-TRACKED_KEYS = 8192
+HOT_SHARE = 0.001  # of the rows, or an average shuffle partition if that is less
+TRACKED_PER_PARTITION = 8
+LEAST_TRACKED, MOST_TRACKED = 8192, 1_000_000
 MERGE_GROUPS = 512
 SALTS_PER_PARTITION = 4
 
 
+def small(size: Size, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return size.rows <= max_rows and size.width <= max_bytes
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Measure ``df`` with one distributed aggregate and compare with the bounds."""
-    width = reduce(
-        add,
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
-    )
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
-    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
+    return small(Size(*df.agg(*size_columns(df)).first()), max_rows, max_bytes)
 
 
 def lookup(
@@ -42,10 +38,16 @@ def lookup(
 
     A right side measured to be small is broadcast, so the left is not shuffled. Otherwise both
     sides shuffle on the key plus a salt that is non-zero only for hot keys: no task gets more
-    than its share, and only the few hot right rows are copied. ``measure`` is a table no smaller
-    than the right side that is cheaper to measure. The left's columns come first, in their order.
+    than its share, and only the few hot right rows are copied. The right side is worked out once, into a
+    written table whose size is counted on the way; with ``measure``, a table no smaller that is cheap to read twice
+    as the right side is too, it is not written. The left's columns come first, in their order.
     """
-    if fits_broadcast(right if measure is None else measure, max_rows, max_bytes):
+    if measure is None:
+        right, size = measured(right, "lookup")
+        fits = small(size, max_rows, max_bytes)
+    else:
+        fits = fits_broadcast(measure, max_rows, max_bytes)
+    if fits:
         joined = left.join(F.broadcast(right), on, how)
     else:
         joined = salted_join(left, right, on, how)
@@ -81,25 +83,29 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "le
 
 
 def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Hashes of the keys that hold more than ``HOT_SHARE`` of the rows, and over how many salts to
-    spread each: at most ``HOT_KEYS`` rows, and salts in the order of the shuffle partitions in all.
+    """Hashes of the keys that hold more rows than an average shuffle partition (or ``HOT_SHARE`` of them, if that is
+    less), and over how many salts to spread each: at most a few rows per partition, and salts in the order of
+    the shuffle partitions in all.
 
     A frequent-items sketch finds them in one pass without shuffling keys. It only steers where
     rows go; the join's result does not depend on it. Sketches are merged in groups before they meet
     in one task, so that task's input does not grow with the number of partitions.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = min(HOT_SHARE, 1 / partitions)
+    tracked = min(MOST_TRACKED, max(LEAST_TRACKED, TRACKED_PER_PARTITION * partitions))
     names = ", ".join(f"`{c}`" for c in on)
-    sketch = F.expr(f"approx_top_k_accumulate(xxhash64({names}), {TRACKED_KEYS})")
-    merged = F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})")
+    sketch = F.expr(f"approx_top_k_accumulate(xxhash64({names}), {tracked})")
+    merged = F.expr(f"approx_top_k_combine(sketch, {tracked})")
+    most = min(tracked, int(1 / least) + 1)
     return (
         df.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
         .agg(sketch.alias("sketch"), F.count(F.lit(1)).alias("n"))
         .groupBy(F.lit(0).alias("all"))  # unlike a global merge, it stands empty partitions
         .agg(merged.alias("sketch"), F.sum("n").alias("n"))
-        .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("t"), "n")
+        .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {most})")).alias("t"), "n")
         .withColumn("share", F.col("t.count") / F.col("n"))
-        .where(F.col("share") > HOT_SHARE)
+        .where(F.col("share") > least)
         .select(
             F.col("t.item").alias("_h"),
             F.ceil(F.col("share") * partitions * SALTS_PER_PARTITION).cast("int").alias("_salts"),

@@ -11,50 +11,67 @@ from shopgrain.sources.scratch import materialise
 def sheet_names(labelled: DataFrame, label: str = "category_label") -> DataFrame:
     """One row ``(label, sheet)`` per named category, with unique sheet names.
 
-    The first category with a name keeps it unless the name is reserved; each later one gets the
-    name's first characters and ``_2``, ``_3``, ... in category order. Running out of suffixes, or
-    two categories ending up with one name, is an error.
+    The first category with a name keeps it unless the name is reserved. Each later one gets the name's first
+    characters and the next of ``_2``, ``_3``, ... in category order that no category has by nature; the stem gets
+    shorter as the number gets longer, so names never exceed their length.
     """
-    # Read four times below, so the categories are picked from the items once.
+    # Read several times below, so the categories are picked from the items once.
     named = materialise(
         named_categories(labelled, label).withColumn("_base", sheet_base_name(label)), "categories"
     )
     first = named.groupBy("_base").agg(F.min(label).alias("_first"))
     reserved = F.col("_base").isin(V.ALL_SHEET, V.DASHBOARD_SHEET)
-    natural = named.join(first, "_base").withColumn(
-        "_clash", reserved | (F.col(label) != F.col("_first"))
+    natural = materialise(
+        named.join(first, "_base").withColumn(
+            "_clash", reserved | (F.col(label) != F.col("_first"))
+        ),
+        "natural-names",
     )
     kept = natural.where(~F.col("_clash")).select(label, F.col("_base").alias("sheet"))
+    return _numbered(natural.where("_clash").select(label, "_base"), kept, label).unionByName(kept)
 
-    # The rank filter lets Spark cut each group before the shuffle; a group that long is an error.
-    stem = F.substring("_base", 1, V.CLASH_BASE_CHARS)
-    rank = F.row_number().over(Window.partitionBy("_stem").orderBy(label))
-    ranked = (
-        natural.where("_clash")
-        .select(label, stem.alias("_stem"))
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= V.LAST_CLASH_SUFFIX)
-    )
-    suffix = F.col("_rank") + 1
-    out_of_names = F.raise_error(F.concat(F.lit("too many sheets named "), F.col("_stem")))
-    renamed = ranked.select(
-        label,
-        F.when(
-            suffix <= V.LAST_CLASH_SUFFIX, F.concat_ws("_", "_stem", suffix.cast("string"))
-        ).otherwise(out_of_names.cast("string")).alias("sheet"),
+
+def _numbered(rest: DataFrame, kept: DataFrame, label: str) -> DataFrame:
+    """Made names for the categories in ``rest``, none of them among ``kept``.
+
+    Round by round of digits; what finds no number in one round goes to the next with a shorter stem.
+    """
+    numbered = r"^(.*)_([1-9][0-9]*)$"
+    taken = kept.select(
+        F.regexp_extract("sheet", numbered, 1).alias("_stem"),
+        F.regexp_extract("sheet", numbered, 2).try_cast("bigint").alias("_number"),
     )
-    same_name = F.raise_error(F.concat(F.lit("two categories share sheet "), F.col("sheet")))
-    return (
-        kept.unionByName(renamed)
-        .groupBy("sheet")
-        .agg(F.min(label).alias(label), F.count(F.lit(1)).alias("_n"))
-        .select(
-            label,
-            F.when(F.col("_n") == 1, F.col("sheet")).otherwise(same_name.cast("string")).alias(
-                "sheet"
-            ),
+    made, digits, low = None, 2, 2
+    while True:
+        high = 10**digits - 1
+        stem = F.substring("_base", 1, V.SHEET_NAME_CHARS - 1 - digits)
+        rank = F.row_number().over(Window.partitionBy("_stem").orderBy(label))
+        held = (
+            taken.where(F.col("_number").between(low, high))
+            .groupBy("_stem")
+            .agg(F.sort_array(F.collect_set("_number")).alias("_taken"))
         )
-    )
+        # each taken number at or below the next one pushes it on by one
+        number = F.aggregate(
+            F.coalesce("_taken", F.array().cast("array<bigint>")),
+            (F.col("_rank") + (low - 1)).cast("bigint"),
+            lambda n, t: F.when(t <= n, n + 1).otherwise(n),
+        )
+        placed = materialise(
+            rest.withColumn("_stem", stem)
+            .withColumn("_rank", rank)
+            .join(held, "_stem", "left")
+            .select(label, "_base", "_stem", number.alias("_number")),
+            "made-names",
+        )
+        fits = placed.where(F.col("_number") <= high).select(
+            label, F.concat_ws("_", "_stem", F.col("_number").cast("string")).alias("sheet")
+        )
+        made = fits if made is None else made.unionByName(fits)
+        rest = placed.where(F.col("_number") > high).select(label, "_base")
+        if rest.isEmpty():
+            return made
+        digits, low = digits + 1, 10**digits
 
 
 def placeholder_if_empty(df: DataFrame) -> DataFrame:

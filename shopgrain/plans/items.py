@@ -6,7 +6,7 @@ from shopgrain import schema as S
 from shopgrain.operators.capture import capture_links, walk_chain
 from shopgrain.operators.enrich import run_rate, with_label, with_price, with_translation
 from shopgrain.operators.keyed import conform, first_wins
-from shopgrain.operators.lookup import fits_broadcast, lookup, salted_join
+from shopgrain.operators.lookup import fits_broadcast, lookup
 from shopgrain.sources.pages import (
     SHOP,
     PagePatterns,
@@ -45,7 +45,7 @@ def listing_in_order(
 ) -> DataFrame:
     """Links of the listing pages reached from a start page, numbered along the chain from 1.
 
-    No html is shuffled: a short chain is broadcast to pick its pages, and for a long one the links
+    A page that is stored twice counts once. No html is shuffled: a short chain is broadcast to pick its pages, and for a long one the links
     are cut out before the join.
     """
     starts = pages.where(F.col("url") == start_url).select(F.col("url").alias("node"))
@@ -55,8 +55,9 @@ def listing_in_order(
     if fits_broadcast(numbers):
         return page_links(texts.join(F.broadcast(numbers), "url"), patterns)
     links = page_links(texts.withColumn("page_no", F.lit(0)), patterns).drop("page_no")
+    once = links.groupBy("page_url").agg(F.min("links").alias("links"))
     placed = numbers.withColumnRenamed("url", "page_url")
-    return salted_join(links, placed, ["page_url"], "inner").select("page_no", "page_url", "links")
+    return once.join(placed, "page_url").select("page_no", "page_url", "links")
 
 
 def items_from_pages(
@@ -68,7 +69,7 @@ def items_from_pages(
     labels: DataFrame | None = None,
     start_url: str | None = None,
     max_pages: int = 0,
-    max_items: int = 100,
+    max_items: int = 0,
     patterns: PagePatterns = SHOP,
 ) -> DataFrame:
     """Items in capture order from listing pages and product pages.
@@ -90,10 +91,9 @@ def items_from_pages(
         "untitled", F.col("title_src").isNull()
     )
     records = materialise(first_wins(parsed, ["url"], ["untitled"]).drop("untitled"), "records")
-    captured = lookup(links.select("ord", "url"), records, ["url"])
-    return enrich_records(
-        captured.withColumn("low_stock", F.coalesce("low_stock", F.lit(False))),
-        run_rate(rates, fixed_rate),
-        translations,
-        labels,
+    # Enriched before they meet the links, so that no enrichment works out the join twice.
+    enriched = enrich_records(records, run_rate(rates, fixed_rate), translations, labels)
+    captured = lookup(links.select("ord", "url"), enriched.drop("ord"), ["url"])
+    return conform(
+        captured.withColumn("low_stock", F.coalesce("low_stock", F.lit(False))), S.ITEM
     )

@@ -5,10 +5,10 @@ logged segments, the path being read is never overwritten, and a repeated run is
 One writer at a time is assumed, as for any table without a transaction service.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shopgrain.operators.keyed import conform
+from shopgrain.sources.scratch import path_exists
 
 COMMIT = T.StructType(
     [
@@ -32,13 +32,9 @@ class StoredTable:
 
     def commits(self) -> list:
         """The log, oldest first: one short row per run."""
-        try:
-            log = self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits")
-            return sorted(log.collect())
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
+        if not path_exists(self.spark, f"{self.path}/commits"):
+            return []
+        return sorted(self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits").collect())
 
     def has_run(self, run_id: str) -> bool:
         return any(c.run_id == run_id for c in self.commits())

@@ -2,9 +2,10 @@
 
 from pyspark.sql import types as T
 
-PRICE_SRC = T.DecimalType(18, 4)
-PRICE = T.DecimalType(18, 2)
+# The product of price and rate has 38 digits, so it is exact before it is rounded.
+PRICE_SRC = T.DecimalType(19, 4)
 RATE = T.DecimalType(18, 6)
+PRICE = T.DecimalType(29, 2)
 
 ITEM = T.StructType(
     [

@@ -6,7 +6,7 @@ one projection, so ``html`` is read once and dropped before anything is shuffled
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions.parse import (
     low_stock,
@@ -17,53 +17,131 @@ from shopgrain.functions.parse import (
 )
 from shopgrain.functions.text import blank_to_null
 from shopgrain.functions.web import (
-    all_attributes,
     bare_text,
     decoded,
     first_match,
+    link_targets,
     resolve_link,
 )
 
 
+def _opening(tag: str) -> str:
+    """Where an element of this name begins."""
+    return rf"(?i)<{tag}(?=[\s/>])"
+
+
+def _closing(tag: str) -> str:
+    return rf"(?i)</{tag}(?=[\s>])"
+
+
+def _attribute(name: str, value: str) -> str:
+    """The rest of an opening tag up to an attribute's value; no tag holds another tag's begin."""
+    return rf"[^<>]*?\s(?i:{name})\s*=\s*{value}"
+
+
+def _token(name: str) -> str:
+    """A class list with a whole token, with or without quotes."""
+    return (
+        rf"""(?:"(?:[^"<>]*\s)?{name}(?:\s[^"<>]*)?"|'(?:[^'<>]*\s)?{name}(?:\s[^'<>]*)?'"""
+        rf"""|{name}(?=[\s>]))"""
+    )
+
+
 def _tag_with_class(tag: str, name: str) -> str:
-    return rf"""<{tag}\b[^>]*\bclass=["'][^"'>]*\b{name}\b[^"'>]*["'][^>]*>"""
+    return rf"<(?i:{tag})(?=\s){_attribute('class', _token(name))}[^<>]*>"
+
+
+ANCHOR = r"""(?i)<a(?=\s)[^<>]*?\shref\s*=\s*("[^"<>]*"|'[^'<>]*'|[^\s"'<>]+)"""
 
 
 @dataclass(frozen=True)
 class PagePatterns:
-    """Where a shop keeps its fields. The defaults fit the usual product-pod markup."""
-
-    product_link: str = (
-        r"(?s)" + _tag_with_class("article", "product_pod") + r""".*?<h3\b[^>]*>\s*"""
-        r"""<a\b[^>]*\bhref=["']([^"'>]*)["']"""
-    )
-    next_link: str = (
-        r"(?s)" + _tag_with_class("li", "next") + r"""\s*<a\b[^>]*\bhref=["']([^"'>]*)["']"""
+    """Where a shop keeps its fields. The defaults fit the usual product-pod markup.
+
+    An element is given by its tag and a class that is one whole token of its class list. Texts are
+    patterns whose group 1 is wanted.
+    """
+
+    product: tuple[str, str] = ("article", "product_pod")
+    product_heading: str = "h3"
+    next_item: tuple[str, str] = ("li", "next")
+    main: tuple[str, str] = ("div", "product_main")
+    title: str = r"(?is)<h1(?=[\s>])[^>]*>(.*?)</h1"
+    price: str = r"(?s)" + _tag_with_class("p", "price_color") + r"(.*?)</(?i:p)"
+    availability: str = r"(?s)" + _tag_with_class("p", "availability") + r"(.*?)</(?i:p)"
+    rating_class: str = r"<(?i:p)(?=\s)" + _attribute(
+        "class", "(" + _token("star-rating").removeprefix("(?:")
     )
-    main_block: str = r"(?s)" + _tag_with_class("div", "product_main") + r"(.*)"
-    title: str = r"(?s)<h1\b[^>]*>(.*?)</h1>"
-    price: str = r"(?s)" + _tag_with_class("p", "price_color") + r"(.*?)</p>"
-    availability: str = r"(?s)" + _tag_with_class("p", "availability") + r"(.*?)</p>"
-    rating_class: str = r"""<p\b[^>]*\bclass=["']([^"'>]*\bstar-rating\b[^"'>]*)["']"""
-    breadcrumb: str = r"(?s)" + _tag_with_class("ul", "breadcrumb") + r"(.*?)</ul>"
-    breadcrumb_item: str = r"<li\b"
+    breadcrumb: str = r"(?s)" + _tag_with_class("ul", "breadcrumb") + r"(.*?)</(?i:ul)"
+    breadcrumb_item: str = r"(?i)<li(?=[\s>])"
     category_position: int = 3
-    category_link: str = r"(?s)^[^>]*>\s*<a\b[^>]*>(.*?)</a>"
+    category_link: str = r"(?is)<a(?=[\s>])[^>]*>(.*?)</a"
 
 
 SHOP = PagePatterns()
 
 
+def _elements(html: Column, tag: str, token: str | None = None) -> Column:
+    """Inner texts of a page's elements, up to their close or the next element of the same name.
+
+    The page is cut at the element's begins, so the work is linear in the page's length.
+    """
+    begins = F.split(html, _opening(tag))
+    pieces = F.slice(begins, F.lit(2), F.greatest(F.size(begins) - 1, F.lit(0)))
+    if token is not None:
+        wanted = "^" + _attribute("class", _token(token))
+        pieces = F.filter(pieces, lambda piece: piece.rlike(wanted))
+    return F.transform(pieces, lambda piece: F.get(F.split(piece, _closing(tag), 2), F.lit(0)))
+
+
+def _anchors(inner: Column) -> Column:
+    """Link targets in document order, without their quotes."""
+    quoted = F.regexp_extract_all(inner, F.lit(ANCHOR), F.lit(1))
+    return F.transform(quoted, lambda href: F.regexp_replace(href, "^[\"']|[\"']$", ""))
+
+
+def _main_block(html: Column, tag: str, token: str) -> Column:
+    """Inner text of the first element with the class, up to its own close; null without one.
+
+    The page is cut before each begin and end of such elements; from the wanted one on, depth is
+    counted until it is back at none.
+    """
+    pieces = F.split(html, rf"(?i)(?=<{tag}[\s/>]|</{tag}[\s>])")
+    wanted = rf"(?s)^{_tag_with_class(tag, token)}"
+    first = F.array_position(F.transform(pieces, lambda piece: piece.rlike(wanted)), True)
+    tail = F.slice(pieces, F.greatest(first, F.lit(1)).cast("int"), F.size(pieces))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("kept"), F.lit(False).alias("closed"))
+
+    def step(state: Column, piece: Column) -> Column:
+        ends = piece.startswith("</")
+        depth = state["depth"] + F.when(ends, -1).otherwise(1)
+        closed = state["closed"] | (depth <= 0)
+        kept = state["kept"] + F.when(closed, 0).otherwise(1)
+        return F.struct(depth.alias("depth"), kept.alias("kept"), closed.alias("closed"))
+
+    kept = F.aggregate(tail, start, step)["kept"]
+    return F.when(first > 0, F.array_join(F.slice(tail, F.lit(1), kept), ""))
+
+
 def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Product links per listing page, absolute, in document order, copies kept."""
-    hrefs = all_attributes("html", patterns.product_link)
-    links = F.transform(hrefs, lambda href: resolve_link(F.col("url"), href))
-    return pages.select("page_no", F.col("url").alias("page_url"), links.alias("links"))
+    cut = pages.select(
+        "page_no",
+        F.col("url").alias("page_url"),
+        _elements(F.col("html"), *patterns.product).alias("products"),
+    )
+    headings = F.flatten(
+        F.transform("products", lambda p: _elements(p, patterns.product_heading))
+    )
+    hrefs = link_targets(F.flatten(F.transform(headings, _anchors)))
+    links = F.transform(hrefs, lambda href: resolve_link(F.col("page_url"), href))
+    return cut.select("page_no", "page_url", F.coalesce(links, F.array()).alias("links"))
 
 
 def next_pages(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Chain of listing pages: ``(node, next)``, next null at the end."""
-    raw = pages.select("url", first_match("html", patterns.next_link).alias("raw"))
+    onward = F.flatten(F.transform(_elements(F.col("html"), *patterns.next_item), _anchors))
+    raw = pages.select("url", F.get(onward, F.lit(0)).alias("raw"))
     hrefs = raw.select("url", decoded("raw").alias("href"))
     return hrefs.select(F.col("url").alias("node"), resolve_link("url", "href").alias("next"))
 
@@ -80,14 +158,16 @@ def product_texts(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     crumbs = F.split(first_match("html", patterns.breadcrumb), patterns.breadcrumb_item)
     blocks = pages.select(
         "url",
-        first_match("html", patterns.main_block).alias("main"),
+        _main_block(F.col("html"), *patterns.main).alias("main"),
         F.get(crumbs, patterns.category_position).alias("crumb"),
     )
     raw = blocks.select(
         "url",
         first_match("main", patterns.title).alias("title"),
         first_match("main", patterns.price).alias("price_text"),
-        first_match("main", patterns.rating_class).alias("rating_class"),
+        F.regexp_replace(first_match("main", patterns.rating_class), "^[\"']|[\"']$", "").alias(
+            "rating_class"
+        ),
         first_match("main", patterns.availability).alias("availability"),
         first_match("crumb", patterns.category_link).alias("category"),
     )

@@ -6,9 +6,11 @@ executors are lost, and lets every later read prune columns.
 
 import tempfile
 import uuid
-from functools import cache
+from functools import cache, reduce
+from operator import add
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -18,7 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):  # local-cluster has executors
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return _local_folder()
 
@@ -40,3 +43,34 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+class Size(NamedTuple):
+    """Rows of a table and about as many bytes."""
+
+    rows: int
+    width: int
+
+
+def size_columns(df: DataFrame) -> tuple[Column, Column]:
+    """Aggregates that give a table's ``Size``."""
+    width = reduce(
+        add,
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
+    )
+    total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
+    return F.count(F.lit(1)).alias("rows"), total.alias("width")
+
+
+def measured(df: DataFrame, name: str) -> tuple[DataFrame, Size]:
+    """``materialise`` and the table's size, counted by the job that writes it."""
+    seen = Observation()
+    table = materialise(df.observe(seen, *size_columns(df)), name)
+    found = seen.get
+    return table, Size(found["rows"], found["width"])

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shopgrain.operators.keyed import first_wins, held_keys, new_rows
+from shopgrain.operators.keyed import first_wins, held_keys
 from shopgrain.plans.store import StoredTable
 from shopgrain.plans.sync import Catalog, append_items, refresh_dashboard
 from shopgrain.sources.scratch import materialise
@@ -34,25 +34,35 @@ def run_available(
     )
 
 
+def run_id_of(batch: DataFrame, batch_id: int, name: str) -> str:
+    """Names a batch of one checkpoint: a retry has the same name, a new checkpoint another one.
+
+    The streaming query's own id is kept in its checkpoint.
+    """
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{name}-{query_id}-{batch_id}"
+
+
 def append_new_keys(
     stream: DataFrame, target: StoredTable, key: list[str], order_by: list[str], checkpoint: str,
     name: str = "batch",
 ) -> StreamingQuery:
     """Append each batch's first row per key that the target does not hold.
 
-    First-seen state lives in the target. A batch id is one stored run, so a retried batch writes
-    nothing twice. ``name`` sets runs with different checkpoints apart.
+    First-seen state lives in the target. A batch of a checkpoint is one stored run, so a retried batch
+    writes nothing twice, and a new checkpoint, which may see old and new files, adds what is new.
     """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{name}-{batch_id}"
+        run_id = run_id_of(batch, batch_id, name)
         if target.has_run(run_id):
             return
         keyed = batch
         for k in key:
             keyed = keyed.where(F.col(k).isNotNull())
         first = materialise(first_wins(keyed, key, order_by), "stream-first")
-        target.append(new_rows(first, held_keys(first, target.read(), key), key), run_id)
+        held = held_keys(first, target.read(), key)
+        target.append(first.join(held, key, "left_anti"), run_id)
 
     return run_available(stream, each_batch, checkpoint)
 
@@ -76,7 +86,7 @@ def sync_batches(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_id = f"{name}-{batch_id}"
+        run_id = run_id_of(batch, batch_id, name)
         stamp = run_ts or datetime.now(timezone.utc)
         items = materialise(to_items(batch), "stream-items")
         if item_tables:

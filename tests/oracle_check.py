@@ -59,7 +59,7 @@ def main():
     spark, con, sql = make_session(), connect(sf_dir), entry.oracle_sql()
     bad = 0
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if name not in sql or (names and name not in names):
             continue
         began = time.time()
         try:

@@ -30,7 +30,15 @@ def test_page_limit_reaches_the_scan(spark, tmp_path):
     listing(spark).write.parquet(str(tmp_path / "l"))
     pages = capture.first_pages(spark.read.parquet(str(tmp_path / "l")), 3)
     plan = pages._jdf.queryExecution().executedPlan().toString()
-    assert "LessThan(page_no,4)" in plan
+    assert "LessThanOrEqual(page_no,3)" in plan
+
+
+@pytest.mark.parametrize("max_items, max_pages, expected", [(0, 2, 2), (3, 0, 3), (0, 9, 3), (1, 1, 1)])
+def test_page_numbers_with_gaps_and_pages_twice(spark, max_items, max_pages, expected):
+    rows = [(n, f"p{n}", [f"u{n}"]) for n in (10, 20, 30, 10, 30)]
+    pages = spark.createDataFrame(rows, "page_no bigint, page_url string, links array<string>")
+    got = capture.capture_links(pages, max_items, max_pages).orderBy("ord").collect()
+    assert [(r.ord, r.url) for r in got] == [(i + 1, f"u{n}") for i, n in enumerate((10, 20, 30))][:expected]
 
 
 def lines(spark, max_items, max_pages, rate=None):
@@ -78,10 +86,18 @@ STARTS = ["a0", "a30", "r1", "self", "gone", "missing", "a37", *(f"in{i}" for i
 
 
 @pytest.mark.parametrize("max_pages", [0, 1, 2, 5, 16])
-@pytest.mark.parametrize("small", [True, False])
-def test_chain_walk(spark, monkeypatch, max_pages, small):
-    monkeypatch.setattr(capture, "fits_broadcast", lambda df: small)
-    nodes = spark.createDataFrame(list(NODES.items()), "node string, next string")
+@pytest.mark.parametrize("fits", [True, False])
+def test_chain_walk(spark, monkeypatch, max_pages, fits):
+    monkeypatch.setattr(capture, "small", lambda size: fits)
+    twice = list(NODES.items()) * 2  # pages stored twice
+    nodes = spark.createDataFrame(twice, "node string, next string")
     starts = spark.createDataFrame([(s,) for s in STARTS], "node string")
     got = capture.walk_chain(nodes, starts, max_pages)
     assert {tuple(r) for r in got.collect()} == brute_walk(NODES, STARTS, max_pages)
+
+
+def test_a_long_chain_stored_twice_ends(spark):
+    nodes = spark.range(2000).selectExpr("string(id % 1000) AS node", "string(id % 1000 + 1) AS next")
+    starts = spark.createDataFrame([("0",)], "node string")
+    got = capture.walk_chain(nodes, starts)
+    assert got.count() == 1000 and got.agg(F.max("hop")).first()[0] == 999

@@ -60,6 +60,15 @@ def test_items_in_page_order_and_limits(spark, shop):
     assert titles(limited) == ["Alpha", "Beta", "Alpha"]
 
 
+def test_pages_stored_twice_change_nothing(spark, shop):
+    listing, details = shop
+    once = plan.items_from_pages(listing.drop("page_no"), details, start_url=START)
+    twice = plan.items_from_pages(
+        listing.drop("page_no").union(listing.drop("page_no")), details.union(details), start_url=START
+    )
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, twice.collect()))
+
+
 def test_a_large_limit_parses_all_pages(spark, shop, monkeypatch):
     monkeypatch.setattr(plan, "fits_broadcast", lambda df: False)
     listing, details = shop

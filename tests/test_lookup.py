@@ -81,3 +81,32 @@ def test_bounds_count_rows_and_bytes(spark, words):
     assert not fits_broadcast(words, max_rows=399)
     assert not fits_broadcast(words, max_bytes=1000)
     assert fits_broadcast(words.where("false"))
+
+
+def test_a_key_above_an_average_partition_is_found_with_many_partitions(spark):
+    rows = spark.range(200_000).select(
+        F.when(F.col("id") % 1112 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k")
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        found = hot_keys(rows, ["k"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    hot = spark.range(1).select(F.xxhash64(F.lit(-1).cast("bigint")).alias("h")).first().h
+    assert {r["_h"]: r["_salts"] for r in found}.get(hot, 0) >= 10  # 0.09 % of the rows
+
+
+def test_the_right_side_is_worked_out_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(x):
+        runs.add(1)
+        return x
+
+    right = spark.range(50).select(counted("id").alias("k"), F.lit(1).alias("v"))
+    left = spark.range(100).withColumnRenamed("id", "k")
+    assert lookup(left, right, ["k"]).where("v = 1").count() == 50
+    assert runs.value == 50

@@ -54,7 +54,10 @@ def test_conversion_rounds_half_up_on_decimals(spark):
     ]
     assert apply(spark, ["10.0049"], at(None)) == [Decimal("10.00")]
     assert apply(spark, ["10"], at("0")) == [Decimal("10.00")]
-    assert apply(spark, ["99999999999999"], at("999999999999")) == [None]
+    # The largest product keeps all its digits.
+    assert apply(spark, ["99999999999999"], at("999999999999")) == [
+        Decimal("99999999999899000000000001.00")
+    ]
 
 
 def test_json_payloads(spark):

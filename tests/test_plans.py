@@ -70,7 +70,8 @@ def test_html_is_not_shuffled(spark):
 def test_a_small_batch_does_not_shuffle_the_target(spark):
     events = W.table(spark, SF_DIR, "events")
     batch = materialise(events.where("event_id < 5").select("user_id").distinct(), "batch")
-    plan = plan_of(keyed.new_rows(batch, keyed.held_keys(batch, events, ["user_id"]), ["user_id"]))
+    held = keyed.held_keys(batch, events, ["user_id"])
+    plan = plan_of(batch.join(held, "user_id", "left_anti"))
     assert "LeftSemi" in plan and "Exchange hashpartitioning" not in plan
 
 

@@ -1,57 +1,65 @@
 import pytest
 
-from pyspark.errors import PySparkException
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names
-from tests.helpers import strings_frame
-from tests.test_text import py_sheet
+from tests.helpers import random_strings, strings_frame
 
 
 def named(spark, values):
     return {r.x: r.sheet for r in sheet_names(strings_frame(spark, values), "x").collect()}
 
 
-def one_by_one(values):
-    """The names given category by category."""
-    used, names = {"Todos", "Painel"}, {}
-    for c in sorted({v for v in values if v is not None and v.strip()}):
-        name = py_sheet(c)
-        if name in used:
-            i = 2
-            while f"{name[:28]}_{i}" in used:
-                i += 1
-            name = f"{name[:28]}_{i}"
-        used.add(name)
-        names[c] = name
-    return names
-
-
 LONG = "A category name that is much too long "
 
 
 @pytest.mark.parametrize(
-    "values",
+    "names",
     [
-        ["Art", "art", "Art ", " Art", None, "", "  ", "Art"],
-        ["Todos", "Painel", "Todos/", "Painel?", "x"],
-        [LONG + str(i) for i in range(40)],
-        [LONG[:28] + tail for tail in ("aaa1", "aaa2", "bbb1", "bbb2", "ccc", "aaa")],
-        ["a:b", "a/b", "a b", "[a b]", "*", "?"],
+        {" Art": "Art", "Art": "Art_2", "Art ": "Art_3", "art": "art"},
+        {"Todos": "Todos_2", "Painel": "Painel_2", "Todos/": "Todos_3", "Painel?": "Painel_3", "x": "x"},
+        {"[a b]": "a b", "a b": "a b_2", "a/b": "a b_3", "a:b": "a b_4", "*": "Categoria", "?": "Categoria_2"},
+        {LONG + "1": "A category name that is much too"[:31], LONG + "2": "A category name that is much_2",
+         LONG + "3": "A category name that is much_3"},
+        # A made name steps over a name that a category has by nature.
+        {"Todos": "Todos_3", "Todos_2": "Todos_2", "Todos?": "Todos_4"},
+        {"Todos": "Todos_2", "Todos_02": "Todos_02", "Todos_1": "Todos_1"},
     ],
-)
-def test_names_equal_those_given_one_by_one(spark, values):
-    assert named(spark, values) == one_by_one(values)
+)
+def test_names(spark, names):
+    assert named(spark, [*names, None, "", "  "]) == names
+
+
+def check(names, values):
+    """What holds for any names: all categories, no name twice or reserved, at most 31 characters."""
+    assert set(names) == {v for v in values if v is not None and v.strip()}
+    assert len(set(names.values())) == len(names)
+    assert not {"Todos", "Painel"} & set(names.values())
+    assert all(0 < len(n) <= 31 for n in names.values())
+
+
+def test_hundreds_of_one_stem_and_natural_names_among_them(spark):
+    values = [LONG + f"{i:04}" for i in range(1200)]
+    natural = ["A category name that is much_7", "A category name that is muc_100"]
+    names = named(spark, values + natural)
+    check(names, values + natural)
+    assert all(names[n] == n for n in natural)
+    assert names[LONG + "0001"] == "A category name that is much_2"
+    assert names[LONG + "0006"] == "A category name that is much_8"
+    assert names[LONG + "0098"] == "A category name that is muc_101"
+    assert names[LONG + "1199"] == "A category name that is mu_1202"
+    ordered = [names[v] for v in values]
+    numbers = [int(n.rsplit("_", 1)[1]) for n in ordered[1:]]
+    assert numbers == sorted(numbers)
 
 
-def test_98_clashes_fit_and_99_do_not(spark):
-    fits = named(spark, [LONG + f"{i:03}" for i in range(99)])
-    assert len(set(fits.values())) == 99 and max(map(len, fits.values())) == 31
-    with pytest.raises(PySparkException, match="too many sheets"):
-        named(spark, [LONG + f"{i:03}" for i in range(100)])
+def test_stems_that_become_equal_when_they_get_shorter(spark):
+    stems = ["B" * 27 + "x", "B" * 27 + "y"]
+    values = [stem + f"zzz{i:04}" for stem in stems for i in range(150)]
+    check(named(spark, values), values)
 
 
-def test_a_name_that_equals_a_made_one_is_an_error(spark):
-    with pytest.raises(PySparkException, match="share sheet"):
-        named(spark, ["Todos", "Todos_2"])
+def test_any_names(spark):
+    values = random_strings(300, seed=5, longest=45) + ["Todos", "Painel", "Todos_2"]
+    check(named(spark, values), values)
 
 
 def test_placeholder(spark):

@@ -39,17 +39,33 @@ def test_two_batches_equal_one(spark, tmp_path, events):
     assert sorted_rows(target.read()) == sorted_rows(expected)
 
 
-def test_a_repeated_batch_adds_nothing(spark, tmp_path, events):
+def test_a_lost_checkpoint_repeats_nothing_and_loses_nothing(spark, tmp_path, events):
     source = tmp_path / "in"
-    arrive(events, source)
     target = StoredTable(spark, str(tmp_path / "target"), events.schema)
-    for check in ("a", "b"):  # a lost checkpoint starts the batches over
+    early = F.col("event_id") < 300
+    for check, part in (("a", events.where(early)), ("b", events.where(~early)), ("c", None)):
+        if part is not None:
+            arrive(part, source)
         append_new_keys(
-            file_stream(spark, str(source), events.schema), target, ["user_id"],
+            file_stream(spark, str(source), events.schema), target, ["user_id", "event_type"],
             ["ts", "event_id"], str(tmp_path / check),
         ).awaitTermination()
-    assert target.read().count() == events.select("user_id").distinct().count()
-    assert len(target.commits()) == 1
+    stored = target.read()
+    assert stored.count() == events.select("user_id", "event_type").distinct().count()
+    assert stored.select("user_id", "event_type").distinct().count() == stored.count()
+
+
+def test_a_lost_checkpoint_loses_no_items(spark, tmp_path):
+    source, catalog = tmp_path / "in", Catalog(spark, str(tmp_path / "catalog"))
+    for check, rows in (("a", FIRST), ("b", SECOND)):
+        arrive(items(spark, rows), source)
+        sync_batches(
+            file_stream(spark, str(source), S.ITEM), lambda df: df, catalog, str(tmp_path / check),
+            run_ts=TS,
+        ).awaitTermination()
+    todos = catalog.items.read().where("table_name = 'catalog.items_todos'")
+    assert sorted(r.url for r in todos.collect()) == ["u1", "u2", "u3", "u4", "u5", "u9"]
+    assert "poesia" in {r.category for r in catalog.dashboard.read().collect()}
 
 
 def test_null_keys_are_skipped(spark, tmp_path):

@@ -10,28 +10,11 @@ from tests.helpers import apply, random_strings
 SAMPLE = ["", " ", " \t", "  a b　", "\x1cx\x1f", "\x85é "] + random_strings(400)
 
 
-def py_slug(s):
-    return re.sub(r"[^a-z0-9_]+", "", re.sub(r"\s+", "_", s.strip().lower()))
-
-
-def py_table(s):
-    base = re.sub("[^a-z0-9]+", "_", (s or "").strip().lower()).strip("_") or "tabela"
-    return (f"t_{base}" if base[0].isdigit() else base)[:63]
-
-
-def py_sheet(s):
-    legal = re.sub(r"[:\\/?*\[\]]+", " ", (s or "").strip())
-    return (re.sub(r"\s+", " ", legal).strip() or "Categoria")[:31]
-
-
 @pytest.mark.parametrize(
     "ours, expected",
     [
         (text.strip_ws, str.strip),
         (text.blank_to_null, lambda s: s.strip() or None),
-        (text.slug, py_slug),
-        (text.table_name, py_table),
-        (text.sheet_base_name, py_sheet),
         (text.or_missing, lambda s: s or "N/A"),
         (text.one_line, lambda s: s.replace("\n", " ").strip()),
     ],
@@ -40,6 +23,35 @@ def test_text_rules_hold_for_any_text(spark, ours, expected):
     assert apply(spark, SAMPLE, ours) == [expected(s) for s in SAMPLE]
 
 
+@pytest.mark.parametrize(
+    "ours, shape, stable",
+    [
+        (text.slug, r"[a-z0-9_]*", True),
+        (text.table_name, r"(t_[0-9][a-z0-9_]*|[a-z][a-z0-9_]*)", True),
+        (text.sheet_base_name, r"[^:\\/?*\[\]]{1,31}", False),
+    ],
+)
+def test_names_have_their_shape_for_any_text(spark, ours, shape, stable):
+    names = apply(spark, SAMPLE, ours)
+    assert all(re.fullmatch(f"(?s){shape}", n) for n in names)
+    assert max(map(len, names)) <= 63
+    if stable:  # a name is its own name
+        assert apply(spark, names, ours) == names
+
+
+@pytest.mark.parametrize(
+    "ours, cases",
+    [
+        (text.slug, {"  Two  Words ": "two_words", "a-b.c": "abc", "_x_": "_x_", "A\u00a0B": "a_b", "": ""}),
+        (text.table_name, {"__a--b__": "a_b", "Ünï": "n", "7": "t_7", "": "tabela", "é": "tabela"}),
+        (text.sheet_base_name, {" a  b ": "a b", "x" * 40: "x" * 31, "[]": "Categoria", "": "Categoria",
+                                "a\t\nb": "a b", "a//b": "a b"}),
+    ],
+)
+def test_names_of_given_texts(spark, ours, cases):
+    assert apply(spark, list(cases), ours) == list(cases.values())
+
+
 def test_null_texts(spark):
     for ours, expected in [
         (text.strip_ws, None),

@@ -2,7 +2,14 @@
 
 from shopgrain import fixed_values as V
 from workload import tables as W
-from workload.queries import EVENT_KEY, ITEM_LIMIT, LINE_KEY, LINE_ORDER, PAGE_LIMIT
+from workload.queries import (
+    EVENT_KEY,
+    ITEM_LIMIT,
+    LINE_KEY,
+    LINE_ORDER,
+    PAGE_LIMIT,
+    PAGE_STEP,
+)
 
 WS = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
@@ -55,7 +62,9 @@ def label(text: str, rows) -> str:
 
 def translated(text: str) -> str:
     whens = " ".join(
-        f"WHEN {_text(k)} THEN {blank_null(_text(v))}" for k, v in W.TRANSLATIONS if v is not None
+        f"WHEN {_text(k.strip())} THEN {blank_null(_text(v))}"
+        for k, v in W.TRANSLATIONS
+        if v is not None
     )
     key = blank_null(text)
     return f"coalesce(CASE {key} {whens} END, {key}, {text})"
@@ -119,22 +128,40 @@ ITEMS = f"""{RECORDS}, items AS (
         {label("category", W.LABELS)} AS category_label
     FROM rated)"""
 
+SHOP = f"""{OFFERS.replace("' || chr(10) || '(", " (")}, {RECORDS[len(OFFERS) + 2 :]}, shop AS (
+    SELECT * REPLACE (category || ' & Co' AS category,
+        '{W.SHOP_ROOT}part-' || ord || '/index.html' AS url) FROM rated), items AS (
+    SELECT * REPLACE (ord + 1 AS ord), {translated("title_src")} AS title,
+        {converted("price_src", W.RATE)} AS price,
+        {label("category", W.LABELS)} AS category_label FROM shop)"""
+
 ITEM_COLUMNS = """title, title_src, CAST(price AS DOUBLE) AS price,
     CAST(price_src AS DOUBLE) AS price_src, rating_word, rating, availability, stock, low_stock,
     category, category_label, url, ord"""
 
 
 def sheets(source: str, column: str) -> str:
-    """CTEs that end in ``named(label, sheet)``."""
-    return f"""labels AS (
+    """CTEs that end in ``named(label, sheet)``: made names draw from lists of free numbers."""
+    ctes = f"""labels AS (
         SELECT DISTINCT {column} AS label FROM {source} WHERE {strip(column)} <> ''), bases AS (
         SELECT label, {sheet_base("label")} AS base FROM labels), firsts AS (
         SELECT label, base, base IN ('{V.ALL_SHEET}', '{V.DASHBOARD_SHEET}')
-            OR label <> min(label) OVER (PARTITION BY base) AS clash FROM bases), named AS (
-        SELECT label, base AS sheet FROM firsts WHERE NOT clash
-        UNION ALL
-        SELECT label, substr(base, 1, 28) || '_' || (1 + row_number() OVER (
-            PARTITION BY substr(base, 1, 28) ORDER BY label)) FROM firsts WHERE clash)"""
+            OR label <> min(label) OVER (PARTITION BY base) AS clash FROM bases), kept AS (
+        SELECT label, base AS sheet FROM firsts WHERE NOT clash), rest2 AS (
+        SELECT label, base FROM firsts WHERE clash)"""
+    rounds = (2, 3, 4)
+    for d in rounds:
+        low, high, stem = 2 if d == 2 else 10 ** (d - 1), 10**d, f"substr(base, 1, {30 - d})"
+        ctes += f""", want{d} AS (
+        SELECT label, base, {stem} AS stem, row_number() OVER (PARTITION BY {stem} ORDER BY label)
+            AS r FROM rest{d}), free{d} AS (
+        SELECT stem, n, row_number() OVER (PARTITION BY stem ORDER BY n) AS r
+        FROM (SELECT DISTINCT stem FROM want{d}) CROSS JOIN range({low}, {high}) t(n)
+        WHERE stem || '_' || n NOT IN (SELECT sheet FROM kept)), made{d} AS (
+        SELECT label, w.stem || '_' || n AS sheet FROM want{d} w JOIN free{d} USING (stem, r)),
+        rest{d + 1} AS (SELECT label, base FROM want{d} ANTI JOIN made{d} USING (label))"""
+    made = " ".join(f"UNION ALL SELECT * FROM made{d}" for d in rounds)
+    return f"{ctes}, named AS (SELECT * FROM kept {made})"
 
 
 EVENTS = f"""e AS (
@@ -249,7 +276,7 @@ ORACLE = {
     "translation_requests": f"""WITH {OFFERS}, keys AS (
         SELECT DISTINCT {blank_null("title")} AS key FROM offers WHERE {blank_null("title")} <> '')
         SELECT key, replace(url_encode(key), '%2F', '/') AS query FROM keys
-        WHERE key NOT IN ({", ".join(_text(k) for k, _ in W.TRANSLATIONS)})""",
+        WHERE key NOT IN ({", ".join(_text(k.strip()) for k, _ in W.TRANSLATIONS)})""",
     "convert_prices": f"""WITH {RECORDS} SELECT ord, CAST(price_src AS DOUBLE) AS price_src,
         CAST({converted("price_src", W.RATE)} AS DOUBLE) AS online,
         CAST({converted("price_src", 7.25)} AS DOUBLE) AS fixed,
@@ -275,16 +302,31 @@ ORACLE = {
         nullif(regexp_extract(html, '<meta charset="([^"]*)"', 1), '') AS charset FROM pages""",
     "page_links": f"WITH {NAV} SELECT page_no, pos, url FROM links",
     "page_link_order": f"WITH {NAV} SELECT * FROM ordered",
-    "page_link_limit": f"""WITH {NAV}
-        SELECT * FROM ordered WHERE ord <= {ITEM_LIMIT} AND page_no < {PAGE_LIMIT}""",
-    "shop_items": f"""WITH {OFFERS.replace("' || chr(10) || '(", " (")}, {RECORDS[len(OFFERS) + 2 :]},
-        shop AS (
-        SELECT * REPLACE (category || ' & Co' AS category,
-            '{W.SHOP_ROOT}part-' || ord || '/index.html' AS url) FROM rated), items AS (
-        SELECT * REPLACE (ord + 1 AS ord), {translated("title_src")} AS title,
-            {converted("price_src", W.RATE)} AS price,
-            {label("category", W.LABELS)} AS category_label FROM shop)
-        SELECT {ITEM_COLUMNS} FROM items""",
+    "page_link_limit": f"""WITH {NAV}, visits AS (
+        SELECT page_id AS page_no, row_number() OVER (ORDER BY page_id) AS visit FROM pages), runs AS (
+        SELECT *, 'pages' AS run FROM ordered WHERE ord <= {100 * ITEM_LIMIT}
+            AND page_no IN (SELECT page_no FROM visits WHERE visit <= {PAGE_LIMIT})
+        UNION ALL
+        SELECT *, 'items' FROM ordered WHERE ord <= {ITEM_LIMIT}
+            AND page_no IN (SELECT page_no FROM visits WHERE visit <= {100 * PAGE_LIMIT}))
+        SELECT * REPLACE (page_no * {PAGE_STEP} AS page_no) FROM runs""",
+    "shop_items": f"WITH {SHOP} SELECT {ITEM_COLUMNS} FROM items",
+    "whole_run": f"""WITH {SHOP}, {sheets("items", "category_label")}, placed AS (
+        SELECT category_label, url, sheet FROM items LEFT JOIN named ON category_label = label), routed AS (
+        SELECT 'catalog.items_' || {table_name(_text(V.ALL_SHEET))} AS table_name, url FROM placed
+        UNION ALL
+        SELECT 'catalog.items_' || {table_name("sheet")}, url FROM placed WHERE sheet IS NOT NULL)
+        SELECT 'sheet' AS kind, '{V.ALL_SHEET}' AS name, count(*) AS rows, count(*) AS added FROM items
+        UNION ALL
+        SELECT 'sheet', '{V.DASHBOARD_SHEET}', count(*), count(*)
+        FROM (SELECT DISTINCT category_label FROM items)
+        UNION ALL
+        SELECT 'sheet', sheet, count(*), count(*) FROM placed WHERE sheet IS NOT NULL GROUP BY sheet
+        UNION ALL
+        SELECT 'table', table_name, count(*), count(DISTINCT url) FROM routed GROUP BY table_name
+        UNION ALL
+        SELECT 'table', {DASH_TABLE}, count(DISTINCT category_label), count(DISTINCT category_label)
+        FROM items""",
     "chain_walk": """WITH RECURSIVE walk AS (
         SELECT conv_id, turn, conv_id || ':' || turn AS start, CAST(0 AS BIGINT) AS hop
         FROM conversations WHERE turn = 0
@@ -361,11 +403,16 @@ ORACLE = {
 }
 
 ORACLE["stream_offers"] = ORACLE["stored_items"]
+ORACLE["stream_new_checkpoint"] = ORACLE["stream_ingest"]
 
 SHEET_CATEGORIES = """cats AS (
     SELECT p_partkey, CASE p_size WHEN 1 THEN 'Todos' WHEN 2 THEN 'Painel' WHEN 3 THEN '   '
         WHEN 4 THEN 'a:b/[c]*d?e' WHEN 5 THEN NULL
-        ELSE 'Shop/' || p_name || ' [' || p_type || ']: ' || p_brand END AS category_label
+        WHEN 6 THEN 'Todos_2' WHEN 7 THEN 'Everything for every househo_2'
+        WHEN 8 THEN 'Everything for every househ_105'
+        ELSE CASE WHEN p_size BETWEEN 9 AND 14
+                THEN 'Everything for every household ' || p_partkey
+                ELSE 'Shop/' || p_name || ' [' || p_type || ']: ' || p_brand END END AS category_label
     FROM part)"""
 ORACLE["sheet_names"] = f"""WITH {SHEET_CATEGORIES}, {sheets("cats", "category_label")}
     SELECT label AS category_label, sheet FROM named ORDER BY label"""

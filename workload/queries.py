@@ -13,6 +13,7 @@ from shopgrain.operators.ordinal import with_ordinal
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names as names_of_sheets
 from shopgrain.plans.items import items_from_offers, items_from_pages
 from shopgrain.plans.publish import export, sheet_report
+from shopgrain.plans.run import publish_run
 from shopgrain.plans.store import StoredTable
 from shopgrain.plans.sync import Catalog, instant, sync
 from shopgrain.sources.pages import clean_texts, page_fields as fields_of, product_records
@@ -29,7 +30,8 @@ PAGE_TEXTS = {
 }
 PAGE_ATTRIBUTES = {"lang": r'<html lang="([^"]*)"', "charset": r'<meta charset="([^"]*)"'}
 NAV_LINK = r'<li><a href="([^"]*)"'
-ITEM_LIMIT, PAGE_LIMIT = 100, 40
+ITEM_LIMIT, PAGE_LIMIT = 100, 12
+PAGE_STEP = 10  # between page numbers, where they have gaps
 
 
 def _money(df: DataFrame, *columns: str) -> DataFrame:
@@ -178,11 +180,17 @@ def page_links(spark, sf_dir):
 
 
 def page_link_order(spark, sf_dir):
-    return capture.capture_links(_nav_links(spark, sf_dir), first_page=0)
+    return capture.capture_links(_nav_links(spark, sf_dir))
 
 
 def page_link_limit(spark, sf_dir):
-    return capture.capture_links(_nav_links(spark, sf_dir), ITEM_LIMIT, PAGE_LIMIT, first_page=0)
+    """Two runs over page numbers with gaps: the page limit ends one, the item limit the other."""
+    links = _nav_links(spark, sf_dir).withColumn("page_no", F.col("page_no") * PAGE_STEP)
+    paged = capture.capture_links(links, 100 * ITEM_LIMIT, PAGE_LIMIT)
+    counted = capture.capture_links(links, ITEM_LIMIT, 100 * PAGE_LIMIT)
+    return paged.withColumn("run", F.lit("pages")).unionByName(
+        counted.withColumn("run", F.lit("items"))
+    )
 
 
 def shop_items(spark, sf_dir):
@@ -327,12 +335,12 @@ def _event_sides(spark, sf_dir):
 
 def new_rows(spark, sf_dir):
     before, after = _event_sides(spark, sf_dir)
-    return lookup(after, before.select("user_id", "k").distinct(), ["user_id", "k"], "left_anti")
+    return keyed.new_rows(after, before, ["user_id", "k"])
 
 
 def existing_rows(spark, sf_dir):
     before, after = _event_sides(spark, sf_dir)
-    return lookup(after, before.select("user_id", "k").distinct(), ["user_id", "k"], "left_semi")
+    return keyed.existing_rows(after, before, ["user_id", "k"])
 
 
 def append_if_absent(spark, sf_dir):
@@ -396,6 +404,31 @@ def stored_items(spark, sf_dir):
     return _without_zone(_money(catalog.items.read(), "price", "price_src"))
 
 
+def whole_run(spark, sf_dir):
+    """From shop pages to items, export and stored tables: what was written, by sheet and by table."""
+    part = W.table(spark, sf_dir, "part")
+    items = items_from_pages(
+        W.shop_listing(part),
+        W.shop_details(part),
+        rates=W.rates(spark),
+        translations=W.translations(spark),
+        labels=W.labels(spark),
+        start_url=f"{W.SHOP_ROOT}page-1.html",
+    )
+    catalog = Catalog(spark, scratch_path(spark, "catalog"))
+    exported, report = publish_run(items, scratch_path(spark, "export"), W.RUN_TS, catalog)
+    sheets = sheet_report(spark, exported, items.schema).select(
+        F.lit("sheet").alias("kind"), F.col("sheet").alias("name"), "rows", F.col("rows").alias("added")
+    )
+    tables = report.select(
+        F.lit("table").alias("kind"),
+        F.col("table_name").alias("name"),
+        F.col("attempted").alias("rows"),
+        F.col("inserted").alias("added"),
+    )
+    return sheets.unionByName(tables)
+
+
 def empty_run(spark, sf_dir):
     part = W.table(spark, sf_dir, "part")
     none = placeholder_if_empty(part.where("p_size < 0")).withColumn("run", F.lit("empty"))
@@ -431,10 +464,24 @@ def stream_ingest(spark, sf_dir):
     """Two incremental runs, before and after the cut, append to one table."""
     schema = W.table(spark, sf_dir, "events").schema
     target = StoredTable(spark, scratch_path(spark, "first-events"), schema)
-    for name, cut in (("before", W.before_cut), ("after", W.after_cut)):
+    for cut in (W.before_cut, W.after_cut):
         append_new_keys(
             cut(_event_stream(spark, sf_dir)), target, EVENT_KEY, ["ts", "event_id"],
-            scratch_path(spark, "stream"), name,
+            scratch_path(spark, "stream"),
+        ).awaitTermination()
+    return target.read()
+
+
+def stream_new_checkpoint(spark, sf_dir):
+    """Files arrive in two parts; the second run has lost its checkpoint and sees both."""
+    events = W.table(spark, sf_dir, "events")
+    source = scratch_path(spark, "arrived")
+    target = StoredTable(spark, scratch_path(spark, "first-events"), events.schema)
+    for cut in (W.before_cut, W.after_cut):
+        cut(events).write.mode("append").parquet(source)
+        append_new_keys(
+            file_stream(spark, source, events.schema), target, EVENT_KEY, ["ts", "event_id"],
+            scratch_path(spark, "stream"),
         ).awaitTermination()
     return target.read()
 
@@ -451,11 +498,11 @@ def stream_first_seen(spark, sf_dir):
 def stream_dashboard(spark, sf_dir):
     """Two incremental runs; the second replaces the categories it has."""
     catalog = Catalog(spark, scratch_path(spark, "catalog"))
-    runs = (("before", W.before_cut, W.RUN_TS), ("after", W.after_cut, W.RUN_TS + timedelta(days=1)))
-    for name, cut, ts in runs:
+    runs = ((W.before_cut, W.RUN_TS), (W.after_cut, W.RUN_TS + timedelta(days=1)))
+    for cut, ts in runs:
         sync_batches(
             cut(_event_stream(spark, sf_dir)), W.event_items, catalog,
-            scratch_path(spark, "stream"), name, ts, item_tables=False,
+            scratch_path(spark, "stream"), run_ts=ts, item_tables=False,
         ).awaitTermination()
     return _without_zone(catalog.dashboard.read().drop("id"))
 
@@ -497,9 +544,11 @@ QUERIES = {
         category_fanout,
         sync_router,
         stored_items,
+        whole_run,
         empty_run,
         stream_offers,
         stream_ingest,
+        stream_new_checkpoint,
         stream_first_seen,
         stream_dashboard,
     )

@@ -24,7 +24,7 @@ TRANSLATIONS = [
     ("hot gear", ""),
     ("blue bolt", None),
     ("old anvil", "bigorna velha"),
-    ("cold plate", "prato frio"),
+    (" cold plate\t", "prato frio"),
     ("new gizmo", "   "),
 ]
 RATES = [0.0, -1.0, None, RATE]
@@ -118,11 +118,20 @@ def shop_categories(part: DataFrame) -> DataFrame:
 
 
 def sheet_categories(part: DataFrame) -> DataFrame:
-    """Category names with reserved, blank, illegal and over-long cases."""
+    """Category names with reserved, blank, illegal and over-long cases, hundreds of one stem, and some that equal
+    made names."""
     return part.selectExpr(
         "p_partkey",
         """CASE p_size WHEN 1 THEN 'Todos' WHEN 2 THEN 'Painel' WHEN 3 THEN '   '
                 WHEN 4 THEN 'a:b/[c]*d?e' WHEN 5 THEN NULL
+                WHEN 6 THEN 'Todos_2' WHEN 7 THEN 'Everything for every househo_2'
+                WHEN 8 THEN 'Everything for every househ_105'
+                WHEN 9 THEN 'Everything for every household ' || p_partkey
+                WHEN 10 THEN 'Everything for every household ' || p_partkey
+                WHEN 11 THEN 'Everything for every household ' || p_partkey
+                WHEN 12 THEN 'Everything for every household ' || p_partkey
+                WHEN 13 THEN 'Everything for every household ' || p_partkey
+                WHEN 14 THEN 'Everything for every household ' || p_partkey
                 ELSE 'Shop/' || p_name || ' [' || p_type || ']: ' || p_brand
            END AS category_label""",
     )
@@ -132,12 +141,21 @@ def shop_listing(part: DataFrame) -> DataFrame:
     """Listing pages of a shop that sells the parts, chained by next-page links."""
     page_no = F.expr(f"p_partkey DIV {PAGE_SIZE} + 1")
     last = part.agg(F.max(page_no)).scalar()
+    # Plain, nested, upper-case and unquoted markup in turn; a pod of another class is no product.
+    forms = [
+        ('<article class="product_pod"><h3>\n<a href="part-', '/index.html" title="x">'),
+        ('<article class="old-product_pod"><h3><a href="gone">x</a></h3></article>'
+         '<article class="wide product_pod"><h3><span></span><b><a title="x" href="part-',
+         '/index.html">'),
+        ("<ARTICLE CLASS='product_pod last'><H3><A HREF='part-", "/index.html'>"),
+        ("<article class=product_pod><h3><a href=part-", "/index.html>"),
+    ]
+    turn = F.col("p_partkey") % len(forms)
+    opened, closed = (
+        F.element_at(F.array(*(F.lit(f[i]) for f in forms)), (turn + 1).cast("int")) for i in (0, 1)
+    )
     pod = F.concat(
-        F.lit('<article class="product_pod"><h3>\n<a href="part-'),
-        F.col("p_partkey").cast("string"),
-        F.lit('/index.html" title="x">'),
-        "p_name",
-        F.lit("</a></h3></article>"),
+        opened, F.col("p_partkey").cast("string"), closed, "p_name", F.lit("</a></h3></article>")
     )
     # A page holds PAGE_SIZE parts, so the list is short.
     pods = F.array_sort(F.collect_list(F.struct("p_partkey", pod.alias("pod"))))
@@ -149,14 +167,17 @@ def shop_listing(part: DataFrame) -> DataFrame:
         F.when(
             F.col("page_no") < last,
             F.format_string(
-                '<ul class="pager"><li class="next"><a href="page-%d.html">next</a></li></ul>',
+                '<ul class="pager"><li class="next-steps"><a href="/help">help</a></li>'
+                '<li class="next"><span><a href="page-%d.html">next</a></span></li></ul>',
                 F.col("page_no") + 1,
             ),
         ).otherwise(F.lit("")),
         F.lit("</body></html>"),
     )
     url = F.format_string(f"{SHOP_ROOT}page-%d.html", "page_no")
-    return pages.select(url.alias("url"), html.alias("html"))
+    stored = pages.select(url.alias("url"), html.alias("html"))
+    # Some pages are stored twice.
+    return stored.unionByName(stored.where("hash(url) % 3 = 0"))
 
 
 def shop_details(part: DataFrame) -> DataFrame:
@@ -171,15 +192,20 @@ def shop_details(part: DataFrame) -> DataFrame:
         F.lit('<html><body><ul class="breadcrumb"><li><a href="/">Home</a></li>'),
         F.lit('<li><a href="/all">All &amp; more</a></li>'),
         block('<li><a href="/c">', "category", " &amp; Co</a></li>"),
-        F.lit('<li class="active">x</li></ul><div class="col product_main">'),
+        F.lit('<li class="active">x</li></ul><div class="col product_main"><div class="in"></div>'),
         block("<h1>", "title", "</h1>"),
-        block('<p class="price_color">', "price_text", "</p>"),
+        F.when(F.col("price_text") == "n/a", F.lit("")).otherwise(
+            block('<p class="price_color">', "price_text", "</p>")
+        ),
         block(
             '<p class="instock availability">\n  <i class="icon-ok"></i>\n  ', "availability",
             "\n</p>",
         ),
         block('<p class="', "rating_class", '"><i></i></p>'),
-        F.lit("</div></body></html>"),
+        # Another product after the main block, with fields of its own.
+        F.lit('</div><div class="recent"><article class="product_pod"><h1>Seen before</h1>'),
+        F.lit('<p class="price_color">£9.99</p><p class="star-rating Two"></p>'),
+        F.lit('<p class="availability">In stock (3 available)</p></article></div></body></html>'),
     )
     url = F.format_string(f"{SHOP_ROOT}part-%d/index.html", "ord")
     return o.select(url.alias("url"), html.alias("html"))
