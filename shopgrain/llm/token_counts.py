@@ -17,13 +17,12 @@ from pathlib import Path
 
 import pyarrow as pa
 import sentencepiece
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from shopgrain.llm import bpe
 from shopgrain.llm.batches import text_slices, texts_of
-from shopgrain.sources.scratch import materialise
+from shopgrain.sources.scratch import materialise, path_exists
 
 DIGEST_BYTES = 16
 FILTER_ROWS = 200_000  # so many missing digests (of 16 bytes) are broadcast to filter the texts
@@ -75,11 +74,9 @@ def tokenizer_version(path: str) -> str:
 def cached_counts(spark, cache_path: str, version: str) -> DataFrame:
     """digest, n_tokens of one tokenizer version; empty if nothing is stored yet."""
     schema = "digest binary, n_tokens bigint, tokenizer string"
-    try:
+    if path_exists(spark, cache_path):
         stored = spark.read.schema(schema).parquet(cache_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    else:
         stored = spark.createDataFrame([], schema)
     return (
         stored.where(F.col("tokenizer") == version)
