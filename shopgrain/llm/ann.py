@@ -5,7 +5,8 @@ distance. Centroids come from a bounded sample by k-means with a penalty on full
 their nearest centroids, and a best-first search of that graph, held in every worker, finds the lists of a vector: a
 stored vector is replicated to the lists whose centroid is at most ``replica_ratio`` times as far as the nearest (so
 those near a boundary stand on both sides), a query reads the lists within ``search_ratio``. Where the nearest is nearer
-than a sampled vector's second nearest is in the median, as for a query on a centroid, that distance stands in for it. A list and its
+than a sampled vector's second nearest is in the median, as for a query on a centroid, that distance stands in for it.
+Every query reads ``read_share`` of the lists, and enough of them to find as many neighbours as it wants. A list and its
 queries meet in blocks of bounded size, where exact inner products give each query's best of the list; the bests of all
 lists are merged by query.
 
@@ -46,6 +47,7 @@ class Settings:
     search_ratio: float = 1.14
     searched_share: float = 0.5  # of the lists, the most that the graph search keeps in view
     searched_least: int = 48
+    read_share: float = 0.2  # of the lists, the least that a query reads
     links: int = 24
 
 
@@ -79,7 +81,6 @@ class Centroids:
         width = min(width, k)
         vectors = vectors.astype(np.float32)
         own = (vectors**2).sum(1)
-        each = np.arange(rows)[:, None]
         seen = np.zeros((rows, k), bool)
         start = np.tile(self.entries, (rows, 1))
         seen[:, self.entries] = True
@@ -176,9 +177,21 @@ def _stretched(vectors: np.ndarray, longest: float) -> np.ndarray:
 
 
 def _in_lists(
-    vectors: DataFrame, centroids: Centroids, lift, width: int, ratio: float, least: float = 0.0
+    vectors: DataFrame,
+    centroids: Centroids,
+    lift,
+    width: int,
+    ratio: float,
+    least: float = 0.0,
+    first: int = 1,
+    sizes: np.ndarray | None = None,
+    enough: int = 0,
 ) -> DataFrame:
-    """id, vector, list: a row for each list within ``ratio`` of the nearest, or of the distance ``least``."""
+    """id, vector, list: a row for each list within ``ratio`` of the nearest, or of the distance ``least``.
+
+    The ``first`` lists count in any case, and, with the lists' sizes, as many as hold ``enough`` rows; where the lists in view
+    hold less, all lists count.
+    """
     kind = vectors.schema["vector"].dataType.simpleString()
     id_kind = vectors.schema["id"].dataType.simpleString()
 
@@ -189,26 +202,36 @@ def _in_lists(
                 flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
                 matrix = lift(flat.reshape(batch.num_rows, -1))
                 lists, far = centroids.search(matrix, width)
-                reach = np.maximum(far[:, :1], least) * ratio
-                row, col = np.nonzero((far <= reach) & (lists >= 0))
-                taken = batch.take(pa.array(row))
+                wanted = far <= np.maximum(far[:, :1], least) * ratio
+                wanted[:, :first] = True
+                few = np.zeros(len(lists), bool)
+                if sizes is not None:
+                    held = np.where(lists >= 0, sizes[np.maximum(lists, 0)], 0).cumsum(axis=1)
+                    wanted[:, 1:] |= held[:, :-1] < enough
+                    few = held[:, -1] < enough
+                row, col = np.nonzero(wanted & (lists >= 0) & ~few[:, None])
+                every = np.arange(len(centroids.points))
+                rows = np.concatenate([row, np.repeat(np.flatnonzero(few), len(every))])
+                found = np.concatenate([lists[row, col], np.tile(every, few.sum())])
+                taken = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(lists[row, col], pa.int32())], ["id", "vector", "list"]
+                    [*taken.columns, pa.array(found, pa.int32())], ["id", "vector", "list"]
                 )
 
     return vectors.mapInArrow(assign, f"id {id_kind}, vector {kind}, list int")
 
 
 def _in_blocks(placed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with their block of the list, and the number of blocks by list (a row per list)."""
+    """Rows with their block of the list, and the number of rows and blocks by list (a row per list)."""
     written = materialise(placed, name)
     blocks = written.groupBy("list").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{name}_blocks")
+        F.count(F.lit(1)).alias(f"{name}_rows"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(f"{name}_blocks"),
     )
     dealt = written.join(F.broadcast(blocks), "list").withColumn(
         f"{name}_block", F.pmod(F.xxhash64("id"), F.col(f"{name}_blocks")).cast("int")
     )
-    return dealt.drop(f"{name}_blocks"), blocks
+    return dealt.drop(f"{name}_blocks", f"{name}_rows"), blocks
 
 
 def _spread(dealt: DataFrame, blocks: DataFrame, name: str) -> DataFrame:
@@ -255,6 +278,9 @@ def nearest(
         ),
         "list",
     )
+    sizes = np.zeros(len(centroids.points), np.int64)
+    for row in list_blocks.collect():
+        sizes[row["list"]] = row["list_rows"]
     keyed = asked.groupBy("vector").agg(F.min("id").alias("id"))
     query_rows, query_blocks = _in_blocks(
         _in_lists(
@@ -264,6 +290,9 @@ def nearest(
             width,
             settings.search_ratio,
             usual,
+            int(np.ceil(settings.read_share * lists)),
+            sizes,
+            settings.replicas * wanted,  # a row is in so many lists at most
         ),
         "query",
     )

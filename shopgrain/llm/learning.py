@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FOLDS, HELD_OUT_FOLD = 4, 2
+PARTS = 1024  # of a label, from which the smallest hashes are picked side by side
 
 
 def held_out(id_column: Column) -> Column:
@@ -13,17 +14,20 @@ def held_out(id_column: Column) -> Column:
 
 
 def sampled_ids(labelled: DataFrame, per_label: int) -> DataFrame:
-    """id, label: of each label the ``per_label`` rows with the smallest hashes that may be learned from."""
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    """id, label: of each label the ``per_label`` rows with the smallest hashes that may be learned from.
+
+    They are picked within parts of a label first, so that no task sees all rows of a frequent one.
+    """
     known = labelled.where(
         F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id"))
-    )
-    return (
-        known.select("id", "label")
-        .withColumn("place", F.row_number().over(first))
-        .where(F.col("place") <= per_label)
-        .select("id", "label")
-    )
+    ).select("id", "label", F.xxhash64("id").alias("hash"))
+    known = known.withColumn("part", F.pmod(F.col("hash"), F.lit(PARTS)))
+    for group in (["label", "part"], ["label"]):
+        first = Window.partitionBy(*group).orderBy("hash", "id")
+        known = known.withColumn("place", F.row_number().over(first)).where(
+            F.col("place") <= per_label
+        )
+    return known.select("id", "label")
 
 
 class Adam:

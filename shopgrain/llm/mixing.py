@@ -74,6 +74,11 @@ def _rate(multiplier: str = "multiplier") -> Column:
     return F.least(F.lit(CAP), F.exp(F.col(multiplier) * F.col("size") / F.col("scale")))
 
 
+def _exact_sum(x: Column) -> Column:
+    """Sum of doubles, rounded one by one, that is the same in any order."""
+    return F.sum(x.cast("decimal(32,6)")).cast("double")
+
+
 def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
     """rank, scale, multiplier: the dual's solution for written cells (rank, size, documents)."""
     scale = F.col("source_size") / F.col("documents")
@@ -94,7 +99,7 @@ def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
         sums = (
             cells.join(state.where("not done").select("rank", "scale", "multiplier"), "rank")
             .groupBy("rank")
-            .agg(F.sum(tokens).alias("tokens"), F.sum(slope).alias("slope"))
+            .agg(_exact_sum(tokens).alias("tokens"), _exact_sum(slope).alias("slope"))
         )
         gap = F.col("tokens") - F.col("target")
         low = F.when(gap < 0, F.col("multiplier")).otherwise(F.col("low"))

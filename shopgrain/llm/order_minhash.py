@@ -154,7 +154,7 @@ def _in_ranges(docs: DataFrame) -> tuple[DataFrame, int]:
     shares = [i / ranges for i in range(1, ranges)]
     keys = docs.select(F.col("id").cast("double").alias("key"))
     bounds = sorted(set(keys.approxQuantile("key", shares, 0.2 / ranges)))
-    splits = [-float("inf"), *bounds, float("inf")]
+    splits = [-float("inf"), *(bounds or [0.0]), float("inf")]
     keyed = docs.withColumn("key", F.coalesce(F.col("id").cast("double"), F.lit(-float("inf"))))
     cut = Bucketizer(splits=splits, inputCol="key", outputCol="range")
     ranged = cut.transform(keyed)

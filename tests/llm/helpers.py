@@ -1,0 +1,41 @@
+"""Small document tables with the cases that every operator must stand."""
+
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+ROWS = [
+    (5, "The quick brown fox jumps over the lazy dog and runs away", "en", "a", 1),
+    (1, "The quick brown fox jumps over the lazy dog and runs away", "en", "b", None),
+    (7, "", "en", "a", 0),
+    (8, None, None, None, None),
+    (9, " \t\n ", "de", "a", 4),
+    (3, "one two", "en", None, 7),
+    (3, "one two", "en", None, 7),
+    (None, "no id here at all but some words", "fr", "b", 1),
+    (12, "x" * 5000 + " " + "word " * 3000, "en", "c", 1),
+    (13, "é中文 😀 ÀÉ <|endoftext|> don't 123", "es", "é", 1),
+]
+
+
+def documents(spark, rows=ROWS):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def clashing(docs):
+    """The same documents with more columns, under names that operators use inside."""
+    names = ["id", "ids", "size", "node", "set_key", "label", "kept", "score", "range", "rank", "rate",
+             "shard", "slot", "digest", "n_tokens", "component_id", "copy", "mix", "held_out", "words"]
+    return docs.select("*", *[F.lit("x").alias(n) for n in names])
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def each_case(spark, operator):
+    """Runs an operator over the awkward rows, over extra columns, and over nothing; returns the first result."""
+    found = operator(documents(spark)).cache()
+    assert rows_of(operator(clashing(documents(spark)))) == rows_of(found)
+    assert operator(documents(spark, [])).collect() == []
+    return found

@@ -1,0 +1,74 @@
+import random
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from shopgrain.llm import bpe
+from tests.llm.helpers import ROWS, documents, each_case
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def both(text):
+    found = LIBRARY.encode(text, add_special_tokens=False).ids
+    return found, LIBRARY.decode(found, skip_special_tokens=False)
+
+
+def own(texts):
+    ids, starts = bpe.model(PATH).encode(texts)
+    parts = [ids[a:b] for a, b in zip(starts[:-1], starts[1:])]
+    return [(p.tolist(), bpe.model(PATH).decode(p)) for p in parts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_any_texts(texts):
+    assert own(texts) == [both(t) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([*"abcdehintTH'sldmrev ", "<|endoftext|>", "é", "Σ", "\x85", "²"]), max_size=60))
+def test_texts_of_common_letters(parts):
+    assert own(["".join(parts)]) == [both("".join(parts))]
+
+
+@pytest.mark.parametrize("length", [2, 3, 255, 256, 257, 600, 3000])
+def test_long_words_have_trees_of_their_own(length):
+    rng = random.Random(length)
+    word = "".join(rng.choices("theanrionst", k=length))
+    assert own([word, "a" * length]) == [both(word), both("a" * length)]
+
+
+def test_words_beyond_the_cache(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    fresh = bpe.Bpe(PATH)
+    texts = ["one two three four five", "six one seven", "two two"]
+    for _ in range(2):
+        ids, starts = fresh.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:])] == [both(t)[0] for t in texts]
+        assert len(fresh._ids) <= 7  # the words of one call
+
+
+def test_only_word_vocabularies_are_read():
+    with pytest.raises((ValueError, KeyError, TypeError)):
+        bpe.Bpe(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_documents(spark):
+    found = each_case(spark, lambda d: bpe.encode_documents(d, PATH))
+    expected = sorted((i, *both(t or "")) for i, t, *_ in ROWS if i is not None)
+    assert sorted((r.doc_id, r.ids, r.decoded) for r in found.collect() if r.doc_id is not None) == expected
+    again = bpe.decode_ids(found.drop("decoded"), PATH).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, found.collect()))
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = bpe.encode_documents(docs, PATH).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(found) == len(texts) == 200
+    assert all((r.ids, r.decoded) == both(texts[r.doc_id]) for r in found)
+    assert documents(spark).count() == len(ROWS)

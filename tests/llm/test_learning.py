@@ -1,0 +1,163 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shopgrain.llm import language_id, learning, quality
+from tests.llm.helpers import ROWS, clashing, documents, each_case
+
+SF = "/root/testdata/sf0.01"
+
+
+def fold(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def test_held_out(spark):
+    ids = spark.createDataFrame([(i,) for i in (*range(50), -7, None)], "i bigint")
+    found = ids.select("i", learning.held_out(F.col("i")).alias("h")).collect()
+    assert all(r.h == fold(r.i) for r in found)
+
+
+def gradient_matches(weights, loss, gradients, tries=12, step=1e-3):
+    rng = random.Random(1)
+    for name, g in gradients.items():
+        w = weights[name]
+        for _ in range(tries):
+            at = tuple(rng.randrange(n) for n in w.shape)
+            kept = w[at]
+            w[at] = kept + step
+            up = loss()
+            w[at] = kept - step
+            down = loss()
+            w[at] = kept
+            assert (up - down) / (2 * step) == pytest.approx(g[at], abs=2e-3, rel=0.05), name
+
+
+def test_gradients_of_the_language_network():
+    shape = language_id.Shape(window=24, embedding=3, widths=(2, 3), filters=3)
+    network = language_id.Network(shape, ["a", "b", "c"])
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    network._patches = lambda w: np.lib.stride_tricks.sliding_window_view(
+        network.weights["embedding"][w].reshape(len(w), -1), 9, axis=1
+    )[:, ::3]
+    rng = np.random.default_rng(0)
+    windows, wanted = rng.integers(1, 256, (6, 24)).astype(np.uint8), np.array([0, 1, 2, 0, 1, 2])
+    gradients = network.gradients(windows, wanted)
+    gradients["filters"] = gradients["filters"]
+
+    def loss():
+        return -np.log(network.probabilities(windows)[np.arange(6), wanted]).mean()
+
+    masked = {k: v for k, v in gradients.items() if k not in ("filters", "embedding")}
+    gradient_matches(network.weights, loss, masked, step=1e-4)
+    touched = sorted({int(b) for b in windows.flat})[:5]
+    for b in touched:
+        w = network.weights["embedding"]
+        kept = w[b, 0]
+        w[b, 0] = kept + 1e-5
+        up = loss()
+        w[b, 0] = kept - 1e-5
+        down = loss()
+        w[b, 0] = kept
+        assert (up - down) / 2e-5 == pytest.approx(gradients["embedding"][b, 0], abs=2e-3, rel=0.05)
+
+
+def test_gradients_of_the_quality_network():
+    shape = quality.Shape(buckets=6, encoded=5, attended=4)
+    network = quality.Network(shape)
+    network.weights = {k: v.astype(np.float64) for k, v in network.weights.items()}
+    rng = np.random.default_rng(0)
+    passages, starts = rng.normal(size=(9, shape.features)), np.array([0, 2, 3])
+    wanted, weight = np.array([1.0, 0.0, 1.0]), np.array([1.0, 2.0, 0.5])
+
+    def loss():
+        p = network.forward(passages, starts)["score"]
+        return -(weight * (wanted * np.log(p) + (1 - wanted) * np.log(1 - p))).sum() / 3
+
+    gradient_matches(network.weights, loss, network.gradients(passages, starts, wanted, weight))
+    attention = network.forward(passages, starts)["attention"]
+    assert np.add.reduceat(attention, starts) == pytest.approx([1, 1, 1])
+
+
+def test_windows_hold_the_whole_text():
+    shape = language_id.Shape()
+    for n in (0, 1, 255, 256, 257, 508, 509, 5000):
+        text = "".join(random.Random(n).choices("abcdefg", k=n))
+        rows = language_id.windows_of(text, shape)
+        step = shape.window - 4
+        joined = b"".join(r.tobytes()[:step] for r in rows[:-1]) + rows[-1].tobytes()
+        assert joined[:n].decode() == text and not any(joined[n:])
+
+
+def test_every_passage_is_read():
+    shape = quality.Shape()
+    clean = "some plain words of a text " * 2000
+    spoiled = clean + "BUY!! NOW!! " * 40
+    assert len(quality.passages_of(clean, shape)) == -(-12000 // shape.passage)
+    assert (quality.passages_of(spoiled, shape)[-1] != quality.passages_of(clean, shape)[-1]).any()
+    assert quality.passages_of("", shape).shape == (1, shape.features)
+
+
+def test_held_out_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    found = language_id.identify(docs).collect()
+    assert len(found) == 1000 and all(0 <= r.score <= 1 and r.held_out == fold(r.doc_id) for r in found)
+    for held in (True, False):
+        some = [r for r in found if r.held_out == held]
+        assert np.mean([r.lang_pred == truth[r.doc_id] for r in some]) > 0.97
+
+
+def test_languages_of_awkward_rows(spark):
+    found = {r.doc_id: r for r in each_case(spark, language_id.identify).collect()}
+    assert len(found) == len(ROWS) - 1
+    assert {d: (found[d].lang_pred, found[d].score) for d in (7, 8, 9)} == dict.fromkeys((7, 8, 9), ("und", 0.0))
+    assert all(found[d].lang_pred in ("en", "es", "fr", "de") for d in (5, 12, 13))
+    digits = documents(spark, [(1, "123 !?", "en", "a", 1), (2, "abc", "en", "a", 1)])
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(digits).collect()}[1] == "und"
+    unlabelled = documents(spark, [(1, "some text", None, "a", 1)])
+    assert [tuple(r)[2:] for r in language_id.identify(unlabelled).collect()] == [("und", 0.0)]
+
+
+def test_language_is_never_an_input(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    network = language_id.learn(docs, language_id.Shape(), "doc_id", "text", "lang")
+    changed = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("s"))
+    assert sorted(language_id.predict(docs, network).collect()) == sorted(
+        language_id.predict(changed, network).collect()
+    )
+
+
+def test_held_out_quality(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    found = quality.score_quality(docs, labels).collect()
+    assert len(found) == 1000
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) and r.held_out == fold(r.doc_id) for r in found)
+    for held in (True, False):
+        some = [r for r in found if r.held_out == held and r.doc_id in truth]
+        assert np.mean([r.predicted == truth[r.doc_id] for r in some]) > 0.95
+
+
+def test_quality_of_awkward_rows(spark):
+    labels = spark.createDataFrame(
+        [(5, 1), (1, 0), (13, 1), (12, 0), (3, None), (None, 1), (9, 7), (5, 1)], "doc_id bigint, quality int"
+    )
+    found = each_case(spark, lambda d: quality.score_quality(d, labels)).collect()
+    assert len(found) == len(ROWS) and all(0 <= r.score <= 1 for r in found)
+    none = quality.score_quality(documents(spark), labels.where("false")).collect()
+    assert {r.score for r in none} == {0.5}
+
+
+def test_filters_keep_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    network = language_id.learn(docs, language_id.Shape(), "doc_id", "text", "lang")
+    odd = clashing(documents(spark))
+    kept = language_id.known_language(odd, network, 0.3)
+    assert kept.columns == odd.columns
+    assert {r.doc_id for r in kept.collect()} == {5, 1, 3, None, 12, 13}
+    assert language_id.known_language(odd, None, 0.3).count() == len(ROWS)
+    assert quality.good_documents(odd, None).count() == len(ROWS)

@@ -1,0 +1,83 @@
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from shopgrain.llm import sharding
+from shopgrain.llm.sharding import Leaf
+from tests.llm.helpers import ROWS, documents, each_case
+
+TREE = sharding.even_tree(16)
+
+
+def sharded(docs, tree=TREE, after=None):
+    return sharding.shard_documents(docs, tree, after or sharding.grown(tree))
+
+
+def check(rows, found):
+    expected = sorted(
+        ((i is None, i or 0), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows
+    )
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.size, r.text_crc32) for r in found) == expected
+    slots = {}
+    for r in found:
+        assert r.law == "key" and 0 <= r.shard < 16 and r.grown_shard in (r.shard, 16)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = sharded(docs).collect()
+    check([tuple(r) for r in docs.collect()], found)
+    again = sharded(docs.repartition(5)).collect()
+    assert sorted(found) == sorted(again)
+
+
+def test_awkward_rows(spark):
+    found = each_case(spark, sharded).collect()
+    check(ROWS, found)
+    assert len({r.shard for r in found if r.doc_id == 3}) == 1
+
+
+def placed(spark, tree, n=20_000):
+    ids = spark.range(n).select("id", sharding.shard_of(F.col("id"), tree).alias("shard"))
+    return {r.id: r.shard for r in ids.collect()}
+
+
+def test_shards_get_their_weight(spark):
+    tree = [Leaf("r", "a", 0, 1.0), Leaf("r", "a", 1, 3.0), Leaf("s", "b", 2, 4.0), Leaf("s", "c", 3, 0.0)]
+    counts = Counter(placed(spark, tree).values())
+    assert counts[3] == 0
+    for shard, share in ((0, 1 / 8), (1, 3 / 8), (2, 4 / 8)):
+        assert counts[shard] == pytest.approx(20_000 * share, rel=0.06)
+
+
+def test_a_new_shard_takes_rows_only_into_itself(spark):
+    before, after = placed(spark, TREE), placed(spark, sharding.grown(TREE))
+    moved = [i for i in before if before[i] != after[i]]
+    assert {after[i] for i in moved} == {16}
+    assert len(moved) == pytest.approx(20_000 / 17, rel=0.15)
+
+
+def test_a_changed_weight_moves_rows_only_on_its_path(spark):
+    """A heavier shard draws rows into its rack and region; the rest of the tree keeps what it does not lose."""
+    heavier = [leaf._replace(weight=3.0) if leaf.shard == 5 else leaf for leaf in TREE]
+    before, after = placed(spark, TREE), placed(spark, heavier)
+    region = {leaf.shard: leaf.region for leaf in TREE}
+    rack = {leaf.shard: leaf.rack for leaf in TREE}
+    for i, old in before.items():
+        new = after[i]
+        if old == new:
+            continue
+        assert region[new] == region[5]  # rows move into the subtrees that grew
+        if region[old] == region[5]:
+            assert rack[new] == rack[5]
+            if rack[old] == rack[5]:
+                assert new == 5
+
+
+def test_a_tree_needs_weight(spark):
+    with pytest.raises(ValueError):
+        sharding.shard_of(F.lit(1), [Leaf("r", "a", 0, 0.0)])
