@@ -1,82 +1,173 @@
-"""Tables that are kept from run to run, as Parquet segments with a commit log.
+"""Tables that are kept from run to run, as Parquet segments with a log of snapshots.
 
-A run writes its rows to a directory of its own and then adds one row to the log. Readers only see
-logged segments, the path being read is never overwritten, and a repeated run is recognised by its id.
-One writer at a time is assumed, as for any table without a transaction service.
+A run writes its rows to a segment of its own and then a commit: the short list of live segments. Readers only see
+committed segments and the path being read is never overwritten. What a run costs does not grow with the
+number of runs before it: it reads the newest commit alone, which is found by doubling steps, a repeated run is
+recognised by a marker of its id, segments are merged by eights, and with a key rows lie in buckets of their key's hash, so that a
+small batch reads its own buckets only. One writer at a time is assumed, as for any table without a transaction
+service.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from shopgrain.operators.keyed import conform
 from shopgrain.sources.scratch import path_exists
 
 COMMIT = T.StructType(
     [
-        T.StructField("version", T.LongType()),
         T.StructField("run_id", T.StringType()),
-        T.StructField("replaces", T.BooleanType()),
+        T.StructField("segment", T.StringType()),
+        T.StructField("level", T.IntegerType()),
     ]
 )
+MERGED_AT_ONCE = 8
+BUCKETS = 32
+BUCKET = "_bucket"
 
 
 class StoredTable:
+    """``key``: rows are stored in ``buckets`` by its hash. ``ids_by``: each commit keeps the largest ``id`` per value."""
+
     def __init__(
         self,
         spark: SparkSession,
         path: str,
         schema: T.StructType,
-        partition_by: tuple[str, ...] = (),
+        key: tuple[str, ...] = (),
+        ids_by: str | None = None,
+        buckets: int = BUCKETS,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.partition_by = partition_by
+        self.key, self.ids_by, self.buckets = key, ids_by, buckets
+
+    def version(self) -> int:
+        """Number of commits, found in a number of steps that grows with its logarithm."""
+        high = 1
+        while self._committed(high):
+            high *= 2
+        low = high // 2
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self._committed(middle) else (low, middle)
+        return low
 
-    def commits(self) -> list:
-        """The log, oldest first: one short row per run."""
-        if not path_exists(self.spark, f"{self.path}/commits"):
+    def live(self, version: int | None = None) -> list[Row]:
+        """The live segments, a few rows: ``(run_id of the commit, segment, level)``."""
+        version = self.version() if version is None else version
+        if not version:
             return []
-        return sorted(self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits").collect())
+        return sorted(self.spark.read.schema(COMMIT).parquet(self._commit(version)).collect())
 
     def has_run(self, run_id: str) -> bool:
-        return any(c.run_id == run_id for c in self.commits())
+        """Whether the run is in. Only the last commit can lack its marker, when its writer was lost."""
+        if path_exists(self.spark, self._marker(run_id)):
+            return True
+        return any(row.run_id == run_id for row in self.live())
 
     def read(self) -> DataFrame:
-        """Rows of the latest snapshot and the segments after it; empty before the first run.
-
-        Columns that an older segment lacks read as null.
-        """
-        live = []
-        for commit in self.commits():
-            live = [commit] if commit.replaces else [*live, commit]
-        if not live:
-            return conform(self.spark.range(0), self.schema)
-        table = (
-            self.spark.read.schema(self.schema)
-            .option("basePath", f"{self.path}/segments")
-            .parquet(*(self._segment(c.run_id) for c in live))
-        )
-        return table.select(*self.schema.fieldNames())
+        """All rows; empty before the first run. Columns that an older segment lacks read as null."""
+        return self._rows(row.segment for row in self.live()).select(*self.schema.fieldNames())
+
+    def read_near(self, batch: DataFrame) -> DataFrame:
+        """The rows in the buckets of the batch's keys: all that could share a key with it."""
+        rows = self._rows(row.segment for row in self.live())
+        if self.key and BUCKET in rows.columns:
+            wanted = batch.select(self._bucket().alias("b")).distinct().collect()  # ``buckets`` rows
+            rows = rows.where(F.col(BUCKET).isin([row.b for row in wanted]))
+        return rows.select(*self.schema.fieldNames())
+
+    def last_ids(self, version: int | None = None) -> DataFrame:
+        """``(ids_by, last_id)`` as of a commit."""
+        version = self.version() if version is None else version
+        schema = T.StructType([self.schema[self.ids_by], T.StructField("last_id", T.LongType())])
+        if not version:
+            return conform(self.spark.range(0), schema)
+        return self.spark.read.schema(schema).parquet(self._ids(version))
 
     def append(self, rows: DataFrame, run_id: str) -> None:
-        self._commit(rows, run_id, replaces=False)
+        self._add(rows, run_id, replaces=False)
 
     def replace(self, rows: DataFrame, run_id: str) -> None:
-        self._commit(rows, run_id, replaces=True)
+        self._add(rows, run_id, replaces=True)
 
-    def _segment(self, run_id: str) -> str:
-        return f"{self.path}/segments/run={run_id}"
+    def clean(self, keep: int = 10) -> int:
+        """Remove segments that none of the last ``keep`` commits needs; returns how many. Nobody may read older ones."""
+        version = self.version()
+        needed = {r.segment for v in range(max(1, version - keep + 1), version + 1) for r in self.live(v)}
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/segments")
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        stored = [status.getPath() for status in files.listStatus(root)] if version else []
+        old = [p for p in stored if p.getName().removeprefix("segment=") not in needed]
+        for p in old:
+            files.delete(p, True)
+        return len(old)
 
-    def _commit(self, rows: DataFrame, run_id: str, replaces: bool) -> None:
-        done = self.commits()
-        if any(c.run_id == run_id for c in done):
-            return
+    def _commit(self, version: int) -> str:
+        return f"{self.path}/commits/v{version}"
+
+    def _committed(self, version: int) -> bool:
+        return path_exists(self.spark, f"{self._commit(version)}/_SUCCESS")
+
+    def _ids(self, version: int) -> str:
+        return f"{self.path}/ids/v{version}"
+
+    def _marker(self, run_id: str) -> str:
+        return f"{self.path}/runs/run={run_id}"
+
+    def _segment(self, name: str) -> str:
+        return f"{self.path}/segments/segment={name}"
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _rows(self, segments) -> DataFrame:
+        paths = [self._segment(s) for s in segments]
+        if not paths:
+            return conform(self.spark.range(0), self.schema)
+        reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/segments")
+        return reader.parquet(*paths)
+
+    def _write(self, rows: DataFrame, name: str) -> None:
         rows = rows.select(*self.schema.fieldNames())
-        if self.partition_by:
-            # AQE splits a hot table over many tasks and merges small ones into few files.
-            rows = rows.hint("rebalance", *self.partition_by)
-        rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._segment(run_id))
-        entry = self.spark.range(1, numPartitions=1).select(
-            F.lit(len(done) + 1).cast("bigint").alias("version"),
-            F.lit(run_id).alias("run_id"),
-            F.lit(replaces).alias("replaces"),
-        )
-        entry.write.mode("append").parquet(f"{self.path}/commits")
+        by = []
+        if self.key:
+            # AQE splits a large bucket over several tasks and merges small ones into few.
+            rows, by = rows.withColumn(BUCKET, self._bucket()).hint("rebalance", BUCKET), [BUCKET]
+        rows.write.mode("overwrite").partitionBy(*by).parquet(self._segment(name))
+
+    def _add(self, rows: DataFrame, run_id: str, replaces: bool) -> None:
+        if self.has_run(run_id):
+            return
+        version = self.version()
+        self._write(rows, run_id)
+        live = [] if replaces else [(r.segment, r.level) for r in self.live(version)]
+        live = self._merged([*live, (run_id, 0)], version + 1)
+        if self.ids_by:
+            own = self._rows([run_id]).groupBy(self.ids_by).agg(F.max("id").alias("last_id"))
+            ids = own.unionByName(self.last_ids(version)).groupBy(self.ids_by)
+            largest = ids.agg(F.max("last_id").alias("last_id"))
+            largest.write.mode("overwrite").parquet(self._ids(version + 1))
+        entries = [
+            self.spark.range(1, numPartitions=1).select(
+                F.lit(run_id).alias("run_id"), F.lit(s).alias("segment"), F.lit(n).alias("level")
+            )
+            for s, n in live
+        ]
+        snapshot = reduce(DataFrame.unionByName, entries).coalesce(1)
+        snapshot.write.mode("overwrite").parquet(self._commit(version + 1))
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(self._marker(run_id))
+        marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+    def _merged(self, live: list[tuple[str, int]], version: int) -> list[tuple[str, int]]:
+        """The live segments after eights of one level have become one of the next."""
+        level = 0
+        while any(n >= level for _, n in live):
+            same = [s for s, n in live if n == level]
+            if len(same) >= MERGED_AT_ONCE:
+                name = f"merged-{version}-{level + 1}"
+                self._write(self._rows(same), name)
+                live = [(s, n) for s, n in live if n != level] + [(name, level + 1)]
+            level += 1
+        return live

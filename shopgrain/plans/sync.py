@@ -37,8 +37,10 @@ class Catalog:
 
     @property
     def items(self) -> StoredTable:
-        """All item tables in one, told apart and partitioned by ``table_name``."""
-        return StoredTable(self.spark, f"{self.path}/items", S.STORED_ITEM, ("table_name",))
+        """All item tables in one, told apart by ``table_name``."""
+        return StoredTable(
+            self.spark, f"{self.path}/items", S.STORED_ITEM, ("table_name", "url"), "table_name"
+        )
 
     @property
     def dashboard(self) -> StoredTable:
@@ -85,8 +87,7 @@ def append_items(
     table = catalog.items
     if table.has_run(run_id):
         return None
-    stored = table.read()
-    key = ["table_name", "url"]
+    key = list(table.key)
     offered = materialise(
         first_wins(
             routed(catalog, items), key, ["route", "category_label", "ord"], copies="copies"
@@ -94,12 +95,10 @@ def append_items(
         "offered",
     )
     # Both sides are unique on the key, so no key is hot. The result is read twice below.
-    known = held_keys(offered, stored, key).withColumn("known", F.lit(True))
+    known = held_keys(offered, table.read_near(offered), key).withColumn("known", F.lit(True))
     marked = materialise(offered.join(known, key, "left"), "marked")
-    last_ids = materialise(
-        stored.groupBy("table_name").agg(F.max("id").alias("last_id")), "last-ids"
-    )
-    added = lookup(marked.where("known IS NULL"), last_ids, ["table_name"])
+    last_ids = table.last_ids()
+    added = lookup(marked.where("known IS NULL"), last_ids, ["table_name"], measure=last_ids)
     rows = added.withColumns(
         {
             "id": F.coalesce("last_id", F.lit(0)) + F.col("ord"),

@@ -61,7 +61,7 @@ def append_new_keys(
         for k in key:
             keyed = keyed.where(F.col(k).isNotNull())
         first = materialise(first_wins(keyed, key, order_by), "stream-first")
-        held = held_keys(first, target.read(), key)
+        held = held_keys(first, target.read_near(first), key)
         target.append(first.join(held, key, "left_anti"), run_id)
 
     return run_available(stream, each_batch, checkpoint)

@@ -117,13 +117,13 @@ def test_empty_run_exports_the_message_and_syncs_nothing(spark, tmp_path):
     message = spark.read.parquet(exported.message).collect()
     assert [r.message for r in message] == ["Nenhum dado extraído. Verifique seletores."]
     assert [tuple(r) for r in sheet_report(spark, exported, S.ITEM).collect()] == [("Informacoes", 1)]
-    assert catalog.items.commits() == []
+    assert catalog.items.version() == 0
 
 
 def test_nothing_to_sync(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path))
     assert report(sync(catalog, items(spark, []), "r", TS)) == {}
-    assert catalog.items.commits() == catalog.dashboard.commits() == []
+    assert catalog.items.version() == catalog.dashboard.version() == 0
 
 
 def test_whole_run(spark, tmp_path):
@@ -135,7 +135,7 @@ def test_whole_run(spark, tmp_path):
         "sheet=arte", "sheet=viagem",
     }
     assert report(synced)["catalog.items_todos"] == (6, 5)
-    assert catalog.items.commits()[0].run_id == "x_20240201_123045"
+    assert catalog.items.live()[0].run_id == "x_20240201_123045"
 
 
 def test_a_hot_sheet_is_written_by_many_tasks(spark, tmp_path):

@@ -1,0 +1,83 @@
+import pytest
+
+from pyspark.sql import functions as F
+from shopgrain.plans import store
+from shopgrain.plans.store import StoredTable
+from tests.helpers import sorted_rows
+
+SCHEMA = "k string, id bigint, v bigint"
+
+
+def rows(spark, *ids):
+    return spark.createDataFrame([(f"k{i % 3}", i, i * 10) for i in ids], SCHEMA)
+
+
+@pytest.fixture()
+def table(spark, tmp_path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return StoredTable(spark, str(tmp_path / "t"), schema, ("id",), "k", buckets=8)
+
+
+def test_what_a_run_reads_stays_flat_over_runs(spark, table, monkeypatch):
+    monkeypatch.setattr(store, "MERGED_AT_ONCE", 4)
+    live = []
+    for i in range(22):
+        table.append(rows(spark, i), f"run-{i}")
+        live.append(len(table.live()))
+    assert table.version() == 22 and max(live) <= 3 * 3
+    assert sorted(r.id for r in table.read().collect()) == list(range(22))
+    assert len(spark.read.parquet(table._commit(22)).inputFiles()) == 1
+    assert {r.k: r.last_id for r in table.last_ids().collect()} == {"k0": 21, "k1": 19, "k2": 20}
+    assert all(table.has_run(f"run-{i}") for i in range(22)) and not table.has_run("run-22")
+
+
+def test_versions_are_found_in_few_steps(spark, table, monkeypatch):
+    asked = []
+    for last in (0, 1, 2, 3, 7, 8, 1000, 1_000_000):
+        asked.clear()
+        monkeypatch.setattr(table, "_committed", lambda v: asked.append(v) or v <= last)
+        assert table.version() == last
+        assert len(asked) <= 2 * last.bit_length() + 2
+
+
+def test_a_small_batch_reads_its_buckets(spark, table):
+    table.append(rows(spark, *range(400)), "all")
+    batch = rows(spark, 7, 399)
+    near = table.read_near(batch)
+    files = [f for f in near.inputFiles()]
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and store.BUCKET in plan.split("PartitionFilters: [")[1].split("]")[0]
+    ids = {r.id for r in near.collect()}
+    assert {7, 399} <= ids and len(ids) < 400 and files
+    assert table.read_near(rows(spark)).collect() == []
+
+
+def test_a_repeated_run_adds_nothing(spark, table):
+    table.append(rows(spark, 1, 2), "a")
+    table.append(rows(spark, 3), "a")
+    assert table.version() == 1 and table.read().count() == 2
+
+
+def test_a_run_whose_writer_was_lost_after_its_commit(spark, table, tmp_path):
+    table.append(rows(spark, 1), "a")
+    (tmp_path / "t" / "runs" / "run=a").rename(tmp_path / "t" / "gone")
+    assert table.has_run("a")
+    table.append(rows(spark, 1), "a")
+    assert table.version() == 1
+
+
+def test_replaced_segments_can_be_removed(spark, table):
+    for i in range(5):
+        table.replace(rows(spark, i), f"r{i}")
+    assert table.clean(keep=2) == 3
+    assert sorted_rows(table.read(), "id") == [(4,)]
+    assert table.clean(keep=2) == 0
+
+
+def test_empty_runs_and_empty_tables(spark, table):
+    assert table.read().collect() == [] and table.last_ids().collect() == [] and table.clean() == 0
+    table.append(rows(spark), "none")
+    assert table.read().collect() == [] and table.has_run("none")
+    table.append(rows(spark, 5), "one")
+    assert table.read().count() == 1 and table.read_near(rows(spark, 5)).count() == 1
+    assert table.read().agg(F.sum("v")).first()[0] == 50

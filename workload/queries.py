@@ -463,7 +463,7 @@ def stream_offers(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Two incremental runs, before and after the cut, append to one table."""
     schema = W.table(spark, sf_dir, "events").schema
-    target = StoredTable(spark, scratch_path(spark, "first-events"), schema)
+    target = StoredTable(spark, scratch_path(spark, "first-events"), schema, tuple(EVENT_KEY))
     for cut in (W.before_cut, W.after_cut):
         append_new_keys(
             cut(_event_stream(spark, sf_dir)), target, EVENT_KEY, ["ts", "event_id"],
@@ -476,7 +476,7 @@ def stream_new_checkpoint(spark, sf_dir):
     """Files arrive in two parts; the second run has lost its checkpoint and sees both."""
     events = W.table(spark, sf_dir, "events")
     source = scratch_path(spark, "arrived")
-    target = StoredTable(spark, scratch_path(spark, "first-events"), events.schema)
+    target = StoredTable(spark, scratch_path(spark, "first-events"), events.schema, tuple(EVENT_KEY))
     for cut in (W.before_cut, W.after_cut):
         cut(events).write.mode("append").parquet(source)
         append_new_keys(
