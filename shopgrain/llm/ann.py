@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shopgrain.sources.scratch import materialise
 
 BLOCK = 2048  # rows of a list, and of its queries, that meet in one task
+HASH_PLACES = 1 << 40
 TIE = 1e-9  # inner products this near are compared exactly
 
 
@@ -262,8 +263,11 @@ def nearest(
     distinct = stored.withColumn("copy", F.row_number().over(copy)).where(F.col("copy") <= wanted).drop("copy")
     longest = float(np.sqrt(stats["square"]))
     lists = min(settings.max_lists, int(np.ceil(settings.lists_per_root * np.sqrt(stats["rows"]))))
-    # the rows with the smallest hashes: a sample of bounded size, the same on every run
-    sample = stored.orderBy(F.xxhash64("id"), "id").limit(settings.sample).select("vector")
+    # the rows with the smallest hashes: a sample of bounded size, the same on every run; few more than it has are sorted
+    share = min(1.0, 1.25 * settings.sample / stats["rows"])
+    place = F.pmod(F.xxhash64("id"), F.lit(HASH_PLACES))
+    near = stored.where(place < F.lit(int(np.ceil(share * HASH_PLACES))))
+    sample = near.orderBy(place, "id", "vector").limit(settings.sample).select("vector")
     fitted = _lifted(_matrix(r["vector"] for r in sample.collect()), longest)
     centroids = Centroids(balanced_centroids(fitted, lists), settings.links)
     usual = float(np.median(centroids.search(fitted[:4096], 2)[1][:, -1]))
@@ -341,6 +345,8 @@ def nearest(
     return (
         members.join(merged, "query")
         .where("id <> query_id")
+        .groupBy("query_id", "id")
+        .agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(by_score))
         .where(F.col("rank") <= settings.neighbours)
         .select("query_id", "rank", F.col("id").alias("vec_id"), "score")

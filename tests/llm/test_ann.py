@@ -125,3 +125,10 @@ def test_lists_are_balanced():
     centroids = balanced_centroids(sample, 50)
     sizes = np.bincount(np.argmax(sample @ centroids.T, axis=1), minlength=50)
     assert len(centroids) == 50 and sizes.max() < 1500
+
+
+def test_an_id_with_several_vectors_is_listed_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [1.0, 3.0]), (2, [0.5, 0.5])]
+    found = found_in(spark, rows)
+    assert found[0] == [(1, 3.0), (2, 0.5)]
+    assert sorted(i for i, _ in found[1]) == [0, 2]
