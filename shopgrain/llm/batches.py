@@ -1,6 +1,7 @@
 """Arrow batches cut to a bounded number of text bytes, so that a Python worker's memory is bounded."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,17 @@ def text_slices(
             start, before = stop, int(ends[stop - 1])
 
 
+@contextmanager
+def given_back(*clear: Callable[[], None]):
+    """Workers live on after a task; what it cached and what Arrow keeps in reserve goes with it."""
+    try:
+        yield
+    finally:
+        for each in clear:
+            each()
+        pa.default_memory_pool().release_unused()
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The column's texts, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from shopgrain.llm.batches import text_slices, texts_of
+from shopgrain.llm.batches import given_back, text_slices, texts_of
 
 NO_PAIR = np.int64(1) << 60
 LONGEST_SHARED = 256  # symbols; longer words get a tree of their own
-CACHED_WORDS = 300_000  # a speed setting: words over it are encoded again
+CACHED_WORDS = 150_000  # a speed setting: words over it are encoded again
 
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _LETTERS_1, _DIGITS_1 = "a-zA-Zª\xb5ºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾"
@@ -141,6 +141,10 @@ class Bpe:
         np.cumsum([len(p) // 4 for p in parts], out=starts[1:])
         return ids, starts
 
+    def forget(self) -> None:
+        """Drop the cached words."""
+        self._ids = {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: tokens joined by one space, as there is no decoder in the file."""
         return " ".join(self.tokens[ids].tolist())
@@ -302,13 +306,17 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
-        for batch in text_slices(batches, "text"):
-            ids, starts = bpe.encode(texts_of(batch, "text"))
-            decoded = [bpe.decode(ids[a:b]) for a, b in zip(starts[:-1], starts[1:])]
-            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), lists, pa.array(decoded, pa.string())], ["id", "ids", "decoded"]
-            )
+        with given_back(bpe.forget):
+            for batch in text_slices(batches, "text"):
+                ids, starts = bpe.encode(texts_of(batch, "text"))
+                decoded = [bpe.decode(ids[a:b]) for a, b in zip(starts[:-1], starts[1:])]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(starts, pa.int32()), pa.array(ids, pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), lists, pa.array(decoded, pa.string())],
+                    ["id", "ids", "decoded"],
+                )
 
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     done = read.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import text_slices, texts_of
+from shopgrain.llm.batches import given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, sampled_ids
 
 UNKNOWN = "und"
@@ -213,10 +213,11 @@ def known_language(
         return docs
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_column, SLICE_BYTES):
-            named, scores = _predicted(network, texts_of(batch, text_column))
-            fits = [n != UNKNOWN and s >= least for n, s in zip(named, scores)]
-            yield batch.filter(pa.array(fits, pa.bool_()))
+        with given_back():
+            for batch in text_slices(batches, text_column, SLICE_BYTES):
+                named, scores = _predicted(network, texts_of(batch, text_column))
+                fits = [n != UNKNOWN and s >= least for n, s in zip(named, scores)]
+                yield batch.filter(pa.array(fits, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -28,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import groups, text_slices, texts_of
+from shopgrain.llm.batches import given_back, groups, text_slices, texts_of
 from shopgrain.llm.components import components
+from shopgrain.operators.lookup import salted_join
 from shopgrain.sources.scratch import materialise
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
@@ -39,7 +40,7 @@ PERCENT = 75
 SIGMAS = 6
 PIVOT_ROUNDS = 3
 BLOCK = 512
-CACHED_WORDS = 300_000  # a speed setting
+CACHED_WORDS = 150_000  # a speed setting
 _REST = 64 - (REGISTERS - 1).bit_length()  # bits of a hash below the bucket number
 
 
@@ -139,23 +140,24 @@ def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     kind = docs.schema[id_column].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            sizes, keys, signs = [], [], []
-            for text in texts_of(batch, "text"):
-                hashes = shingle_set(text)
-                sizes.append(len(hashes))
-                found = len(hashes) > 0
-                keys.append(_set_key(hashes) if found else None)
-                signs.append(registers(hashes).view(np.int64) if found else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.binary()),
-                    pa.array(signs, pa.list_(pa.int64())),
-                ],
-                ["id", "n_shingles", "set_key", "registers"],
-            )
+        with given_back(_HASHES.clear):
+            for batch in text_slices(batches, "text"):
+                sizes, keys, signs = [], [], []
+                for text in texts_of(batch, "text"):
+                    hashes = shingle_set(text)
+                    sizes.append(len(hashes))
+                    found = len(hashes) > 0
+                    keys.append(_set_key(hashes) if found else None)
+                    signs.append(registers(hashes).view(np.int64) if found else None)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id"),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(keys, pa.binary()),
+                        pa.array(signs, pa.list_(pa.int64())),
+                    ],
+                    ["id", "n_shingles", "set_key", "registers"],
+                )
 
     read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = f"id {kind}, n_shingles bigint, set_key binary, registers array<bigint>"
@@ -173,20 +175,21 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column:
     )
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            nodes, sets = [], []
-            keys = batch.column("set_key").to_pylist()
-            for node, key, text in zip(
-                batch.column("node").to_pylist(), keys, texts_of(batch, "text")
-            ):
-                found = shingle_set(text)
-                if _set_key(found) == key:
-                    nodes.append(node)
-                    sets.append(found.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                ["node", "hashes"],
-            )
+        with given_back(_HASHES.clear):
+            for batch in text_slices(batches, "text"):
+                nodes, sets = [], []
+                keys = batch.column("set_key").to_pylist()
+                for node, key, text in zip(
+                    batch.column("node").to_pylist(), keys, texts_of(batch, "text")
+                ):
+                    found = shingle_set(text)
+                    if _set_key(found) == key:
+                        nodes.append(node)
+                        sets.append(found.view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                    ["node", "hashes"],
+                )
 
     read = texts.select("node", "set_key", "text")
     return read.mapInArrow(hashes, "node bigint, hashes array<bigint>").dropDuplicates(["node"])
@@ -406,7 +409,8 @@ def near_duplicates(
         )
         smallest = placed.groupBy("component").agg(F.min("label").alias("component_id"))
         named = placed.join(smallest, "component").select("set_key", "component_id")
-    found = signed.select("id", "n_shingles", "set_key").join(named, "set_key", "left")
+    # Copies share a set; frequent ones are spread.
+    found = salted_join(signed.select("id", "n_shingles", "set_key"), named, ["set_key"])
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return found.select(
         F.col("id").alias(id_column),

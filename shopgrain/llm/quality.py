@@ -22,11 +22,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import text_slices, texts_of
+from shopgrain.llm.batches import given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, sampled_ids
 
 THRESHOLD = 0.7
-CACHED_WORDS = 300_000  # a speed setting
+CACHED_WORDS = 150_000  # a speed setting
 _RUNS = (
     (re.compile(r"[^\W\d_]*[A-Z][^\W\d_a-z]+[^\W\d_]*"), "AA"),
     (re.compile(r"[A-Z][^\W\d_]*"), "Aa"),
@@ -224,11 +224,13 @@ def score(
     kind = docs.schema[id_column].dataType.simpleString()
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            scores = pa.array(_scores(network, texts_of(batch, "text")), pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("held_out"), scores], ["id", "held_out", "score"]
-            )
+        with given_back(_FORMS.clear):
+            for batch in text_slices(batches, "text"):
+                scores = pa.array(_scores(network, texts_of(batch, "text")), pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("held_out"), scores],
+                    ["id", "held_out", "score"],
+                )
 
     read = docs.select(
         F.col(id_column).alias("id"),
@@ -251,8 +253,10 @@ def good_documents(
         return docs
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, text_column):
-            yield batch.filter(pa.array(_scores(network, texts_of(batch, text_column)) >= least))
+        with given_back(_FORMS.clear):
+            for batch in text_slices(batches, text_column):
+                fits = _scores(network, texts_of(batch, text_column)) >= least
+                yield batch.filter(pa.array(fits))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from shopgrain.llm import bpe
-from shopgrain.llm.batches import text_slices, texts_of
+from shopgrain.llm.batches import given_back, text_slices, texts_of
+from shopgrain.operators.lookup import salted_join
 from shopgrain.sources.scratch import materialise, path_exists
 
 DIGEST_BYTES = 16
@@ -50,6 +51,10 @@ class Counter:
             return text
         return F.trim(F.regexp_replace(text, r"[\t-\r ]+", " "))
 
+    def forget(self) -> None:
+        if self.words is not None:
+            self.words.forget()
+
     def count(self, texts: list[str]) -> list[int]:
         if self.words is not None:
             starts = self.words.encode(texts)[1]
@@ -120,11 +125,12 @@ def count_tokens(
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = counter(tokenizer_path)
-            for batch in text_slices(batches, "text"):
-                counts = pa.array(own.count(texts_of(batch, "text")), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("digest"), counts], ["digest", "n_tokens"]
-                )
+            with given_back(own.forget):
+                for batch in text_slices(batches, "text"):
+                    counts = pa.array(own.count(texts_of(batch, "text")), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("digest"), counts], ["digest", "n_tokens"]
+                    )
 
         (
             distinct.mapInArrow(count, "digest binary, n_tokens bigint")
@@ -133,5 +139,6 @@ def count_tokens(
             .partitionBy("tokenizer")
             .parquet(cache_path)
         )
-    counted = seen.join(cached_counts(spark, cache_path, version), "digest", "left")
+    # Copies share a digest; frequent ones are spread.
+    counted = salted_join(seen, cached_counts(spark, cache_path, version), ["digest"])
     return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens")
