@@ -17,8 +17,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shopgrain.operators.lookup import small
 from shopgrain.operators.ordinal import with_ordinal
-from shopgrain.sources.scratch import materialise
+from shopgrain.sources.scratch import materialise, measured
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
@@ -282,7 +283,9 @@ def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column:
         .join(targets.select("rank", "source_size", "target"), "rank")
         .drop("rank")
     )
-    return sizes, materialise(rules, "rules")
+    rules, size = measured(rules, "rules")
+    # Measured to be small, they go to the documents; else the join shuffles both.
+    return sizes, F.broadcast(rules) if small(size) else rules
 
 
 def with_copies(sized: DataFrame, rules: DataFrame, id_column: str, source_column: str, size_column: str) -> DataFrame:
