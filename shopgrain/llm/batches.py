@@ -1,5 +1,6 @@
 """Arrow batches cut to a bounded number of text bytes, so that a Python worker's memory is bounded."""
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -35,6 +36,9 @@ def given_back(*clear: Callable[[], None]):
         for each in clear:
             each()
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim is not None:
+            trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
