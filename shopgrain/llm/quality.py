@@ -2,7 +2,8 @@
 
 A document is a bag of passages of ``Shape.passage`` words. A passage's features are the frequencies of its words'
 written forms (case, letters, digits and punctuation, runs collapsed, hashed into buckets) and of words that repeat the
-one or two before them. A layer encodes each passage, gated attention weighs the passages within the document, and
+one or two before them. A word of more than ``PIECE`` characters counts as consecutive words of that many, so that a run
+without white space is read to its end and fills passages like any other text. A layer encodes each passage, gated attention weighs the passages within the document, and
 the weighted mean decides. Only document labels are given; which passages matter is learned.
 
 Training reads up to ``Shape.sample`` documents of each label (rows with the smallest hashes that are not held out) and
@@ -26,6 +27,7 @@ from shopgrain.llm.batches import given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, sampled_ids
 
 THRESHOLD = 0.7
+PIECE = 64  # characters of a run without white space that count as one word
 CACHED_WORDS = 150_000  # a speed setting
 _RUNS = (
     (re.compile(r"[^\W\d_]*[A-Z][^\W\d_a-z]+[^\W\d_]*"), "AA"),
@@ -64,7 +66,7 @@ class Forms(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        form = word[:64]
+        form = word
         for pattern, to in _RUNS:
             form = pattern.sub(to, form)
         raw = word.encode()
@@ -77,10 +79,18 @@ class Forms(dict):
 _FORMS: dict[int, Forms] = {}
 
 
+def words_of(text: str) -> list[str]:
+    """What is between white space, longer words in pieces of ``PIECE`` characters."""
+    words = text.split()
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[at : at + PIECE] for w in words for at in range(0, len(w), PIECE)]
+
+
 def passages_of(text: str, shape: Shape) -> np.ndarray:
     """Features of all passages of a text, one row each."""
     forms = _FORMS.setdefault(shape.buckets, Forms(shape.buckets))
-    words = np.array([forms[w] for w in text.split()], np.int64)
+    words = np.array([forms[w] for w in words_of(text)], np.int64)
     rows = max(1, -(-len(words) // shape.passage))
     if not len(words):
         return np.zeros((1, shape.features), np.float32)

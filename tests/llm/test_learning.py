@@ -101,6 +101,27 @@ def test_every_passage_is_read():
     assert quality.passages_of("", shape).shape == (1, shape.features)
 
 
+def test_runs_without_white_space_are_read_to_their_end():
+    shape = quality.Shape()
+    clean = "plaintextwithoutspaces" * 1000
+    spoiled = clean + "BUY!!NOW!!%$#" * 500
+    assert len(quality.passages_of(clean, shape)) == -(-22000 // (quality.PIECE * shape.passage))
+    assert (quality.passages_of(spoiled, shape)[-1] != quality.passages_of(clean, shape)[-1]).any()
+    short = "x" * quality.PIECE
+    assert (quality.passages_of(short * 3, shape) == quality.passages_of(f"{short} " * 3, shape)).all()
+    pieces = quality.words_of(f"a {clean}\n{spoiled} b")
+    assert "".join(pieces) == f"a{clean}{spoiled}b" and max(map(len, pieces)) == quality.PIECE
+
+
+def test_junk_late_in_a_run_changes_the_score(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    network = quality.learn(docs, labels, quality.Shape(), "doc_id", "text", "quality")
+    clean = "plaintextwithoutspaces" * 1000
+    texts = [clean, clean + "BUY!!NOW!!%$#" * 2000]
+    one, other = quality._scores(network, texts)
+    assert abs(one - other) > 0.01
+
+
 def test_held_out_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.collect()}
