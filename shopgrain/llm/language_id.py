@@ -207,7 +207,8 @@ def known_language(
 ) -> DataFrame:
     """The documents, with all their columns, whose language is known with a score of ``least``.
 
-    ``und`` goes. Without a network nothing is known about languages, and all documents stay.
+    ``und`` goes. Texts that do not fill a window are too short for the score to tell, and stay if they have a letter.
+    Without a network nothing is known about languages, and all documents stay.
     """
     if network is None:
         return docs
@@ -215,8 +216,12 @@ def known_language(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with given_back():
             for batch in text_slices(batches, text_column, SLICE_BYTES):
-                named, scores = _predicted(network, texts_of(batch, text_column))
-                fits = [n != UNKNOWN and s >= least for n, s in zip(named, scores)]
+                texts = texts_of(batch, text_column)
+                named, scores = _predicted(network, texts)
+                fits = [
+                    n != UNKNOWN and (s >= least or len(t.encode()) < network.shape.window)
+                    for n, s, t in zip(named, scores, texts)
+                ]
                 yield batch.filter(pa.array(fits, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -49,6 +51,23 @@ def test_each_stage_takes_effect(spark, stages):
         assert row.decoded == tokenizer.decode(expected, skip_special_tokens=False)
 
 
+def test_language_stage_drops_letters_of_no_learned_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(4)
+    cyrillic = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    foreign = [
+        " ".join("".join(rng.choices(cyrillic, k=rng.randint(2, 9))) for _ in range(300)) for _ in range(20)
+    ]
+    polish = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. " * 25
+    planted = documents(
+        spark, [(-1 - i, t, None, "a", 1) for i, t in enumerate([*foreign, polish, "Tak", "12 34"])]
+    )
+    stage = dict(corpus_pipeline.STAGES)["language ID"]
+    kept = [r.doc_id for r in stage(spark, docs.unionByName(planted.select(docs.columns)), SF).collect()]
+    assert [d for d in kept if d < 0] == [-22]  # too short to judge
+    assert len(kept) == docs.count() + 1
+
+
 def test_run_gives_the_last_stage(spark, stages):
     found = corpus_pipeline.run(spark, SF)
     assert found.columns == stages[-1].columns
