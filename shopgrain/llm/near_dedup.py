@@ -22,11 +22,11 @@ than the id and the text are left out, so no name can clash.
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.llm.batches import given_back, groups, text_slices, texts_of
 from shopgrain.llm.components import components
@@ -135,8 +135,13 @@ def _may_link(equal: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarr
     return fits
 
 
+def _digest(text_column: str) -> Column:
+    """Tells texts of one id, or without one, apart; null for a null text."""
+    return F.unhex(F.sha2(F.col(text_column), 256))
+
+
 def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """id, n_shingles, set_key (null without a set), registers (bands as longs)."""
+    """id, digest (of the text), n_shingles, set_key (null without a set), registers (bands as longs)."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,15 +157,20 @@ def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id"),
+                        batch.column("digest"),
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(signs, pa.list_(pa.int64())),
                     ],
-                    ["id", "n_shingles", "set_key", "registers"],
+                    ["id", "digest", "n_shingles", "set_key", "registers"],
                 )
 
-    read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = f"id {kind}, n_shingles bigint, set_key binary, registers array<bigint>"
+    read = docs.select(
+        F.col(id_column).alias("id"),
+        F.col(text_column).alias("text"),
+        _digest(text_column).alias("digest"),
+    )
+    schema = f"id {kind}, digest binary, n_shingles bigint, set_key binary, registers array<bigint>"
     return read.mapInArrow(sign, schema)
 
 
@@ -383,16 +393,19 @@ def _links(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str)
     return None
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """id, n_shingles, component_id (smallest id linked, over any number of links), kept for every document."""
+def _grouped(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The written signatures, and of each distinct set: set_key, label, first, component (a number).
+
+    ``label`` is the smallest id that bears the set, ``first`` the id and digest of its first row: by id, nulls last, then digest.
+    """
     signed = materialise(signatures(docs, id_column, text_column), "signatures")
+    row = F.struct(F.col("id").isNull().alias("unnamed"), "id", "digest")
     distinct = (
         signed.where("set_key is not null")
         .groupBy("set_key")
         .agg(
             F.min("id").alias("label"),
+            F.min(row).alias("first"),
             F.first("n_shingles").alias("n"),
             F.first("registers").alias("registers"),
         )
@@ -400,15 +413,20 @@ def near_duplicates(
     # numbered in the written table, so the numbers stay
     nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
     labels = _links(docs, nodes, id_column, text_column)
-    known = nodes.select("node", "set_key", "label")
+    known = nodes.select("node", "set_key", "label", "first")
     if labels is None:
-        named = known.select("set_key", F.col("label").alias("component_id"))
-    else:
-        placed = known.join(labels, "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
-        smallest = placed.groupBy("component").agg(F.min("label").alias("component_id"))
-        named = placed.join(smallest, "component").select("set_key", "component_id")
+        return signed, known.withColumnRenamed("node", "component")
+    placed = known.join(labels, "node", "left")
+    return signed, placed.withColumn("component", F.coalesce("component", "node")).drop("node")
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """id, n_shingles, component_id (smallest id linked, over any number of links), kept for every document."""
+    signed, sets = _grouped(docs, id_column, text_column)
+    smallest = sets.groupBy("component").agg(F.min("label").alias("component_id"))
+    named = sets.join(smallest, "component").select("set_key", "component_id")
     # Copies share a set; frequent ones are spread.
     found = salted_join(signed.select("id", "n_shingles", "set_key"), named, ["set_key"])
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
@@ -423,16 +441,35 @@ def near_duplicates(
 def one_of_each(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The documents, with all their columns, one of each group: the one with the smallest id.
+    """The documents, with all their columns, one row of each group: by id, nulls last, then by the text's digest.
 
-    Documents without words stay. If an id comes in several rows, one of its rows stays, if any of them does; rows with
-    null ids stay or go as their group's smallest id says.
+    Groups are of rows, so texts that share an id, or have none, are told apart. Of rows without words one stays for each
+    id, and all that have none.
     """
-    found = materialise(near_duplicates(docs, id_column, text_column), "groups")
-    kept = found.where("kept").select(F.col(id_column).alias("_kept_id")).distinct()
-    left = docs.join(kept, F.col(id_column).eqNullSafe(F.col("_kept_id")), "left_semi")
-    named = F.col(id_column).isNotNull()
-    repeated = found.where(named).groupBy(id_column).count().where("count > 1")
+    signed, sets = _grouped(docs, id_column, text_column)
+    wordless = signed.where("set_key is null")
+    firsts = [
+        sets.groupBy("component").agg(F.min("first").alias("first")).select("first.id", "first.digest"),
+        wordless.where("id is not null").groupBy("id").agg(F.min("digest").alias("digest")),
+        wordless.where("id is null").select("id", "digest").distinct(),
+    ]
+    chosen = reduce(DataFrame.unionByName, firsts)
+    kept = materialise(
+        chosen.select(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct(),
+        "kept",
+    )
+    same = F.col(id_column).eqNullSafe(F.col("_kept_id"))
+    same &= _digest(text_column).eqNullSafe(F.col("_kept_digest"))
+    left = docs.join(kept, same, "left_semi")
+    repeated = (
+        signed.where("id is not null or set_key is not null")
+        .groupBy("id", "digest")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where("rows > 1")
+    )
     if repeated.isEmpty():
         return left
-    return left.where(named).dropDuplicates([id_column]).unionByName(left.where(~named))
+    worded = F.coalesce(F.col(text_column).rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    told_apart = F.col(id_column).isNotNull() | worded
+    once = left.where(told_apart).dropDuplicates([id_column, text_column])
+    return once.unionByName(left.where(~told_apart))

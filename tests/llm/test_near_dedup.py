@@ -111,6 +111,27 @@ def test_one_of_each_keeps_columns_and_one_row_of_an_id(spark):
     assert near_dedup.one_of_each(documents(spark, [])).collect() == []
 
 
+def test_one_of_each_tells_rows_of_an_id_apart(spark):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    rows = [(1, one), (2, one), (2, other), (2, other + " more"), (3, third), (3, third), (3, ""), (4, ""), (4, " ")]
+    docs = documents(spark, [(d, t, "en", "a", i) for i, (d, t) in enumerate(rows)])
+    kept = sorted((r.doc_id, r.text) for r in near_dedup.one_of_each(docs).collect())
+    assert [(d, t) for d, t in kept if t.strip()] in (
+        [(1, one), (2, other), (3, third)], [(1, one), (2, other + " more"), (3, third)]
+    )
+    assert [d for d, t in kept if not t.strip()] == [3, 4]
+
+
+def test_one_of_each_of_rows_without_an_id(spark):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    texts = [one, one, one + " more", other, third + " more", "", "", None]
+    docs = documents(spark, [(None, t, "en", "a", 1) for t in texts] + [(7, third, "en", "a", 1)])
+    kept = [(r.doc_id, r.text) for r in near_dedup.one_of_each(docs).collect()]
+    assert len(kept) == 6 and (7, third) in kept and (None, other) in kept
+    assert sum((t or "").startswith("a0 ") for _, t in kept) == 1
+    assert [t for d, t in kept if d is None and not t] in (["", "", None], ["", None, ""], [None, "", ""])
+
+
 def test_a_hash_of_the_set_decides_and_not_the_order(spark):
     text = "a b c d e a b c d e a b c d e"
     assert found_in(spark, {1: text, 2: text + " a b c d e"})[2][1] == 1
