@@ -1,8 +1,14 @@
 """First-seen append and keyed upsert, as DataFrame operators."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
 
-from shopgrain.operators.lookup import fits_broadcast, lookup
+from pyspark.sql import Column, DataFrame, Row, functions as F
+
+from shopgrain.operators.lookup import lookup, small
+from shopgrain.sources.scratch import Size, size_columns
+
+PROBED_ROWS = 200
+SCAN_LIST = 10  # longer lists reach a Parquet scan as a range only
 
 
 def usable_key(df: DataFrame, key: str = "url") -> DataFrame:
@@ -36,12 +42,26 @@ def held_keys(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """Keys of the target that matter to a written batch that is unique on the key.
 
     For a batch measured to be small, the target is scanned past the broadcast batch keys instead of
-    being shuffled, and what is left is no larger than the batch. Otherwise all target keys.
+    being shuffled, and what is left is no larger than the batch; for one of a few rows, their values go into the scan's
+    filter, so that statistics and bloom filters skip what holds none of them. Otherwise all target keys.
     """
     keys = batch.select(*key)
-    if fits_broadcast(keys):
-        return F.broadcast(target.select(*key).join(F.broadcast(keys), key, "left_semi"))
-    return target.select(*key)
+    size = Size(*keys.agg(*size_columns(keys)).first())
+    if not small(size):
+        return target.select(*key)
+    if size.rows <= PROBED_ROWS:
+        target = target.where(_any_of(keys.collect(), key))
+    return F.broadcast(target.select(*key).join(F.broadcast(keys), key, "left_semi"))
+
+
+def _any_of(rows: list[Row], key: list[str]) -> Column:
+    """Whether every key column has a value of these few rows; each list is short enough to reach the scan."""
+    whole = F.lit(bool(rows))
+    for k in key:
+        values = sorted({r[k] for r in rows if r[k] is not None})
+        parts = (values[i : i + SCAN_LIST] for i in range(0, len(values), SCAN_LIST))
+        whole = whole & reduce(Column.__or__, (F.col(k).isin(part) for part in parts), F.lit(False))
+    return whole
 
 
 def existing_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:

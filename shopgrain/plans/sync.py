@@ -1,8 +1,13 @@
-"""Sync of a run into stored tables: first-seen append per item table, upsert of the dashboard."""
+"""Sync of a run into stored tables: first-seen append per item table, upsert of the dashboard.
+
+Every stored row has the version of its run. A run ends with a row in the table of runs, and readers see the versions up to the last
+run that ended, of all tables alike. What a stopped run has appended is not seen until a later run ends, and is not
+appended twice.
+"""
 
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -14,7 +19,7 @@ from shopgrain.operators.keyed import conform, first_wins, held_keys, upsert, us
 from shopgrain.operators.lookup import lookup
 from shopgrain.operators.ordinal import with_ordinal
 from shopgrain.operators.sheets import sheet_names
-from shopgrain.plans.store import StoredTable
+from shopgrain.plans.tables import KeyedTable, PartedTable, StoredTable
 from shopgrain.sources.scratch import materialise
 
 REPORT = T.StructType(
@@ -26,6 +31,10 @@ REPORT = T.StructType(
 )
 
 
+VERSION = T.StructField("version", T.LongType())
+RUN = T.StructType([VERSION, T.StructField("run_id", T.StringType())])
+
+
 @dataclass(frozen=True)
 class Catalog:
     """The stored tables below one path, and how their names are formed."""
@@ -35,20 +44,72 @@ class Catalog:
     namespace: str = "catalog"
     table_prefix: str = "items_"
 
-    @property
-    def items(self) -> StoredTable:
+    @cached_property
+    def items(self) -> KeyedTable:
         """All item tables in one, told apart by ``table_name``."""
-        return StoredTable(
-            self.spark, f"{self.path}/items", S.STORED_ITEM, ("table_name", "url"), "table_name"
+        schema = T.StructType([*S.STORED_ITEM.fields, VERSION])
+        return KeyedTable(
+            self.spark, f"{self.path}/items", schema, ("table_name", "url"), probed=("url",)
         )
 
-    @property
-    def dashboard(self) -> StoredTable:
-        return StoredTable(self.spark, f"{self.path}/dashboard", S.STORED_DASHBOARD)
+    @cached_property
+    def dashboard(self) -> PartedTable:
+        """Per category the row of the last run that had it, and the one before."""
+        schema = T.StructType([*S.STORED_DASHBOARD.fields, VERSION])
+        return PartedTable(self.spark, f"{self.path}/dashboard", schema, "category")
+
+    @cached_property
+    def runs(self) -> StoredTable:
+        """A row for each run that ended."""
+        return StoredTable(self.spark, f"{self.path}/runs", RUN)
+
+    def version(self) -> int:
+        """The last run that ended; 0 before the first."""
+        return self.runs.read().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def has_run(self, run_id: str) -> bool:
+        return not self.runs.read().where(F.col("run_id") == run_id).isEmpty()
+
+    def end_run(self, version: int, run_id: str) -> None:
+        """Let readers see a version: one row, after all tables are written."""
+        row = self.spark.range(1, numPartitions=1)
+        self.runs.append(row.select(F.lit(version).alias("version"), F.lit(run_id).alias("run_id")))
+
+    def stored_items(self) -> DataFrame:
+        """What readers see of all item tables."""
+        seen = self.items.read().where(F.col("version") <= self.version())
+        return seen.select(*S.STORED_ITEM.fieldNames())
+
+    def stored_dashboard(self) -> DataFrame:
+        """What readers see of the dashboard."""
+        return latest(self.dashboard.read(), self.version())
 
     def table(self, sheet):
         return qualified_table_name(sheet, self.namespace, self.table_prefix)
 
+    def create_views(self) -> tuple[str, str]:
+        """Views of the items and the dashboard as of one run, in the session's catalog; both are replaced together."""
+        version = self.version()
+        names = f"{self.namespace}_{self.table_prefix}all", f"{self.namespace}_dashboard"
+        fields = ", ".join(S.STORED_DASHBOARD.fieldNames())
+        self.spark.sql(
+            f"CREATE OR REPLACE TEMPORARY VIEW {names[0]} AS"
+            f" SELECT {', '.join(S.STORED_ITEM.fieldNames())} FROM {self.items.name} WHERE version <= {version}"
+        )
+        self.spark.sql(
+            f"CREATE OR REPLACE TEMPORARY VIEW {names[1]} AS SELECT last.* FROM ("
+            f"SELECT max_by(struct({fields}), version) AS last FROM {self.dashboard.name}"
+            f" WHERE version <= {version} GROUP BY category)"
+        )
+        return names
+
+
+def latest(rows: DataFrame, version: int) -> DataFrame:
+    """Per category the row of the last version up to ``version``."""
+    row = F.struct(*S.STORED_DASHBOARD.fieldNames())
+    seen = rows.where(F.col("version") <= version).groupBy("category")
+    return seen.agg(F.max_by(row, "version").alias("last")).select("last.*")
+
 
 def instant(run_ts: datetime) -> Column:
     """A run's time as a literal; a time without a zone is in the session's zone."""
@@ -76,17 +137,13 @@ def routed(catalog: Catalog, items: DataFrame) -> DataFrame:
     )
 
 
-def append_items(
-    catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime
-) -> DataFrame | None:
-    """Append first-seen items to their tables; returns the report, or None if the run is in.
+def append_items(catalog: Catalog, items: DataFrame, version: int, run_ts: datetime) -> DataFrame:
+    """Append first-seen items to their tables; returns the report.
 
     Report: ``attempted`` counts the rows offered to a table (for the table of all items, those whose
     key it does not hold yet) and ``inserted`` those that were added.
     """
     table = catalog.items
-    if table.has_run(run_id):
-        return None
     key = list(table.key)
     offered = materialise(
         first_wins(
@@ -94,18 +151,20 @@ def append_items(
         ),
         "offered",
     )
+    stored = table.read()
     # Both sides are unique on the key, so no key is hot. The result is read twice below.
-    known = held_keys(offered, table.read_near(offered), key).withColumn("known", F.lit(True))
+    known = held_keys(offered, stored, key).withColumn("known", F.lit(True))
     marked = materialise(offered.join(known, key, "left"), "marked")
-    last_ids = table.last_ids()
-    added = lookup(marked.where("known IS NULL"), last_ids, ["table_name"], measure=last_ids)
-    rows = added.withColumns(
+    fresh = marked.where("known IS NULL")
+    last_ids = stored.groupBy("table_name").agg(F.max("id").alias("last_id"))
+    rows = lookup(fresh, last_ids, ["table_name"]).withColumns(
         {
             "id": F.coalesce("last_id", F.lit(0)) + F.col("ord"),
             "collected_at": instant(run_ts),
+            "version": F.lit(version),
         }
     )
-    table.append(conform(rows, S.STORED_ITEM), run_id)
+    table.append(rows)
     fresh = F.col("known").isNull()
     return marked.groupBy("table_name").agg(
         F.sum(F.when((F.col("route") == 1) | fresh, F.col("copies")).otherwise(0)).alias(
@@ -116,26 +175,35 @@ def append_items(
 
 
 def refresh_dashboard(
-    catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime
-) -> DataFrame | None:
-    """Upsert this run's dashboard; categories that the run lacks keep their last values."""
+    catalog: Catalog, items: DataFrame, version: int, run_ts: datetime
+) -> DataFrame:
+    """Upsert this run's dashboard; categories that the run lacks keep their last values.
+
+    Only the partitions of the run's categories are read and written. They keep the rows that readers see until the run ends.
+    """
     table = catalog.dashboard
-    if table.has_run(run_id):
-        return None
-    stored = table.read()
     current = dashboard(items).where(F.col("category").isNotNull())
-    numbered = with_ordinal(
-        current.withColumn("_rank", -F.col("item_count")), ["_rank", "category"], "_ord"
+    numbered = materialise(
+        with_ordinal(
+            current.withColumn("_rank", -F.col("item_count")), ["_rank", "category"], "_ord"
+        ),
+        "dashboard",
     )
-    last_id = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).scalar()
+    last_id = table.read().agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).scalar()
     batch = numbered.select(
         (last_id + F.col("_ord")).alias("id"),
         *S.DASHBOARD.fieldNames(),
         instant(run_ts).alias("collected_at"),
     )
+    near = table.near(numbered)
+    seen = near.where(F.col("version") < version).groupBy("category")
+    before = materialise(seen.agg(F.max_by(F.struct(*near.columns), "version").alias("last")), "seen")
+    before = before.select("last.*")
     replaced = ["item_count", "avg_price", "low_stock_count", "collected_at"]
-    table.replace(conform(upsert(stored, batch, "category", replaced), S.STORED_DASHBOARD), run_id)
-    inserted = numbered.join(stored.select("category"), "category", "left_anti").agg(
+    after = upsert(conform(before, S.STORED_DASHBOARD), batch, "category", replaced)
+    both = before.unionByName(after.withColumn("version", F.lit(version)))
+    table.overwrite(materialise(conform(both, before.schema), "upserted"))
+    inserted = numbered.join(before.select("category"), "category", "left_anti").agg(
         F.count(F.lit(1)).alias("inserted")
     )
     return numbered.agg(F.count(F.lit(1)).alias("attempted")).select(
@@ -145,16 +213,18 @@ def refresh_dashboard(
     )
 
 
-def sync(catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
+def sync(
+    catalog: Catalog, items: DataFrame, run_id: str, run_ts: datetime, item_tables: bool = True
+) -> DataFrame:
     """Bring all stored tables up to date with one run; returns the report per table.
 
-    ``items`` is read several times: pass a written table. An empty run changes nothing.
+    ``items`` is read several times: pass a written table. An empty run changes nothing, nor does a run that is in.
+    Without ``item_tables`` only the dashboard is kept.
     """
-    if items.isEmpty():
+    if items.isEmpty() or catalog.has_run(run_id):
         return conform(catalog.spark.range(0), REPORT)
-    reports = (
-        append_items(catalog, items, run_id, run_ts),
-        refresh_dashboard(catalog, items, run_id, run_ts),
-    )
-    done = [r for r in reports if r is not None] or [conform(catalog.spark.range(0), REPORT)]
-    return reduce(DataFrame.unionByName, done)
+    version = catalog.version() + 1
+    tasks = [append_items] * item_tables + [refresh_dashboard]
+    report = reduce(DataFrame.unionByName, [t(catalog, items, version, run_ts) for t in tasks])
+    catalog.end_run(version, run_id)
+    return report

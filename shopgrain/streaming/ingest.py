@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopgrain.operators.keyed import first_wins, held_keys
-from shopgrain.plans.store import StoredTable
-from shopgrain.plans.sync import Catalog, append_items, refresh_dashboard
+from shopgrain.plans.sync import Catalog, sync
+from shopgrain.plans.tables import KeyedTable
 from shopgrain.sources.scratch import materialise
 
 
@@ -44,25 +44,22 @@ def run_id_of(batch: DataFrame, batch_id: int, name: str) -> str:
 
 
 def append_new_keys(
-    stream: DataFrame, target: StoredTable, key: list[str], order_by: list[str], checkpoint: str,
-    name: str = "batch",
+    stream: DataFrame, target: KeyedTable, order_by: list[str], checkpoint: str
 ) -> StreamingQuery:
     """Append each batch's first row per key that the target does not hold.
 
-    First-seen state lives in the target. A batch of a checkpoint is one stored run, so a retried batch
-    writes nothing twice, and a new checkpoint, which may see old and new files, adds what is new.
+    First-seen state lives in the target. A retried batch finds its keys there and writes nothing twice, and a new
+    checkpoint, which may see old and new files, adds what is new.
     """
+    key = list(target.key)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        run_id = run_id_of(batch, batch_id, name)
-        if target.has_run(run_id):
-            return
         keyed = batch
         for k in key:
             keyed = keyed.where(F.col(k).isNotNull())
         first = materialise(first_wins(keyed, key, order_by), "stream-first")
-        held = held_keys(first, target.read_near(first), key)
-        target.append(first.join(held, key, "left_anti"), run_id)
+        held = held_keys(first, target.read(), key)
+        target.append(materialise(first.join(held, key, "left_anti"), "stream-new"))
 
     return run_available(stream, each_batch, checkpoint)
 
@@ -86,11 +83,8 @@ def sync_batches(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        run_id = run_id_of(batch, batch_id, name)
-        stamp = run_ts or datetime.now(timezone.utc)
         items = materialise(to_items(batch), "stream-items")
-        if item_tables:
-            append_items(catalog, items, run_id, stamp)
-        refresh_dashboard(catalog, items, run_id, stamp)
+        stamp = run_ts or datetime.now(timezone.utc)
+        sync(catalog, items, run_id_of(batch, batch_id, name), stamp, item_tables)
 
     return run_available(stream, each_batch, checkpoint)

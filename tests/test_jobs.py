@@ -6,7 +6,6 @@ from shopgrain import schema as S
 from shopgrain.operators.keyed import conform
 from shopgrain.plans.publish import export, read_sheets, sheet_report
 from shopgrain.plans.run import publish_run
-from shopgrain.plans.store import StoredTable
 from shopgrain.plans.sync import Catalog, sync
 from tests.helpers import sorted_rows
 from tests.samples import FIRST, SECOND, items
@@ -14,33 +13,6 @@ from tests.samples import FIRST, SECOND, items
 TS = datetime(2024, 2, 1, 12, 30, 45)
 
 
-def test_stored_table(spark, tmp_path):
-    schema = S.T.StructType([S.T.StructField("a", S.T.LongType())])
-    table = StoredTable(spark, str(tmp_path / "t"), schema)
-    assert table.read().count() == 0 and table.read().schema == schema
-    table.append(spark.range(3).withColumnRenamed("id", "a"), "r1")
-    table.append(spark.range(9).withColumnRenamed("id", "a"), "r1")
-    table.append(spark.range(10, 12).withColumnRenamed("id", "a"), "r2")
-    assert [r.a for r in table.read().orderBy("a").collect()] == [0, 1, 2, 10, 11]
-    # Columns added later are null in old segments.
-    wider = S.T.StructType([*schema.fields, S.T.StructField("b", S.T.StringType())])
-    assert sorted_rows(StoredTable(spark, table.path, wider).read())[0] == (0, None)
-    # A reader keeps its snapshot while a new one is written from it.
-    before = table.read()
-    table.replace(before.where("a > 1"), "r3")
-    assert before.count() == 5
-    assert [r.a for r in table.read().orderBy("a").collect()] == [2, 10, 11]
-
-
-def test_a_run_that_failed_before_its_commit_is_not_seen(spark, tmp_path):
-    schema = S.T.StructType([S.T.StructField("a", S.T.LongType())])
-    table = StoredTable(spark, str(tmp_path / "t"), schema)
-    spark.range(5).withColumnRenamed("id", "a").write.parquet(table._segment("r1"))
-    assert table.read().count() == 0
-    table.append(spark.range(2).withColumnRenamed("id", "a"), "r1")
-    assert table.read().count() == 2
-
-
 def report(df):
     return {r.table_name: (r.attempted, r.inserted) for r in df.collect()}
 
@@ -51,7 +23,7 @@ def test_sync_twice(spark, tmp_path):
     assert first == {
         "ns.p_todos": (6, 5), "ns.p_arte": (3, 2), "ns.p_viagem": (1, 1), "ns.p_painel": (3, 3),
     }
-    stored = catalog.items.read()
+    stored = catalog.stored_items()
     rows = {(r.table_name, r.url): (r.title, r.id, r.collected_at) for r in stored.collect()}
     assert rows["ns.p_todos", "u2"] == ("b", 2, TS)
     assert {u for t, u in rows if t == "ns.p_todos"} == {"u1", "u2", "u3", "u4", "u5"}
@@ -63,18 +35,18 @@ def test_sync_twice(spark, tmp_path):
     assert again == {
         "ns.p_todos": (0, 0), "ns.p_arte": (3, 0), "ns.p_viagem": (1, 0), "ns.p_painel": (3, 0),
     }
-    assert sorted_rows(catalog.items.read()) == sorted_rows(stored)
+    assert sorted_rows(catalog.stored_items()) == sorted_rows(stored)
 
     third = report(sync(catalog, items(spark, SECOND), "run-3", TS + timedelta(days=2)))
     assert third == {
         "ns.p_todos": (1, 1), "ns.p_arte": (2, 1), "ns.p_poesia": (1, 1), "ns.p_painel": (2, 1),
     }
-    rows = {(r.table_name, r.url): (r.title, r.id) for r in catalog.items.read().collect()}
+    rows = {(r.table_name, r.url): (r.title, r.id) for r in catalog.stored_items().collect()}
     assert rows["ns.p_todos", "u1"] == ("a", 1)  # the first row stays
     assert rows["ns.p_todos", "u9"] == ("new", 5 + 2)
     assert rows["ns.p_poesia", "u3"] == ("moved", 3)
 
-    dash = {r.category: r for r in catalog.dashboard.read().collect()}
+    dash = {r.category: r for r in catalog.stored_dashboard().collect()}
     assert set(dash) == {"arte", "viagem", " ", "poesia"}
     assert (dash["arte"].item_count, dash["arte"].avg_price) == (2, 53.5)  # this run only
     assert dash["arte"].collected_at == TS + timedelta(days=2)
@@ -117,13 +89,13 @@ def test_empty_run_exports_the_message_and_syncs_nothing(spark, tmp_path):
     message = spark.read.parquet(exported.message).collect()
     assert [r.message for r in message] == ["Nenhum dado extraído. Verifique seletores."]
     assert [tuple(r) for r in sheet_report(spark, exported, S.ITEM).collect()] == [("Informacoes", 1)]
-    assert catalog.items.version() == 0
+    assert catalog.version() == 0
 
 
 def test_nothing_to_sync(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path))
     assert report(sync(catalog, items(spark, []), "r", TS)) == {}
-    assert catalog.items.version() == catalog.dashboard.version() == 0
+    assert catalog.version() == 0 and catalog.items.read().isEmpty()
 
 
 def test_whole_run(spark, tmp_path):
@@ -135,7 +107,7 @@ def test_whole_run(spark, tmp_path):
         "sheet=arte", "sheet=viagem",
     }
     assert report(synced)["catalog.items_todos"] == (6, 5)
-    assert catalog.items.live()[0].run_id == "x_20240201_123045"
+    assert [tuple(r) for r in catalog.runs.read().collect()] == [(1, "x_20240201_123045")]
 
 
 def test_a_hot_sheet_is_written_by_many_tasks(spark, tmp_path):

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from shopgrain import schema as S
 from shopgrain.operators.keyed import first_wins
-from shopgrain.plans.store import StoredTable
 from shopgrain.plans.sync import Catalog
+from shopgrain.plans.tables import KeyedTable
 from shopgrain.streaming.ingest import append_new_keys, file_stream, first_seen_keys, sync_batches
 from tests.conftest import SF_DIR
 from tests.helpers import sorted_rows
@@ -26,29 +26,27 @@ def arrive(df, path):
 
 def test_two_batches_equal_one(spark, tmp_path, events):
     source, schema = tmp_path / "in", events.schema
-    target = StoredTable(spark, str(tmp_path / "target"), schema)
+    target = KeyedTable(spark, str(tmp_path / "target"), schema, ("user_id", "event_type"))
     cut = F.lit("2024-01-10").cast("timestamp_ntz")
     expected = first_wins(events, ["user_id", "event_type"], ["ts", "event_id"])
     for part in (events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)):
         arrive(part, source)
         append_new_keys(
-            file_stream(spark, str(source), schema), target, ["user_id", "event_type"],
-            ["ts", "event_id"], str(tmp_path / "check"),
+            file_stream(spark, str(source), schema), target, ["ts", "event_id"], str(tmp_path / "check")
         ).awaitTermination()
-    assert target.version() == 2
     assert sorted_rows(target.read()) == sorted_rows(expected)
 
 
 def test_a_lost_checkpoint_repeats_nothing_and_loses_nothing(spark, tmp_path, events):
     source = tmp_path / "in"
-    target = StoredTable(spark, str(tmp_path / "target"), events.schema)
+    target = KeyedTable(spark, str(tmp_path / "target"), events.schema, ("user_id", "event_type"))
     early = F.col("event_id") < 300
     for check, part in (("a", events.where(early)), ("b", events.where(~early)), ("c", None)):
         if part is not None:
             arrive(part, source)
         append_new_keys(
-            file_stream(spark, str(source), events.schema), target, ["user_id", "event_type"],
-            ["ts", "event_id"], str(tmp_path / check),
+            file_stream(spark, str(source), events.schema), target, ["ts", "event_id"],
+            str(tmp_path / check),
         ).awaitTermination()
     stored = target.read()
     assert stored.count() == events.select("user_id", "event_type").distinct().count()
@@ -63,18 +61,18 @@ def test_a_lost_checkpoint_loses_no_items(spark, tmp_path):
             file_stream(spark, str(source), S.ITEM), lambda df: df, catalog, str(tmp_path / check),
             run_ts=TS,
         ).awaitTermination()
-    todos = catalog.items.read().where("table_name = 'catalog.items_todos'")
+    todos = catalog.stored_items().where("table_name = 'catalog.items_todos'")
     assert sorted(r.url for r in todos.collect()) == ["u1", "u2", "u3", "u4", "u5", "u9"]
-    assert "poesia" in {r.category for r in catalog.dashboard.read().collect()}
+    assert "poesia" in {r.category for r in catalog.stored_dashboard().collect()}
 
 
 def test_null_keys_are_skipped(spark, tmp_path):
     source, schema = tmp_path / "in", "k string, n bigint"
     df = spark.createDataFrame([("a", 1), (None, 2), ("a", 0)], schema)
     arrive(df, source)
-    target = StoredTable(spark, str(tmp_path / "t"), df.schema)
+    target = KeyedTable(spark, str(tmp_path / "t"), df.schema, ("k",))
     append_new_keys(
-        file_stream(spark, str(source), df.schema), target, ["k"], ["n"], str(tmp_path / "c")
+        file_stream(spark, str(source), df.schema), target, ["n"], str(tmp_path / "c")
     ).awaitTermination()
     assert sorted_rows(target.read()) == [("a", 0)]
 
@@ -99,7 +97,7 @@ def test_dashboard_covers_the_current_batch(spark, tmp_path):
             file_stream(spark, str(source), S.ITEM), lambda df: df, catalog, str(tmp_path / "c"),
             run_ts=TS,
         ).awaitTermination()
-    dash = {r.category: (r.item_count, r.avg_price) for r in catalog.dashboard.read().collect()}
+    dash = {r.category: (r.item_count, r.avg_price) for r in catalog.stored_dashboard().collect()}
     assert dash == {"arte": (2, 53.5), "viagem": (1, 5.0), " ": (1, 2.0), "poesia": (1, 5.0)}
-    todos = catalog.items.read().where("table_name = 'catalog.items_todos'")
+    todos = catalog.stored_items().where("table_name = 'catalog.items_todos'")
     assert sorted(r.url for r in todos.collect()) == ["u1", "u2", "u3", "u4", "u5", "u9"]

@@ -14,8 +14,8 @@ from shopgrain.operators.sheets import placeholder_if_empty, sheet_names as name
 from shopgrain.plans.items import items_from_offers, items_from_pages
 from shopgrain.plans.publish import export, sheet_report
 from shopgrain.plans.run import publish_run
-from shopgrain.plans.store import StoredTable
 from shopgrain.plans.sync import Catalog, instant, sync
+from shopgrain.plans.tables import KeyedTable
 from shopgrain.sources.pages import clean_texts, page_fields as fields_of, product_records
 from shopgrain.sources.payloads import rates_from_payloads, translations_from_payloads
 from shopgrain.sources.scratch import materialise, scratch_path
@@ -401,7 +401,7 @@ def stored_items(spark, sf_dir):
     catalog = Catalog(spark, scratch_path(spark, "catalog"))
     sync(catalog, items, "run-1", W.RUN_TS)
     sync(catalog, items, "run-2", W.RUN_TS + timedelta(days=1))
-    return _without_zone(_money(catalog.items.read(), "price", "price_src"))
+    return _without_zone(_money(catalog.stored_items(), "price", "price_src"))
 
 
 def whole_run(spark, sf_dir):
@@ -457,17 +457,16 @@ def stream_offers(spark, sf_dir):
             _stream(spark, sf_dir, "part"), lambda part: _items(part, W.offers_with_copies),
             catalog, checkpoint, "offers", W.RUN_TS,
         ).awaitTermination()
-    return _without_zone(_money(catalog.items.read(), "price", "price_src"))
+    return _without_zone(_money(catalog.stored_items(), "price", "price_src"))
 
 
 def stream_ingest(spark, sf_dir):
     """Two incremental runs, before and after the cut, append to one table."""
     schema = W.table(spark, sf_dir, "events").schema
-    target = StoredTable(spark, scratch_path(spark, "first-events"), schema, tuple(EVENT_KEY))
+    target = KeyedTable(spark, scratch_path(spark, "first-events"), schema, tuple(EVENT_KEY))
     for cut in (W.before_cut, W.after_cut):
         append_new_keys(
-            cut(_event_stream(spark, sf_dir)), target, EVENT_KEY, ["ts", "event_id"],
-            scratch_path(spark, "stream"),
+            cut(_event_stream(spark, sf_dir)), target, ["ts", "event_id"], scratch_path(spark, "stream")
         ).awaitTermination()
     return target.read()
 
@@ -476,11 +475,11 @@ def stream_new_checkpoint(spark, sf_dir):
     """Files arrive in two parts; the second run has lost its checkpoint and sees both."""
     events = W.table(spark, sf_dir, "events")
     source = scratch_path(spark, "arrived")
-    target = StoredTable(spark, scratch_path(spark, "first-events"), events.schema, tuple(EVENT_KEY))
+    target = KeyedTable(spark, scratch_path(spark, "first-events"), events.schema, tuple(EVENT_KEY))
     for cut in (W.before_cut, W.after_cut):
         cut(events).write.mode("append").parquet(source)
         append_new_keys(
-            file_stream(spark, source, events.schema), target, EVENT_KEY, ["ts", "event_id"],
+            file_stream(spark, source, events.schema), target, ["ts", "event_id"],
             scratch_path(spark, "stream"),
         ).awaitTermination()
     return target.read()
@@ -504,7 +503,7 @@ def stream_dashboard(spark, sf_dir):
             cut(_event_stream(spark, sf_dir)), W.event_items, catalog,
             scratch_path(spark, "stream"), run_ts=ts, item_tables=False,
         ).awaitTermination()
-    return _without_zone(catalog.dashboard.read().drop("id"))
+    return _without_zone(catalog.stored_dashboard().drop("id"))
 
 
 QUERIES = {
