@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.llm.batches import given_back, groups, text_slices, texts_of
 from shopgrain.llm.components import components
-from shopgrain.operators.lookup import salted_join
+from shopgrain.operators.lookup import lookup, salted_join
 from shopgrain.sources.scratch import materialise
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
@@ -178,51 +178,66 @@ def _set_key(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """node, hashes of the wanted nodes (node, label, set_key), from the documents that bear their labels."""
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(
-        wanted.select("node", "label", "set_key"), F.col("id").eqNullSafe(F.col("label"))
+def _row(id_column: Column | str) -> Column:
+    """Tells ids apart next to a digest: equal ids have equal numbers, null ids too."""
+    return F.xxhash64(id_column)
+
+
+def _full_sets(
+    docs: DataFrame, wanted: DataFrame, repeats: bool, id_column: str, text_column: str
+) -> DataFrame:
+    """node, hashes of the wanted nodes (node, first, set_key), from the rows that bear them first.
+
+    A row is found by its text's digest together with its id, so neither null ids nor an id with many texts make a large
+    group. ``repeats`` tells whether some row comes more than once.
+    """
+    texts = docs.select(
+        _digest(text_column).alias("digest"),
+        _row(F.col(id_column)).alias("row"),
+        F.col(text_column).alias("text"),
+    )
+    firsts = wanted.select(
+        F.col("first.digest").alias("digest"), _row("first.id").alias("row"), "node", "set_key"
     )
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with given_back(_HASHES.clear):
             for batch in text_slices(batches, "text"):
-                nodes, sets = [], []
-                keys = batch.column("set_key").to_pylist()
-                for node, key, text in zip(
-                    batch.column("node").to_pylist(), keys, texts_of(batch, "text")
-                ):
-                    found = shingle_set(text)
-                    if _set_key(found) == key:
-                        nodes.append(node)
-                        sets.append(found.view(np.int64))
+                sets = [shingle_set(text).view(np.int64) for text in texts_of(batch, "text")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-                    ["node", "hashes"],
+                    [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "hashes"]
                 )
 
-    read = texts.select("node", "set_key", "text")
-    return read.mapInArrow(hashes, "node bigint, hashes array<bigint>").dropDuplicates(["node"])
+    read = lookup(texts, firsts, ["digest", "row"], "inner").select("node", "text")
+    found = read.mapInArrow(hashes, "node bigint, hashes array<bigint>")
+    return found.dropDuplicates(["node"]) if repeats else found
+
+
+def _both(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Written pairs (a, b) with the columns of ``known`` (node, ...) for either side, as ``<column>_a`` and ``<column>_b``.
+
+    A pivot is the a of as many pairs as its groups have members: they are spread.
+    """
+    sides = {
+        side: known.select(
+            F.col("node").alias(side),
+            *(F.col(c).alias(f"{c}_{side}") for c in known.columns if c != "node"),
+        )
+        for side in "ab"
+    }
+    return salted_join(pairs, sides["a"], ["a"], "inner").join(sides["b"], "b")
 
 
 def _estimated(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """Pairs (a, b) that pass the estimate."""
-    for side in "ab":
-        pairs = pairs.join(
-            signs.select(
-                F.col("node").alias(side),
-                F.col("n").alias(f"n_{side}"),
-                F.col("registers").alias(f"r_{side}"),
-            ),
-            side,
-        )
+    pairs = _both(materialise(pairs, "offered-pairs"), signs)
 
     def pass_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 signs_of = [
                     batch.column(c).flatten().to_numpy().view(np.uint16).reshape(-1, REGISTERS)
-                    for c in ("r_a", "r_b")
+                    for c in ("registers_a", "registers_b")
                 ]
                 sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
                 keep = _may_link((signs_of[0] == signs_of[1]).sum(axis=1), *sizes)
@@ -232,14 +247,10 @@ def _estimated(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose full sets reach the similarity."""
-    for side in "ab":
-        pairs = pairs.join(
-            sets.select(F.col("node").alias(side), F.col("hashes").alias(f"s_{side}")), side
-        )
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    union = F.size("s_a") + F.size("s_b") - shared
-    return pairs.where(100 * shared >= PERCENT * union).select("a", "b")
+    """Written pairs whose full sets reach the similarity."""
+    shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
+    union = F.size("hashes_a") + F.size("hashes_b") - shared
+    return _both(pairs, sets).where(100 * shared >= PERCENT * union).select("a", "b")
 
 
 def _links_in_blocks(mixed: DataFrame) -> DataFrame:
@@ -340,8 +351,10 @@ def _shared(one: np.ndarray, other: np.ndarray) -> int:
     return int(np.count_nonzero(one[at] == other))
 
 
-def _links(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str) -> DataFrame | None:
-    """node, component of the linked sets; None if nothing is linked. ``nodes``: node, label, set_key, n, registers."""
+def _links(
+    docs: DataFrame, nodes: DataFrame, repeats: bool, id_column: str, text_column: str
+) -> DataFrame | None:
+    """node, component of the linked sets; None if nothing is linked. ``nodes``: node, first, set_key, n, registers."""
     bands = nodes.select("node", F.posexplode("registers").alias("band", "key"))
     shared_bands = (
         bands.groupBy("band", "key")
@@ -353,7 +366,7 @@ def _links(docs: DataFrame, nodes: DataFrame, id_column: str, text_column: str)
     signs = materialise(nodes.join(wanted, "node"), "candidates")
     if signs.isEmpty():
         return None
-    sets = materialise(_full_sets(docs, signs, id_column, text_column), "sets")
+    sets = materialise(_full_sets(docs, signs, repeats, id_column, text_column), "sets")
     signs = signs.select("node", "n", "registers")
 
     pairs = shared.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -412,7 +425,9 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFra
     )
     # numbered in the written table, so the numbers stay
     nodes = materialise(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    labels = _links(docs, nodes, id_column, text_column)
+    rows = signed.where("set_key is not null").groupBy("id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    repeats = not rows.where("rows > 1").isEmpty()
+    labels = _links(docs, nodes, repeats, id_column, text_column)
     known = nodes.select("node", "set_key", "label", "first")
     if labels is None:
         return signed, known.withColumnRenamed("node", "component")

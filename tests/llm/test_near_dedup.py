@@ -173,3 +173,41 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert {found[i] for i in range(5, 41)} == {5}
     assert (found[202], found[300], len(found)) == (200, 300, 61 + 36 + 3 + 1)
     assert components(df.where("a < 0")).collect() == []
+
+
+def near_copies(n, ids):
+    """Texts of which each is linked with many others."""
+    rng = random.Random(n)
+    base = [f"w{rng.randrange(5000)}" for _ in range(80)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        words[rng.randrange(80)] = f"new{i}"
+        rows.append((ids(i), " ".join(words), "en", "a", 1))
+    return rows
+
+
+@pytest.mark.parametrize("ids", [lambda i: None, lambda i: 7, lambda i: i], ids=["null", "one", "own"])
+def test_ids_do_not_gather_texts(spark, ids, monkeypatch):
+    """Whatever the ids are, the join that fetches the texts gives one row for each set."""
+    n, fetched = 2000, []
+    whole = near_dedup.lookup
+
+    def counted(left, right, on, how="left", **more):
+        joined = whole(left, right, on, how, **more)
+        if "set_key" in right.columns:
+            fetched.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(near_dedup, "lookup", counted)
+    docs = documents(spark, near_copies(n, ids))
+    found = near_dedup.near_duplicates(docs).collect()
+    assert len(found) == n and {r.component_id for r in found} == {ids(0)}
+    assert fetched == [n]
+    assert near_dedup.one_of_each(docs).count() == 1
+
+
+def test_rows_that_come_more_than_once(spark):
+    rows = near_copies(40, lambda i: i % 10 if i % 3 else None)
+    found = near_dedup.near_duplicates(documents(spark, rows * 5)).collect()
+    assert len(found) == 200 and {r.component_id for r in found} == {min(i % 10 for i in range(40) if i % 3)}
