@@ -5,12 +5,12 @@ every n-gram of the whole text is seen. Bytes are embedded, filters of several w
 filter's largest response feeds a softmax over the languages. A text's probabilities are the mean over its windows, by
 their bytes.
 
-Training reads up to ``Shape.sample`` texts of each language (rows with the smallest hashes that are not held out) and
+Training reads up to ``Shape.sample`` texts of each language (ids with the smallest hashes that are not held out) and
 ``Shape.sample_windows`` windows, evenly spread, of each; that bounds what the driver holds by the number of languages.
 
 Rows: null texts and texts without a letter are ``und`` with score 0, and so is every text if there is nothing to learn from.
-Repeated rows each come out. Null ids are not held out and not learned from. Input columns other than the id and the
-text (and the language, for learning) are left out, so no name can clash.
+Repeated rows each come out. Null ids are not held out and not learned from; of an id with several texts one is learned from,
+of an id with several languages none. Input columns other than the id and the text (and the language, for learning) are left out, so no name can clash.
 """
 
 from collections.abc import Iterator
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.llm.batches import given_back, text_slices, texts_of
-from shopgrain.llm.learning import Adam, held_out, sampled_ids
+from shopgrain.llm.learning import Adam, held_out, one_of_each_id, sampled_ids
 
 UNKNOWN = "und"
 SLICE_BYTES = 1 << 20
@@ -137,11 +137,11 @@ def learn(
     docs: DataFrame, shape: Shape, id_column: str, text_column: str, lang_column: str
 ) -> Network | None:
     """A network for the languages of the rows that are not held out; None without any."""
-    labelled = docs.where(F.col(text_column).isNotNull()).select(
-        F.col(id_column).alias("id"), F.col(lang_column).alias("label")
+    usable = docs.where(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
+    picked = sampled_ids(
+        usable.select(F.col(id_column).alias("id"), F.col(lang_column).alias("label")), shape.sample
     )
-    picked = sampled_ids(labelled, shape.sample)
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = usable.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -158,13 +158,12 @@ def learn(
             )
 
     kinds = {f.name: f.dataType.simpleString() for f in picked.schema}
-    found = (
-        texts.where("text is not null")
-        .join(F.broadcast(picked), "id")  # ``sample`` ids of each language
+    chosen = (
+        texts.join(F.broadcast(picked), "id")  # ``sample`` ids of each language
         .select("id", "label", "text")
         .mapInArrow(cut, f"id {kinds['id']}, label {kinds['label']}, bytes binary")
-        .collect()
     )
+    found = one_of_each_id(chosen, "bytes").collect()
     if not found:
         return None
     found.sort(key=lambda r: (r["label"], r["id"], bytes(r["bytes"])))

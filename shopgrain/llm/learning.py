@@ -1,10 +1,12 @@
 """What the trained operators share: the split of rows, a bounded sample, and a step of Adam."""
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from shopgrain.sources.scratch import materialise
 
 FOLDS, HELD_OUT_FOLD = 4, 2
-PARTS = 1024  # of a label, from which the smallest hashes are picked side by side
+SURPLUS = 7  # standard deviations
 
 
 def held_out(id_column: Column) -> Column:
@@ -14,20 +16,37 @@ def held_out(id_column: Column) -> Column:
 
 
 def sampled_ids(labelled: DataFrame, per_label: int) -> DataFrame:
-    """id, label: of each label the ``per_label`` rows with the smallest hashes that may be learned from.
+    """id, label: of each label at most ``per_label`` ids that may be learned from, those with the smallest hashes.
 
-    They are picked within parts of a label first, so that no task sees all rows of a frequent one.
+    Every id comes once: one that has several labels is left out. A label's share of hashes that holds ``SURPLUS`` standard deviations
+    more than ``per_label`` ids is found from its count, so that only about as many rows are sorted as are picked,
+    however frequent a label is.
     """
-    known = labelled.where(
-        F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id"))
-    ).select("id", "label", F.xxhash64("id").alias("hash"))
-    known = known.withColumn("part", F.pmod(F.col("hash"), F.lit(PARTS)))
-    for group in (["label", "part"], ["label"]):
-        first = Window.partitionBy(*group).orderBy("hash", "id")
-        known = known.withColumn("place", F.row_number().over(first)).where(
-            F.col("place") <= per_label
+    known = (
+        labelled.where(
+            F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id"))
         )
-    return known.select("id", "label")
+        .groupBy("id")
+        .agg(F.min("label").alias("label"), F.max("label").alias("other"))
+        .where("label = other")
+        .select("id", "label", F.xxhash64("id").alias("hash"))
+    )
+    wanted = per_label + SURPLUS * per_label**0.5 + SURPLUS**2
+    shares = known.groupBy("label").agg((F.lit(wanted) / F.count(F.lit(1))).alias("share"))
+    # hashes lie evenly from -2**63; 53 bits of them fit a double
+    low = F.shiftright("hash", 11) < (F.col("share") - 0.5) * F.lit(2.0**53)
+    few = known.join(F.broadcast(shares), "label").where((F.col("share") >= 1) | low)
+    few = materialise(few.select("id", "label", "hash"), "sample")
+    smallest = F.sort_array(F.collect_list("hash"))
+    cuts = few.groupBy("label").agg(
+        F.element_at(smallest, F.least(F.size(smallest), F.lit(per_label))).alias("cut")
+    )
+    return few.join(F.broadcast(cuts), "label").where("hash <= cut").select("id", "label")
+
+
+def one_of_each_id(cut: DataFrame, value: str) -> DataFrame:
+    """id, label and one ``value`` (the least) of each id, however many rows bear it."""
+    return cut.groupBy("id", "label").agg(F.min(value).alias(value))
 
 
 class Adam:

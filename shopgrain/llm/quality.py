@@ -6,11 +6,12 @@ one or two before them. A word of more than ``PIECE`` characters counts as conse
 without white space is read to its end and fills passages like any other text. A layer encodes each passage, gated attention weighs the passages within the document, and
 the weighted mean decides. Only document labels are given; which passages matter is learned.
 
-Training reads up to ``Shape.sample`` documents of each label (rows with the smallest hashes that are not held out) and
+Training reads up to ``Shape.sample`` documents of each label (ids with the smallest hashes that are not held out) and
 ``Shape.sample_passages`` passages, evenly spread, of each; scoring reads every passage of every document.
 
 Rows: null and empty texts are a bag of one passage without words and get that score. Repeated rows each come out. Null ids
-are not held out and not learned from; of labels only 0 and 1 are. Without any labels all scores are 0.5. Input columns other
+are not held out and not learned from; of labels only 0 and 1 are. Of an id with several texts one is learned from, of an id with
+both labels none. Without any labels all scores are 0.5. Input columns other
 than the id and the text are left out, so no name can clash.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.llm.batches import given_back, text_slices, texts_of
-from shopgrain.llm.learning import Adam, held_out, sampled_ids
+from shopgrain.llm.learning import Adam, held_out, one_of_each_id, sampled_ids
 
 THRESHOLD = 0.7
 PIECE = 64  # characters of a run without white space that count as one word
@@ -193,7 +194,7 @@ def learn(
     marked = labels.select(
         F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")
     ).where("label in (0, 1)")
-    here = docs.select(F.col(id_column).alias("id"))
+    here = docs.select(F.col(id_column).alias("id")).where("id is not null").distinct()
     picked = sampled_ids(marked.join(here, "id", "left_semi"), shape.sample)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
@@ -212,12 +213,12 @@ def learn(
             )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    found = (
+    chosen = (
         texts.join(F.broadcast(picked), "id")  # ``sample`` ids of each label
         .select("id", "label", "text")
         .mapInArrow(cut, f"id {kind}, label int, bag binary")
-        .collect()
     )
+    found = one_of_each_id(chosen, "bag").collect()
     if not found:
         return None
     found.sort(key=lambda r: (r["id"], r["label"], bytes(r["bag"])))

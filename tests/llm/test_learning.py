@@ -182,3 +182,106 @@ def test_filters_keep_columns(spark):
     assert {r.doc_id for r in kept.collect()} == {5, 1, 3, None, 12, 13}
     assert language_id.known_language(odd, None, 0.3).count() == len(ROWS)
     assert quality.good_documents(odd, None).count() == len(ROWS)
+
+
+def test_probabilities_against_plain_loops():
+    shape = language_id.Shape(window=20, embedding=3, widths=(2, 4), filters=2)
+    network = language_id.Network(shape, ["a", "b", "c"])
+    windows = np.random.default_rng(2).integers(0, 256, (5, 20)).astype(np.uint8)
+    w = {k: v.astype(float) for k, v in network.weights.items()}
+    for window, got in zip(windows, network.probabilities(windows)):
+        pooled = []
+        for f in range(4):
+            width = shape.widths[f // 2]
+            filter_rows = w["filters"][:, f].reshape(4, 3)
+            assert not filter_rows[width:].any()
+            responses = [
+                sum(w["embedding"][window[at + k]][c] * filter_rows[k][c] for k in range(width) for c in range(3))
+                for at in range(20 - 4 + 1)
+            ]
+            pooled.append(max(responses))
+        logits = [sum(p * w["out"][f][k] for f, p in enumerate(pooled)) + w["bias"][k] for k in range(3)]
+        powers = [np.exp(x) for x in logits]
+        assert got == pytest.approx([p / sum(powers) for p in powers], abs=1e-5)
+
+
+def test_a_text_is_the_mean_of_its_windows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    shape = language_id.Shape()
+    network = language_id.learn(docs, shape, "doc_id", "text", "lang")
+    texts = [r.text for r in docs.orderBy(F.length("text").desc()).limit(5).collect()] + ["short one", "a"]
+    named, scores = language_id._predicted(network, texts)
+    for text, name, score in zip(texts, named, scores):
+        total, weight = np.zeros(len(network.languages)), 0
+        for window in language_id.windows_of(text, shape):
+            held = int((window != 0).sum())
+            total += held * network.probabilities(window[None])[0]
+            weight += held
+        assert name == network.languages[int(total.argmax())]
+        assert score == pytest.approx(total.max() / weight, abs=1e-4)
+
+
+def test_quality_scores_against_plain_loops():
+    shape = quality.Shape(buckets=6, encoded=3, attended=2, passage=4)
+    network = quality.Network(shape)
+    w = {k: v.astype(float) for k, v in network.weights.items()}
+    texts = ["Some words here, and MORE of them 12 12 12 !!! end", "one", "", "a b c d " * 9]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for text, got in zip(texts, quality._scores(network, texts)):
+        encoded, energies = [], []
+        for passage in quality.passages_of(text, shape):
+            h = [
+                np.tanh(sum(passage[f] * w["encode"][f][e] for f in range(shape.features)) + w["encode_bias"][e])
+                for e in range(3)
+            ]
+            energy = 0.0
+            for a in range(2):
+                t = np.tanh(sum(h[e] * w["tanh"][e][a] for e in range(3)))
+                g = sigmoid(sum(h[e] * w["gate"][e][a] for e in range(3)))
+                energy += t * g * w["attend"][a]
+            encoded.append(h)
+            energies.append(energy)
+        powers = [np.exp(x) for x in energies]
+        bag = [sum(p * h[e] for p, h in zip(powers, encoded)) / sum(powers) for e in range(3)]
+        decided = sum(bag[e] * w["decide"][e] for e in range(3)) + w["decide_bias"][0]
+        assert got == pytest.approx(sigmoid(decided), abs=1e-5)
+
+
+def picked(spark, rows, per_label):
+    labelled = spark.createDataFrame(rows, "id bigint, label string")
+    return [tuple(r) for r in learning.sampled_ids(labelled, per_label).collect()]
+
+
+def test_the_sample_is_the_smallest_hashes(spark):
+    rows = [(i, "ab"[i % 7 == 0]) for i in range(20_000)]
+    got = picked(spark, rows, 60)
+    hashes = {r.id: r.h for r in spark.range(20_000).select("id", F.xxhash64("id").alias("h")).collect()}
+    for label in "ab":
+        usable = [i for i, x in rows if x == label and not fold(i)]
+        assert sorted(i for i, x in got if x == label) == sorted(sorted(usable, key=hashes.get)[:60])
+
+
+def test_the_sample_is_bounded_whatever_the_rows_are(spark):
+    """An id counts once however often it comes; with two labels it counts for none; few ids are all taken."""
+    rows = [(4, "a")] * 1000 + [(8, "a"), (8, "b")] * 500 + [(i, "b") for i in range(100, 130)] + [(None, "a")] * 300
+    got = picked(spark, rows, 10)
+    assert (4, "a") in got and 8 not in {i for i, _ in got}
+    assert len([i for i, x in got if x == "a"]) == 1 and len([i for i, x in got if x == "b"]) == 10
+    assert picked(spark, [], 10) == []
+
+
+@pytest.mark.parametrize("operator", ["language", "quality"])
+def test_rows_of_one_id_reach_the_driver_once(spark, monkeypatch, operator):
+    rows = [(4, f"text number {i} of one id", "en", "a", 1) for i in range(1000)]
+    rows += [(i, f"autre texte {i}", "fr", "a", 1) for i in range(50, 60)]
+    docs = documents(spark, rows)
+    seen = {}
+    if operator == "language":
+        monkeypatch.setattr(language_id, "train", lambda windows, wanted, *_: seen.update(n=len(wanted)))
+        language_id.learn(docs, language_id.Shape(), "doc_id", "text", "lang")
+        assert seen["n"] == 1 + sum(not fold(i) for i in range(50, 60))
+    else:
+        labels = spark.createDataFrame([(4, 1)] * 1000 + [(50, 0)] * 300 + [(51, 0), (51, 1)], "doc_id bigint, quality int")
+        monkeypatch.setattr(quality, "train", lambda bags, wanted, _: seen.update(n=len(wanted)))
+        quality.learn(docs, labels, quality.Shape(), "doc_id", "text", "quality")
+        assert seen["n"] == 1 + (not fold(50))
