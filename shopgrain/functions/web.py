@@ -10,6 +10,10 @@ REFERENCE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 COMMON_NAMES = ("amp", "lt", "gt", "quot", "nbsp")  # first, because a map is searched in order
 REFERENCE_CODES = {n: name2codepoint[n] for n in COMMON_NAMES} | {"apos": 39} | name2codepoint
 SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
+OPAQUE = (
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"
+    r"|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\z)"
+)
 
 
 def decode_entities(x) -> Column:
@@ -91,27 +95,40 @@ def quote_key(x) -> Column:
     return text
 
 
+def shown_markup(html) -> Column:
+    """The page without what a reader never sees: comments, scripts and styles, also unclosed ones, from left to right."""
+    return F.regexp_replace(col(html), OPAQUE, "")
+
+
 def resolve_link(base, href) -> Column:
-    """Absolute form of ``href`` as found on the page at ``base``."""
+    """Absolute form of ``href`` as found on the page at ``base``.
+
+    A link with the page's own scheme is read like one without, a link with another one stays as it is.
+    """
     base, href = col(base), col(href)
-    origin = F.regexp_extract(base, rf"^({SCHEME}://[^/?#]*)", 1)
+    scheme = F.lower(F.regexp_extract(base, rf"^({SCHEME}):", 1))
+    own = F.lower(F.regexp_extract(href, rf"^({SCHEME}):", 1))
+    after = F.when(own == scheme, F.regexp_replace(href, rf"^{SCHEME}:", "")).otherwise(href)
+    rest = F.regexp_replace(after, r"^//(?=[/?#]|$)", "")  # without a host it is a path
+    origin = F.concat(scheme, F.regexp_extract(base, rf"^{SCHEME}(://[^/?#]*)", 1))
     base_path = F.regexp_extract(base, rf"^{SCHEME}://[^/?#]*([^?#]*)", 1)
+    base_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
     folder = F.coalesce(
         F.nullif(F.regexp_replace(base_path, r"[^/]*$", ""), F.lit("")), F.lit("/")
     )
-    path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    tail = F.regexp_extract(href, r"(?s)^[^?#]*(.*)$", 1)
+    path = F.regexp_extract(rest, r"^([^?#]*)", 1)
+    tail = F.regexp_extract(rest, r"(?s)^[^?#]*(.*)$", 1)
     below_folder = F.regexp_replace(F.concat(folder, path), "/+", "/")
     resolved = (
-        F.when(href == "", base)
-        .when(href.rlike(rf"^{SCHEME}:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, rf"^({SCHEME}:)", 1), href))
-        .when(href.startswith("?"), F.concat(F.regexp_replace(base, r"(?s)[?#].*$", ""), href))
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, r"(?s)#.*$", ""), href))
-        .when(href.startswith("/"), F.concat(origin, _without_dots(path), tail))
+        F.when(rest.startswith("//"), F.concat(scheme, F.lit(":"), rest))
+        .when(rest.rlike(r"^\?[^#]"), F.concat(origin, base_path, rest))
+        .when(path == "", F.concat(origin, base_path, base_query, F.regexp_replace(rest, r"^\?", "")))
+        .when(path.startswith("/"), F.concat(origin, _without_dots(path), tail))
         .otherwise(F.concat(origin, _without_dots(below_folder), tail))
     )
-    return F.regexp_replace(F.regexp_replace(resolved, r"^([^?#]*)\?(#|$)", "$1$2"), "#$", "")
+    ended = F.regexp_replace(F.regexp_replace(resolved, r"^([^?#]*)\?(#|$)", "$1$2"), "#$", "")
+    foreign = (own != "") & (own != scheme)
+    return F.when(href == "", base).when(foreign, href).otherwise(ended)
 
 
 def _without_dots(path: Column) -> Column:

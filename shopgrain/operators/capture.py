@@ -8,37 +8,37 @@ from shopgrain.operators.lookup import salted_join, small
 from shopgrain.operators.ordinal import with_running_totals
 from shopgrain.sources.scratch import materialise, measured
 
-FIRST_GUESS_PAGES = 16
-GUESS_GROWTH = 8
 MAX_HOPS = 1 << 60
 
 
 def first_pages(pages: DataFrame, max_pages: int) -> DataFrame:
     """The pages within the page limit; 0 means no limit. The filter reaches the scan.
 
-    The limit counts pages, whatever their numbers; rows of one number are one page.
+    The limit counts pages, whatever their numbers; rows of one number are one page. A page without a number takes no part in
+    any run, with or without limits.
     """
+    numbered = pages.where("page_no IS NOT NULL")
     if max_pages <= 0:
-        return pages
-    numbers = pages.select("page_no").where("page_no IS NOT NULL").distinct()
+        return numbered
+    numbers = numbered.select("page_no").distinct()
     last = numbers.orderBy("page_no").limit(max_pages).agg(F.max("page_no")).first()[0]
-    return pages.where(F.col("page_no") <= F.lit(last))
+    return numbered.where(F.col("page_no") <= F.lit(last))
 
 
 def capture_links(page_links: DataFrame, max_items: int = 0, max_pages: int = 0) -> DataFrame:
     """One row per link with its capture ordinal ``ord``, within both limits.
 
-    ``page_links(page_no, page_url, links)`` holds each page's links in document order. With an item
-    limit only as many leading pages are read as are needed to fill it. A page that is there several times counts
-    once, with the least of its link lists.
+    ``page_links(page_no, page_url, links)`` holds each page's links in document order. A page that is there several times
+    counts once, with the shortest of its link lists. Pages without a number take no part.
     """
     pages = first_pages(page_links, max_pages)
     if max_items > 0:
         pages = _pages_that_fill(pages, max_items)
-    pages = pages.groupBy("page_no", "page_url").agg(F.min("links").alias("links"))
+    shortest = F.min(F.struct(F.size("links").alias("n_links"), "links")).alias("least")
+    once = pages.groupBy("page_no", "page_url").agg(shortest)
     # Placing reads its input twice, so the pages are parsed into a table of their own first.
-    counted = materialise(pages.withColumn("n_links", F.size("links")), "page-links")
-    placed = with_running_totals(counted, "page_no", {"before": "n_links"})
+    counted = materialise(once.select("page_no", "page_url", "least.*"), "page-links")
+    placed = with_running_totals(counted, ["page_no", "page_url"], {"before": "n_links"})
     if max_items > 0:
         placed = placed.where(F.col("before") < max_items)
     links = placed.select(
@@ -50,25 +50,22 @@ def capture_links(page_links: DataFrame, max_items: int = 0, max_pages: int = 0)
 
 
 def _pages_that_fill(pages: DataFrame, max_items: int) -> DataFrame:
-    """The shortest tried prefix of pages that holds ``max_items`` links, or all pages."""
-    first_page, last_page = pages.agg(F.min("page_no"), F.max("page_no")).first()
-    guess = FIRST_GUESS_PAGES
-    while last_page is not None and first_page + guess <= last_page:
-        prefix = pages.where(F.col("page_no") < F.lit(first_page + guess))
-        once = prefix.groupBy("page_no", "page_url").agg(F.min(F.size("links")).alias("n"))
-        if (once.agg(F.sum("n")).first()[0] or 0) >= max_items:
-            return prefix
-        guess *= GUESS_GROWTH
-    return pages
+    """The pages up to the one that fills the limit, told by a pass that only counts links."""
+    sizes = pages.groupBy("page_no", "page_url").agg(F.min(F.size("links")).alias("n"))
+    counts = materialise(sizes.groupBy("page_no").agg(F.sum("n").alias("n")), "link-counts")
+    before = with_running_totals(counts, "page_no", {"before": "n"})
+    last = before.where(F.col("before") < max_items).agg(F.max("page_no")).first()[0]
+    return pages.where(F.col("page_no") <= F.lit(last))
 
 
 def visited_pages(page_counts: DataFrame, max_items: int = 0, max_pages: int = 0) -> DataFrame:
     """Pages that a run visits: ``visit`` number and items captured before the page.
 
-    ``page_counts(page_no, links)`` has one row per page.
+    ``page_counts(page_no, links)`` has one row per page; a page without a number is not visited.
     """
     totals = {"captured_before": "links", "visit": F.lit(1)}
-    placed = with_running_totals(page_counts, "page_no", totals).withColumn(
+    numbered = page_counts.where("page_no IS NOT NULL")
+    placed = with_running_totals(numbered, "page_no", totals).withColumn(
         "visit", F.col("visit") + 1
     )
     if max_pages > 0:

@@ -8,6 +8,7 @@ sets the ranges: pass a written table where it is costly to compute.
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from shopgrain.operators.lookup import lookup
 from shopgrain.sources.scratch import materialise
 
 INDEX_MASK = (1 << 33) - 1
@@ -33,13 +34,28 @@ def with_ordinal(
     )
 
 
+def with_place(
+    df: DataFrame, group: str, order_by: list[str], out: str, partitions: int | None = None
+) -> DataFrame:
+    """Number the rows of each group 1..n in the order of ``order_by``; a large group is spread over tasks.
+
+    Groups are numbered through with all others and each row then takes off its group's first number. ``group`` is not null.
+    """
+    numbered = materialise(with_ordinal(df, [group, *order_by], "_ord", partitions), "ordinals")
+    first = numbered.groupBy(group).agg(F.min("_ord").alias("_first"))
+    return lookup(numbered, first, [group]).select(
+        *df.columns, (F.col("_ord") - F.col("_first") + 1).alias(out)
+    )
+
+
 def with_running_totals(
-    pages: DataFrame, page_no: str, totals: dict[str, Column | str], partitions: int | None = None
+    pages: DataFrame, order_by: str | list[str], totals: dict[str, Column | str], partitions: int | None = None
 ) -> DataFrame:
-    """Add, per page, the total of each measure over the pages before it; ``page_no`` is unique."""
+    """Add, per page, the total of each measure over the pages before it; ``order_by`` is unique."""
+    order = [order_by] if isinstance(order_by, str) else order_by
     measures = {k: F.col(v) if isinstance(v, str) else v for k, v in totals.items()}
     measured = pages.withColumns({f"_m_{k}": v.cast("bigint") for k, v in measures.items()})
-    placed = _placed(measured, [page_no], partitions)
+    placed = _placed(measured, order, partitions)
     sums = placed.groupBy("_part").agg(*(F.sum(f"_m_{k}").alias(f"_s_{k}") for k in measures))
     parts, rows = Window.orderBy("_part"), Window.partitionBy("_part").orderBy("_index")
     start = sums.select("_part", *(_before(f"_s_{k}", parts, f"_b_{k}") for k in measures))

@@ -1,10 +1,12 @@
 """Sheet names and the empty-run placeholder."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shopgrain import fixed_values as V
 from shopgrain.functions.text import sheet_base_name
 from shopgrain.operators.dashboard import named_categories
+from shopgrain.operators.lookup import lookup
+from shopgrain.operators.ordinal import with_place
 from shopgrain.sources.scratch import materialise
 
 
@@ -22,7 +24,7 @@ def sheet_names(labelled: DataFrame, label: str = "category_label") -> DataFrame
     first = named.groupBy("_base").agg(F.min(label).alias("_first"))
     reserved = F.col("_base").isin(V.ALL_SHEET, V.DASHBOARD_SHEET)
     natural = materialise(
-        named.join(first, "_base").withColumn(
+        lookup(named, first, ["_base"]).withColumn(
             "_clash", reserved | (F.col(label) != F.col("_first"))
         ),
         "natural-names",
@@ -34,44 +36,49 @@ def sheet_names(labelled: DataFrame, label: str = "category_label") -> DataFrame
 def _numbered(rest: DataFrame, kept: DataFrame, label: str) -> DataFrame:
     """Made names for the categories in ``rest``, none of them among ``kept``.
 
-    Round by round of digits; what finds no number in one round goes to the next with a shorter stem.
+    Round by round of digits; what finds no number in one round goes to the next with a shorter stem. No task sees all
+    categories of a stem.
     """
     numbered = r"^(.*)_([1-9][0-9]*)$"
     taken = kept.select(
         F.regexp_extract("sheet", numbered, 1).alias("_stem"),
         F.regexp_extract("sheet", numbered, 2).try_cast("bigint").alias("_number"),
-    )
-    made, digits, low = None, 2, 2
-    while True:
+    ).where("_number is not null")
+    made, digits, low = rest.select(label, F.col("_base").alias("sheet")).where("false"), 2, 2
+    while not rest.isEmpty():
         high = 10**digits - 1
         stem = F.substring("_base", 1, V.SHEET_NAME_CHARS - 1 - digits)
-        rank = F.row_number().over(Window.partitionBy("_stem").orderBy(label))
-        held = (
-            taken.where(F.col("_number").between(low, high))
-            .groupBy("_stem")
-            .agg(F.sort_array(F.collect_set("_number")).alias("_taken"))
-        )
-        # each taken number at or below the next one pushes it on by one
-        number = F.aggregate(
-            F.coalesce("_taken", F.array().cast("array<bigint>")),
-            (F.col("_rank") + (low - 1)).cast("bigint"),
-            lambda n, t: F.when(t <= n, n + 1).otherwise(n),
-        )
-        placed = materialise(
-            rest.withColumn("_stem", stem)
-            .withColumn("_rank", rank)
-            .join(held, "_stem", "left")
-            .select(label, "_base", "_stem", number.alias("_number")),
-            "made-names",
-        )
+        wanted = rest.withColumn("_stem", stem)
+        held = taken.where(F.col("_number").between(low, high)).distinct()
+        placed = materialise(_free_numbers(wanted, held, label, low), "made-names")
         fits = placed.where(F.col("_number") <= high).select(
             label, F.concat_ws("_", "_stem", F.col("_number").cast("string")).alias("sheet")
         )
-        made = fits if made is None else made.unionByName(fits)
+        made = made.unionByName(fits)
         rest = placed.where(F.col("_number") > high).select(label, "_base")
-        if rest.isEmpty():
-            return made
         digits, low = digits + 1, 10**digits
+    return made
+
+
+def _free_numbers(wanted: DataFrame, held: DataFrame, label: str, low: int) -> DataFrame:
+    """``wanted`` with the k-th number from ``low`` on that is free in its stem, k by label.
+
+    A held number comes before the k-th free one if fewer than k numbers below it are free. Sorted together that way, the
+    numbers of a stem, held and wanted, follow each other without a gap, so a row's place among them gives its number.
+    """
+    ranked = with_place(wanted, "_stem", [label], "_at")
+    if held.isEmpty():
+        return ranked.withColumn("_number", F.col("_at") + (low - 1)).drop("_at")
+    ranked_held = with_place(held, "_stem", ["_number"], "_nth")
+    free_below = F.col("_number") - low - (F.col("_nth") - 1)
+    both = ranked.withColumn("_is_wanted", F.lit(True)).unionByName(
+        ranked_held.select("_stem", (free_below + 1).alias("_at"), F.lit(False).alias("_is_wanted")),
+        allowMissingColumns=True,
+    )
+    merged = with_place(materialise(both, "numbers"), "_stem", ["_at", "_is_wanted"], "_place")
+    return merged.where("_is_wanted").select(
+        *wanted.columns, (F.col("_place") + (low - 1)).alias("_number")
+    )
 
 
 def placeholder_if_empty(df: DataFrame) -> DataFrame:

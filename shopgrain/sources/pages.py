@@ -1,7 +1,8 @@
 """Records and links from a table of raw pages ``(page_no, url, html)``.
 
-Elements are found by fixed patterns whose group 1 is the wanted text. All columns of a page come from
-one projection, so ``html`` is read once and dropped before anything is shuffled.
+Elements are found by fixed patterns whose group 1 is the wanted text, in what a reader sees of the page: comments, scripts and
+styles are taken out first. All columns of a page come from one projection, so ``html`` is read once and dropped
+before anything is shuffled.
 """
 
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from shopgrain.functions.web import (
     first_match,
     link_targets,
     resolve_link,
+    shown_markup,
 )
 
 
@@ -51,6 +53,11 @@ def _tag_with_class(tag: str, name: str) -> str:
     return rf"<(?i:{tag})(?=\s){_attribute('class', _token(name))}[^<>]*>"
 
 
+# fixed values: elements without content, and how deep browsers nest
+VOID_ELEMENTS = "area base br col embed hr img input link meta param source track wbr".split()
+MOST_DEPTH = 512
+OPEN = "array<struct<name:string,children:int>>"
+
 ANCHOR = r"""(?i)<a(?=\s)[^<>]*?\shref\s*=\s*("[^"<>]*"|'[^'<>]*'|[^\s"'<>]+)"""
 
 
@@ -72,9 +79,9 @@ class PagePatterns:
     rating_class: str = r"<(?i:p)(?=\s)" + _attribute(
         "class", "(" + _token("star-rating").removeprefix("(?:")
     )
-    breadcrumb: str = r"(?s)" + _tag_with_class("ul", "breadcrumb") + r"(.*?)</(?i:ul)"
-    breadcrumb_item: str = r"(?i)<li(?=[\s>])"
-    category_position: int = 3
+    breadcrumb: tuple[str, str] = ("ul", "breadcrumb")
+    breadcrumb_item: str = "li"
+    category_position: int = 3  # among the children of the item's parent
     category_link: str = r"(?is)<a(?=[\s>])[^>]*>(.*?)</a"
 
 
@@ -123,9 +130,69 @@ def _main_block(html: Column, tag: str, token: str) -> Column:
     return F.when(first > 0, F.array_join(F.slice(tail, F.lit(1), kept), ""))
 
 
+def _link_in_child(block: Column, tag: str, place: int) -> Column:
+    """What follows from the first link within a ``tag`` that is child number ``place`` of its parent; null without one.
+
+    One pass over the block's tags with a stack of the open elements and the number of children each has had. An element
+    closes what is still open inside it, and an item the item before it in the same list. As in browsers, elements
+    nested deeper than ``MOST_DEPTH`` count as siblings.
+    """
+    pieces = F.split(block, r"(?=</?[A-Za-z])")
+    tags = F.transform(
+        pieces,
+        lambda piece: F.struct(
+            F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1)).alias("name"),
+            piece.startswith("</").alias("closes"),
+        ),
+    )
+    root = F.array(F.struct(F.lit("").alias("name"), F.lit(0).alias("children")))
+    none = F.lit(0).cast("bigint")
+    start = F.struct(root.alias("open"), *(none.alias(n) for n in ("at", "within", "found")))
+
+    def from_top(names: Column, name: Column | str) -> Column:
+        return F.array_position(F.reverse(names), name)
+
+    def step(state: Column, piece: Column) -> Column:
+        names, name = state["open"]["name"], piece["name"]
+        item, lists = from_top(names, F.lit(tag)), [from_top(names, F.lit(x)) for x in ("ul", "ol")]
+        in_this_list = F.lit(True)
+        for each in lists:
+            in_this_list &= (each == 0) | (item < each)
+        closed = (
+            F.when(piece["closes"], from_top(names, name))
+            .when((name == tag) & in_this_list, item)
+            .otherwise(F.lit(0))
+        )
+        kept = F.slice(state["open"], F.lit(1), (F.size(names) - closed).cast("int"))
+        opens = (name != "") & ~piece["closes"]
+        depth = F.size(kept)
+        parent = F.element_at(kept, -1)
+        counted = F.struct(parent["name"].alias("name"), (parent["children"] + 1).alias("children"))
+        own = F.struct(name.alias("name"), F.lit(0).alias("children"))
+        inner = F.when(name.isin(*VOID_ELEMENTS) | (depth >= MOST_DEPTH), F.array().cast(OPEN))
+        grown = F.concat(F.slice(kept, F.lit(1), depth - 1), F.array(counted), inner.otherwise(F.array(own)))
+        still = F.when(depth >= state["within"], state["within"]).otherwise(none)
+        begins = opens & (name == tag) & (parent["children"] + 1 == place) & (still == 0)
+        hit = opens & (name == "a") & (still > 0) & (state["found"] == 0)
+        return F.struct(
+            F.when(opens, grown).otherwise(kept).cast(OPEN).alias("open"),
+            (state["at"] + 1).alias("at"),
+            F.when(begins, (depth + 1).cast("bigint")).otherwise(still).alias("within"),
+            F.when(hit, state["at"] + 1).otherwise(state["found"]).alias("found"),
+        )
+
+    found = F.aggregate(tags, start.cast(f"struct<open:{OPEN},at:bigint,within:bigint,found:bigint>"), step)["found"]
+    return F.when(found > 0, F.array_join(F.slice(pieces, found.cast("int"), F.size(pieces)), ""))
+
+
+def _shown_pages(pages: DataFrame) -> DataFrame:
+    """The pages with their markup as a reader sees it; a projection of its own, so that it is worked out once."""
+    return pages.withColumn("html", shown_markup("html"))
+
+
 def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Product links per listing page, absolute, in document order, copies kept."""
-    cut = pages.select(
+    cut = _shown_pages(pages).select(
         "page_no",
         F.col("url").alias("page_url"),
         _elements(F.col("html"), *patterns.product).alias("products"),
@@ -141,7 +208,7 @@ def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
 def next_pages(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Chain of listing pages: ``(node, next)``, next null at the end."""
     onward = F.flatten(F.transform(_elements(F.col("html"), *patterns.next_item), _anchors))
-    raw = pages.select("url", F.get(onward, F.lit(0)).alias("raw"))
+    raw = _shown_pages(pages).select("url", F.get(onward, F.lit(0)).alias("raw"))
     hrefs = raw.select("url", decoded("raw").alias("href"))
     return hrefs.select(F.col("url").alias("node"), resolve_link("url", "href").alias("next"))
 
@@ -150,18 +217,21 @@ def page_fields(pages: DataFrame, texts: dict[str, str], attributes: dict[str, s
     """Named element texts and attributes beside the page's own columns, without ``html``."""
     found = {k: first_match("html", p) for k, p in {**texts, **attributes}.items()}
     kept = [c for c in pages.columns if c != "html"]
-    return _shown(pages.select(*kept, *(c.alias(k) for k, c in found.items())), [*texts], kept)
+    raw = _shown_pages(pages).select(*kept, *(c.alias(k) for k, c in found.items()))
+    return _shown(raw, [*texts], kept)
 
 
 def product_texts(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Raw texts of one product per detail page; a missing element gives null."""
-    crumbs = F.split(first_match("html", patterns.breadcrumb), patterns.breadcrumb_item)
-    blocks = pages.select(
+    blocks = _shown_pages(pages).select(
         "url",
         _main_block(F.col("html"), *patterns.main).alias("main"),
-        F.get(crumbs, patterns.category_position).alias("crumb"),
+        _main_block(F.col("html"), *patterns.breadcrumb).alias("breadcrumb"),
+    )
+    crumb = _link_in_child(
+        F.col("breadcrumb"), patterns.breadcrumb_item, patterns.category_position
     )
-    raw = blocks.select(
+    raw = blocks.select("url", "main", crumb.alias("crumb")).select(
         "url",
         first_match("main", patterns.title).alias("title"),
         first_match("main", patterns.price).alias("price_text"),

@@ -41,6 +41,36 @@ def test_page_numbers_with_gaps_and_pages_twice(spark, max_items, max_pages, exp
     assert [(r.ord, r.url) for r in got] == [(i + 1, f"u{n}") for i, n in enumerate((10, 20, 30))][:expected]
 
 
+@pytest.mark.parametrize("n", [10, 40, 400])
+@pytest.mark.parametrize("max_items, max_pages", [(4, 0), (0, 3), (4, 3), (0, 0), (5000, 0)])
+def test_pages_without_a_number_take_no_part_whatever_the_table_holds(spark, n, max_items, max_pages):
+    rows = [(None, "n", ["n1", "n2"])] + [(i, f"p{i}", [f"a{i}", f"b{i}"]) for i in range(1, n + 1)]
+    pages = spark.createDataFrame(rows, "page_no bigint, page_url string, links array<string>")
+    got = capture.capture_links(pages, max_items, max_pages).orderBy("ord").collect()
+    wanted = [u for i in range(1, n + 1) if not max_pages or i <= max_pages for u in (f"a{i}", f"b{i}")]
+    assert [r.url for r in got] == (wanted[:max_items] if max_items else wanted)
+    counts = pages.select("page_no", F.size("links").cast("bigint").alias("links"))
+    visited = capture.visited_pages(counts, max_items, max_pages)
+    assert visited.where("page_no is null").isEmpty()
+
+
+def test_pages_of_one_number_and_pages_without_links(spark):
+    rows = [(1, "a", ["a1"]), (1, "b", ["b1", "b2"]), (2, "c", []), (3, "d", ["d1"]), (3, "d", ["d1", "d2"])]
+    pages = spark.createDataFrame(rows, "page_no bigint, page_url string, links array<string>")
+    got = capture.capture_links(pages).orderBy("ord").collect()
+    assert [(r.ord, r.url) for r in got] == [(1, "a1"), (2, "b1"), (3, "b2"), (4, "d1")]
+    for limit in range(1, 5):
+        some = capture.capture_links(pages, limit).orderBy("ord").collect()
+        assert [(r.ord, r.url) for r in some] == [(r.ord, r.url) for r in got[:limit]]
+
+
+def test_the_item_limit_reaches_the_scan(spark, tmp_path):
+    listing(spark).write.parquet(str(tmp_path / "l"))
+    pages = capture._pages_that_fill(spark.read.parquet(str(tmp_path / "l")), 6)
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(page_no,4)" in plan
+
+
 def lines(spark, max_items, max_pages, rate=None):
     counts = listing(spark).select("page_no", F.size("links").cast("bigint").alias("links"))
     report = capture.progress_report(

@@ -1,5 +1,8 @@
 import pytest
 
+from pyspark.sql import functions as F
+
+from shopgrain.operators.ordinal import with_place
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names
 from tests.helpers import random_strings, strings_frame
 
@@ -51,6 +54,31 @@ def test_hundreds_of_one_stem_and_natural_names_among_them(spark):
     assert numbers == sorted(numbers)
 
 
+def test_many_categories_of_one_stem_are_spread(spark):
+    """200,000 categories of one stem; every step of the numbering is dealt over all tasks."""
+    n = 200_000
+    rows = spark.range(n).select(F.concat(F.lit(LONG), F.format_string("%06d", "id")).alias("x"))
+    names = sheet_names(rows, "x").cache()
+    assert names.select("sheet").distinct().count() == names.count() == n
+    last = names.where(F.col("x") == LONG + "199999").first().sheet
+    assert last == "A category name that is m_200001"[:31] or last.endswith("_200000") or last.endswith("_200001")
+    placed = with_place(rows.withColumn("g", F.lit("one")), "g", ["x"], "at", partitions=8)
+    parts = placed.groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(r["count"] for r in parts)
+    assert sizes[-1] < 2.5 * sizes[len(sizes) // 2]
+
+
+def test_places_within_groups(spark):
+    rows = strings_frame(spark, [f"{i % 7}-{i * 37 % 100:03}" for i in range(100)] * 2)
+    groups = rows.withColumn("g", F.substring("x", 1, 1))
+    got = {}
+    for r in with_place(groups, "g", ["x"], "at").collect():
+        got.setdefault(r.g, []).append((r.at, r.x))
+    for values in got.values():
+        assert [at for at, _ in sorted(values)] == list(range(1, len(values) + 1))
+        assert [x for _, x in sorted(values)] == sorted(x for _, x in values)
+
+
 def test_stems_that_become_equal_when_they_get_shorter(spark):
     stems = ["B" * 27 + "x", "B" * 27 + "y"]
     values = [stem + f"zzz{i:04}" for stem in stems for i in range(150)]

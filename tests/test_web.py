@@ -20,6 +20,8 @@ HREFS = [
     "", "x", "x/", "x/y.html?z=1#w", "./x", "../x", "../../../x", "..", ".", "../", "a/./b/../c", "/x",
     "/x/../y", "/../x", "/a//b", "?p=2", "#top", "#", "//other.example/z", "https://o.example/a/../b",
     "mailto:a@b", "x?", "a/..", "/.", "x//y",
+    "http:g", "http:", "http:/g", "http:?q", "https:g", "HTTP:g", "//", "///x", "//?q", "///", "//o.example", "HTTP://o.example/",
+    "HTTPS://O.example/x?", "?", "?#f", "#f", "/?", "g:h", "g:h?", "HTTP://o.example", "//o.example/..//x",
 ]
 
 

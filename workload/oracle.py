@@ -9,6 +9,7 @@ from workload.queries import (
     LINE_ORDER,
     PAGE_LIMIT,
     PAGE_STEP,
+    UNNUMBERED,
 )
 
 WS = (
@@ -302,8 +303,8 @@ ORACLE = {
         nullif(regexp_extract(html, '<meta charset="([^"]*)"', 1), '') AS charset FROM pages""",
     "page_links": f"WITH {NAV} SELECT page_no, pos, url FROM links",
     "page_link_order": f"WITH {NAV} SELECT * FROM ordered",
-    "page_link_limit": f"""WITH {NAV}, visits AS (
-        SELECT page_id AS page_no, row_number() OVER (ORDER BY page_id) AS visit FROM pages), runs AS (
+    "page_link_limit": f"""WITH {NAV.replace("FROM pages)", f"FROM pages WHERE page_id % 10 <> {UNNUMBERED})")}, visits AS (
+        SELECT page_no, row_number() OVER (ORDER BY page_no) AS visit FROM nav), runs AS (
         SELECT *, 'pages' AS run FROM ordered WHERE ord <= {100 * ITEM_LIMIT}
             AND page_no IN (SELECT page_no FROM visits WHERE visit <= {PAGE_LIMIT})
         UNION ALL

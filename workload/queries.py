@@ -32,6 +32,7 @@ PAGE_ATTRIBUTES = {"lang": r'<html lang="([^"]*)"', "charset": r'<meta charset="
 NAV_LINK = r'<li><a href="([^"]*)"'
 ITEM_LIMIT, PAGE_LIMIT = 100, 12
 PAGE_STEP = 10  # between page numbers, where they have gaps
+UNNUMBERED = 7  # last digit of pages without a number
 
 
 def _money(df: DataFrame, *columns: str) -> DataFrame:
@@ -184,8 +185,9 @@ def page_link_order(spark, sf_dir):
 
 
 def page_link_limit(spark, sf_dir):
-    """Two runs over page numbers with gaps: the page limit ends one, the item limit the other."""
-    links = _nav_links(spark, sf_dir).withColumn("page_no", F.col("page_no") * PAGE_STEP)
+    """Two runs over page numbers with gaps, some missing: the page limit ends one, the item limit the other."""
+    number = F.when(F.col("page_no") % 10 != UNNUMBERED, F.col("page_no") * PAGE_STEP)
+    links = _nav_links(spark, sf_dir).withColumn("page_no", number)
     paged = capture.capture_links(links, 100 * ITEM_LIMIT, PAGE_LIMIT)
     counted = capture.capture_links(links, ITEM_LIMIT, 100 * PAGE_LIMIT)
     return paged.withColumn("run", F.lit("pages")).unionByName(

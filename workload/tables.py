@@ -161,7 +161,9 @@ def shop_listing(part: DataFrame) -> DataFrame:
     pods = F.array_sort(F.collect_list(F.struct("p_partkey", pod.alias("pod"))))
     pages = part.withColumn("page_no", page_no).groupBy("page_no").agg(pods.alias("pods"))
     html = F.concat(
-        F.lit("<html><body><ol>"),
+        F.lit("<html><head><style>li.next a {}</style></head><body>"),
+        F.lit('<!-- <article class="product_pod"><h3><a href="gone">x</a></h3></article>'),
+        F.lit('<li class="next"><a href="gone.html">next</a></li> --><ol>'),
         F.array_join(F.transform("pods", lambda p: p["pod"]), "\n"),
         F.lit("</ol>"),
         F.when(
@@ -189,10 +191,12 @@ def shop_details(part: DataFrame) -> DataFrame:
         return F.coalesce(whole, F.lit(""))
 
     html = F.concat(
-        F.lit('<html><body><ul class="breadcrumb"><li><a href="/">Home</a></li>'),
+        F.lit('<html><head><script>var fake = \'<div class="product_main"><h1>Fake</h1></div>\';</script></head>'),
+        F.lit('<body><ul class="breadcrumb"><li><a href="/">Home</a><ul><li><a href="/n">New</a></ul></li>'),
         F.lit('<li><a href="/all">All &amp; more</a></li>'),
         block('<li><a href="/c">', "category", " &amp; Co</a></li>"),
         F.lit('<li class="active">x</li></ul><div class="col product_main"><div class="in"></div>'),
+        F.lit('<!-- <h1>Old</h1><p class="price_color">£1.00</p> -->'),
         block("<h1>", "title", "</h1>"),
         F.when(F.col("price_text") == "n/a", F.lit("")).otherwise(
             block('<p class="price_color">', "price_text", "</p>")
