@@ -4,11 +4,12 @@ Vectors get one more component that gives all the norm of the longest, so that t
 distance. Centroids come from a bounded sample by k-means with a penalty on full lists. They are linked to
 their nearest centroids, and a best-first search of that graph, held in every worker, finds the lists of a vector: a
 stored vector is replicated to the lists whose centroid is at most ``replica_ratio`` times as far as the nearest (so
-those near a boundary stand on both sides), a query reads the lists within ``search_ratio``. Where the nearest is nearer
+those near a boundary stand on both sides), a query reads the lists within another ratio. Where the nearest is nearer
 than a sampled vector's second nearest is in the median, as for a query on a centroid, that distance stands in for it.
-Every query reads ``read_share`` of the lists, and enough of them to find as many neighbours as it wants. A list and its
-queries meet in blocks of bounded size, where exact inner products give each query's best of the list; the bests of all
-lists are merged by query.
+The ratio for queries, and the most lists that one reads, are found on the sample: the least that cover a share of the sampled
+queries' nearest. So how many lists are read follows from the vectors: few where they have clusters, many where they have
+none. A query reads more lists only where these hold fewer rows than it wants. A list and its queries meet in blocks of bounded size, where
+exact inner products give each query's best of the list; the bests of all lists are merged by query.
 
 Of equal vectors only as many can be among a query's nearest as are asked for, plus itself, and ties go to smaller ids; so
 the index keeps the smallest ids of each distinct vector, and equal queries are searched once. Both are exact and
@@ -24,12 +25,14 @@ candidate with each of them and listed once, by the nearest. Other input columns
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shopgrain.operators.lookup import salted_join
 from shopgrain.sources.scratch import materialise
 
 BLOCK = 2048  # rows of a list, and of its queries, that meet in one task
@@ -45,10 +48,10 @@ class Settings:
     lists_per_root: float = 2.0  # lists = this times the root of the rows
     replicas: int = 3
     replica_ratio: float = 1.2
-    search_ratio: float = 1.14
-    searched_share: float = 0.5  # of the lists, the most that the graph search keeps in view
-    searched_least: int = 48
-    read_share: float = 0.2  # of the lists, the least that a query reads
+    count_covers: float = 0.97  # of the sampled queries' nearest, by the most lists that a query reads
+    ratio_covers: float = 0.98  # of those, by the ratio
+    sample_queries: int = 1024
+    searched_least: int = 48  # lists that the graph search keeps in view, at least
     links: int = 24
 
 
@@ -177,6 +180,68 @@ def _stretched(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([wide, np.zeros((len(wide), 1))]).astype(np.float32)
 
 
+class Index(NamedTuple):
+    """What is fitted on the sample: centroids, the longest norm, and how queries choose their lists."""
+
+    centroids: Centroids
+    longest: float
+    ratio: float  # to the nearest list's distance
+    usual: float  # stands in for a smaller distance
+    most: int  # lists that a query reads
+
+    def replicated(self, vectors: DataFrame, settings: Settings) -> DataFrame:
+        """id, vector, list of stored rows."""
+        lift = lambda m: _lifted(m, self.longest)
+        return _in_lists(vectors, self.centroids, lift, settings.replicas, settings.replica_ratio)
+
+    def searched(
+        self, vectors: DataFrame, settings: Settings, sizes: np.ndarray, enough: int
+    ) -> DataFrame:
+        """id, vector, list of queries; ``sizes`` are the lists' rows, of which a query wants ``enough``."""
+        stretch = lambda m: _stretched(m, self.longest)
+        width = max(settings.searched_least, self.most)
+        return _in_lists(
+            vectors, self.centroids, stretch, width, self.ratio, self.usual, self.most, sizes, enough
+        )
+
+
+def fitted_index(sample: np.ndarray, rows: int, longest: float, settings: Settings) -> Index:
+    """The index for ``rows`` vectors, of which ``sample`` holds some.
+
+    The nearest within a sample are further away than those within all rows: of a sampled query as many are looked at as the sample
+    has of the wanted ones on average, one at least.
+    """
+    lists = min(settings.max_lists, int(np.ceil(settings.lists_per_root * np.sqrt(rows))))
+    lifted = _lifted(sample, longest)
+    centroids = Centroids(balanced_centroids(lifted, lists), settings.links)
+    usual = float(np.median(centroids.search(lifted[:4096], 2)[1][:, -1]))
+    own, far = centroids.search(lifted, settings.replicas)
+    own = np.where((far <= far[:, :1] * settings.replica_ratio) & (own >= 0), own, own[:, :1])
+    wanted = max(1, min(round(settings.neighbours * len(sample) / rows), len(sample) - 1))
+    if len(sample) < 2:
+        return Index(centroids, longest, 1.0, usual, 1)
+    picked = np.random.default_rng(3).permutation(len(sample))[: settings.sample_queries]
+    ranks, ratios = [], []
+    wide = sample.astype(np.float64)
+    for at in range(0, len(picked), 128):
+        some = picked[at : at + 128]
+        queries = _stretched(sample[some], longest)
+        distance = centroids._distances(queries) + (queries**2).sum(1, keepdims=True)
+        distance = np.sqrt(np.maximum(distance, 0))
+        product = wide[some] @ wide.T
+        product[np.arange(len(some)), some] = -np.inf
+        best = np.argpartition(-product, wanted - 1, axis=1)[:, :wanted]
+        row = np.arange(len(some))[:, None, None]
+        ranks.append(distance.argsort(axis=1).argsort(axis=1)[row, own[best]].min(axis=2).ravel())
+        nearest = np.maximum(distance.min(axis=1), usual)[:, None]
+        reach = distance[row, own[best]].min(axis=2)
+        ratios.append((reach / np.maximum(nearest, 1e-30)).ravel())
+    rank, needed = np.concatenate(ranks), np.concatenate(ratios)
+    most = int(np.ceil(np.quantile(rank, settings.count_covers))) + 1
+    ratio = max(1.0, float(np.quantile(needed[rank < most], settings.ratio_covers)))
+    return Index(centroids, longest, ratio, usual, most)
+
+
 def _in_lists(
     vectors: DataFrame,
     centroids: Centroids,
@@ -184,13 +249,13 @@ def _in_lists(
     width: int,
     ratio: float,
     least: float = 0.0,
-    first: int = 1,
+    most: int | None = None,
     sizes: np.ndarray | None = None,
     enough: int = 0,
 ) -> DataFrame:
-    """id, vector, list: a row for each list within ``ratio`` of the nearest, or of the distance ``least``.
+    """id, vector, list: a row for each list within ``ratio`` of the nearest, or of the distance ``least``, ``most`` at the most.
 
-    The ``first`` lists count in any case, and, with the lists' sizes, as many as hold ``enough`` rows; where the lists in view
+    The nearest list counts in any case, and, with the lists' sizes, as many as hold ``enough`` rows; where the lists in view
     hold less, all lists count.
     """
     kind = vectors.schema["vector"].dataType.simpleString()
@@ -204,7 +269,8 @@ def _in_lists(
                 matrix = lift(flat.reshape(batch.num_rows, -1))
                 lists, far = centroids.search(matrix, width)
                 wanted = far <= np.maximum(far[:, :1], least) * ratio
-                wanted[:, :first] = True
+                wanted[:, most or wanted.shape[1] :] = False
+                wanted[:, 0] = True
                 few = np.zeros(len(lists), bool)
                 if sizes is not None:
                     held = np.where(lists >= 0, sizes[np.maximum(lists, 0)], 0).cumsum(axis=1)
@@ -262,43 +328,25 @@ def nearest(
     copy = Window.partitionBy("vector").orderBy("id")
     distinct = stored.withColumn("copy", F.row_number().over(copy)).where(F.col("copy") <= wanted).drop("copy")
     longest = float(np.sqrt(stats["square"]))
-    lists = min(settings.max_lists, int(np.ceil(settings.lists_per_root * np.sqrt(stats["rows"]))))
     # the rows with the smallest hashes: a sample of bounded size, the same on every run; few more than it has are sorted
     share = min(1.0, 1.25 * settings.sample / stats["rows"])
     place = F.pmod(F.xxhash64("id"), F.lit(HASH_PLACES))
     near = stored.where(place < F.lit(int(np.ceil(share * HASH_PLACES))))
     sample = near.orderBy(place, "id", "vector").limit(settings.sample).select("vector")
-    fitted = _lifted(_matrix(r["vector"] for r in sample.collect()), longest)
-    centroids = Centroids(balanced_centroids(fitted, lists), settings.links)
-    usual = float(np.median(centroids.search(fitted[:4096], 2)[1][:, -1]))
-    width = max(settings.searched_least, int(np.ceil(settings.searched_share * lists)))
+    index = fitted_index(_matrix(r["vector"] for r in sample.collect()), stats["rows"], longest, settings)
+    # rows are dealt out before each becomes a row per list, as AQE sees only their size before
+    partitions = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     list_rows, list_blocks = _in_blocks(
-        _in_lists(
-            distinct,
-            centroids,
-            lambda m: _lifted(m, longest),
-            settings.replicas,
-            settings.replica_ratio,
-        ),
-        "list",
+        index.replicated(distinct.repartition(partitions, "id"), settings), "list"
     )
-    sizes = np.zeros(len(centroids.points), np.int64)
+    sizes = np.zeros(len(index.centroids.points), np.int64)
     for row in list_blocks.collect():
         sizes[row["list"]] = row["list_rows"]
-    keyed = asked.groupBy("vector").agg(F.min("id").alias("id"))
+    keyed = materialise(asked.groupBy("vector").agg(F.min("id").alias("id")), "distinct-queries")
+    dealt = keyed.select("id", "vector").repartition(partitions, "id")
+    # a row is in so many lists at most
     query_rows, query_blocks = _in_blocks(
-        _in_lists(
-            keyed.select("id", "vector"),
-            centroids,
-            lambda m: _stretched(m, longest),
-            width,
-            settings.search_ratio,
-            usual,
-            int(np.ceil(settings.read_share * lists)),
-            sizes,
-            settings.replicas * wanted,  # a row is in so many lists at most
-        ),
-        "query",
+        index.searched(dealt, settings, sizes, settings.replicas * wanted), "query"
     )
     left = _spread(list_rows, query_blocks, "query")
     right = _spread(query_rows, list_blocks, "list")
@@ -338,12 +386,16 @@ def nearest(
         .applyInPandas(score, "query bigint, ids array<bigint>, scores array<double>")
     )
     merged = bests.groupBy("query").applyInPandas(merge, "query bigint, id bigint, score double")
-    members = asked.join(
-        keyed.withColumnRenamed("id", "query"), "vector"
-    ).select(F.col("id").alias("query_id"), "query")
+    # queries with one very common vector are spread, as are their results
+    members = materialise(
+        salted_join(asked, keyed.withColumnRenamed("id", "query"), ["vector"], "inner").select(
+            F.col("id").alias("query_id"), "query"
+        ),
+        "members",
+    )
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (
-        members.join(merged, "query")
+        salted_join(members, materialise(merged, "merged"), ["query"], "inner")
         .where("id <> query_id")
         .groupBy("query_id", "id")
         .agg(F.max("score").alias("score"))

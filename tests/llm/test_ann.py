@@ -132,3 +132,54 @@ def test_an_id_with_several_vectors_is_listed_once(spark):
     found = found_in(spark, rows)
     assert found[0] == [(1, 3.0), (2, 0.5)]
     assert sorted(i for i, _ in found[1]) == [0, 2]
+
+
+def clustered(n, d=32, seed=5):
+    """As many clusters as the root of the rows, or nearly."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(int(n**0.5), d))
+    return (centres[np.arange(n) % len(centres)] + 0.15 * rng.normal(size=(n, d))).astype(np.float32)
+
+
+def share_scored(vectors, every=20):
+    """Pairs of a query and a stored copy that meet in a list, of all pairs; and the recall of the lists."""
+    n = len(vectors)
+    longest = float(np.linalg.norm(vectors.astype(np.float64), axis=1).max())
+    settings = Settings()
+    sample = vectors[np.random.default_rng(1).permutation(n)[: settings.sample]]
+    index = ann.fitted_index(sample, n, longest, settings)
+    own, far = index.centroids.search(ann._lifted(vectors, longest), settings.replicas)
+    own = np.where((far <= far[:, :1] * settings.replica_ratio) & (own >= 0), own, -1)
+    sizes = np.bincount(own[own >= 0], minlength=len(index.centroids.points))
+    queries = np.arange(0, n, every)
+    pairs, hits, wanted = 0, 0, 0
+    for at in range(0, len(queries), 200):
+        some = queries[at : at + 200]
+        width = max(settings.searched_least, index.most)
+        lists, far = index.centroids.search(ann._stretched(vectors[some], longest), width)
+        read = (far <= np.maximum(far[:, :1], index.usual) * index.ratio) & (lists >= 0)
+        read[:, index.most :] = False
+        read[:, 0] = True
+        products = vectors[some].astype(np.float64) @ vectors.T
+        products[np.arange(len(some)), some] = -np.inf
+        best = np.argpartition(-products, 19, axis=1)[:, :20]
+        for i in range(len(some)):
+            mine = lists[i][read[i]]
+            pairs += sizes[mine].sum()
+            hits += np.isin(own[best[i]], mine).any(axis=1).sum()
+            wanted += 20
+    return pairs / (len(queries) * n), hits / wanted
+
+
+def test_on_clustered_vectors_few_pairs_are_scored():
+    """Lists are read by what the sample shows, not by a share of them."""
+    shares, recalls = zip(*(share_scored(clustered(n)) for n in (2000, 8000, 32_000)))
+    assert min(recalls) >= 0.9 and max(shares) < 0.1
+
+
+def test_clustered_vectors(spark):
+    vectors = clustered(3000)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    found = found_in(spark, rows, every=20)
+    truth = brute(dict(enumerate(vectors)), [i for i in range(0, 3000, 20)], 20)
+    assert recall(found, truth) >= 0.9
