@@ -18,10 +18,11 @@ from shopgrain.llm import (
     token_counts,
     url_rules,
 )
-from shopgrain.sources.scratch import scratch_path
+from shopgrain.sources.scratch import scratch_root
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+TOKEN_CACHE = "shopgrain-token-counts"  # in the shared folder, for this and later runs
 SHARDS = 16
 URL_RULES = [
     ("block", "net", "/"),
@@ -103,7 +104,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(
         table(spark, sf_dir, "documents"),
         public_tokenizers.path(VOCABULARY),
-        scratch_path(spark, "token-cache"),
+        f"{scratch_root(spark)}/{TOKEN_CACHE}",
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 

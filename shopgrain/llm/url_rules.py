@@ -17,6 +17,7 @@ no name can clash.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shopgrain.operators.lookup import lookup
 from shopgrain.sources.scratch import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,12 +56,17 @@ def rules_with_stacks(rules: DataFrame) -> DataFrame:
         F.col("verdict"),
     )
     around = keyed.select(F.col("key").alias("outer"), entry.alias("entry"))
-    prefixes = keyed.select(
+    # only prefixes as long as some rule's key can be one, so a long path has few
+    lengths = keyed.agg(F.collect_set(F.length("key"))).scalar()
+    within = F.filter(
+        "lengths",
+        lambda n: (n <= F.length("key")) & (n >= F.length("key") - F.length("path")),
+    )
+    prefixes = keyed.withColumn("lengths", lengths).select(
         "key",
         F.size(_labels(F.col("host"))).alias("labels"),
-        F.explode(F.sequence(F.lit(0), F.length("path"))).alias("cut"),
-        "path",
-    ).withColumn("outer", F.expr("left(key, length(key) - cut)"))
+        F.explode(within).alias("length"),
+    ).withColumn("outer", F.expr("left(key, length)"))
     return (
         prefixes.join(around, "outer")
         .groupBy("key", "labels")
@@ -128,7 +134,8 @@ def judge_urls(
         .groupBy("host", "path")
         .agg(F.max("fit").alias("fit"))
     )
-    return split.join(judged, ["host", "path"], "left").select(
+    # a hot address is spread over tasks, pages without one all have the same
+    return lookup(split, judged, ["host", "path"]).select(
         F.col("id").alias(id_column),
         "host",
         "path",

@@ -110,3 +110,35 @@ def test_fingerprints_and_likeness(spark):
         order_minhash.likeness(F.col("a"), F.col("a"), SKETCH.slots),
     ).first()
     assert found[0] == pytest.approx(alike("some text here", "some text there")) and found[1] == 1.0
+
+
+def likeness_with_independent_orders(one, other, k=8, picks=2, slots=256):
+    """Order MinHash as it is defined: every slot orders all numbered k-mers by a hash of its own."""
+    values = []
+    for text in (one, other):
+        seen, elements = {}, []
+        for i in range(len(text) - k + 1):
+            kmer = text[i : i + k]
+            seen[kmer] = seen.get(kmer, -1) + 1
+            elements.append(f"{kmer}#{seen[kmer]}".encode())
+        rows = []
+        for slot in range(slots):
+            key = slot.to_bytes(8, "little")
+            ranked = sorted(range(len(elements)), key=lambda i: hashlib.blake2b(elements[i], digest_size=8, key=key).digest())
+            rows.append(tuple(text[i : i + k] for i in sorted(ranked[:picks])))
+        values.append(rows)
+    return sum(a == b for a, b in zip(*values)) / slots
+
+
+@pytest.mark.parametrize("n", [60, 100, 200])
+def test_dealing_one_hash_to_slots_does_not_bias_the_likeness(n):
+    """Against independent orders for every slot, texts of all lengths."""
+    rng = random.Random(n)
+    dealt, independent = [], []
+    for _ in range(30):
+        text = sample(rng, n)
+        other = list(text)
+        other[rng.randrange(n)] = "Z"
+        dealt.append(alike(text, "".join(other)))
+        independent.append(likeness_with_independent_orders(text, "".join(other)))
+    assert np.mean(dealt) == pytest.approx(np.mean(independent), abs=0.05)

@@ -1,7 +1,10 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from shopgrain.llm import sharding
@@ -81,3 +84,27 @@ def test_a_changed_weight_moves_rows_only_on_its_path(spark):
 def test_a_tree_needs_weight(spark):
     with pytest.raises(ValueError):
         sharding.shard_of(F.lit(1), [Leaf("r", "a", 0, 0.0)])
+
+
+def descended(key, tree):
+    """The shard of a key, level by level in plain Python."""
+    node, level = "", 0
+    while level < 3:
+        weights = {}
+        for leaf in tree:
+            path = [leaf.region, f"{leaf.region}/{leaf.rack}", f"{leaf.region}/{leaf.rack}/{leaf.shard}"]
+            if leaf.weight > 0 and (not level or path[level - 1] == node):
+                weights[path[level]] = weights.get(path[level], 0) + leaf.weight
+        draws = []
+        for name, weight in weights.items():
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+            bits = xxhash.xxh64_intdigest(name.encode(), seed) >> 11
+            draws.append((-math.log((bits + 0.5) * 2.0**-53) / weight, name))
+        node, level = min(draws)[1], level + 1
+    return int(node.rsplit("/", 1)[1])
+
+
+@pytest.mark.parametrize("tree", [TREE, sharding.grown(TREE), [Leaf("r", "a", 0, 0.5), Leaf("r", "b", 1, 2.0), Leaf("s", "c", 2, 3.0)]])
+def test_a_plain_descent_finds_the_same_shard(spark, tree):
+    got = placed(spark, tree, 500)
+    assert got == {i: descended(i, tree) for i in range(500)}

@@ -3,7 +3,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from shopgrain.llm import token_counts
+from shopgrain.llm import queries, token_counts
+from shopgrain.sources.scratch import scratch_root
 from tests.llm.helpers import ROWS, documents, each_case
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -60,3 +61,13 @@ def test_many_missing_digests_are_joined_and_not_broadcast(spark, tmp_path, monk
     monkeypatch.setattr(token_counts, "FILTER_ROWS", 10)
     large = token_counts.count_tokens(docs, WORD, str(tmp_path / "b")).collect()
     assert sorted(small) == sorted(large)
+
+
+def test_the_query_meets_its_cache_again(spark):
+    """A second run joins the stored counts: it encodes nothing and appends no file."""
+    sf_dir = "/root/testdata/sf0.001"
+    first = sorted(queries.op7_token_counts(spark, sf_dir).collect())
+    cache = f"{scratch_root(spark)}/{queries.TOKEN_CACHE}"
+    files = set(spark.read.parquet(cache).inputFiles())
+    again = sorted(queries.op7_token_counts(spark, sf_dir).collect())
+    assert again == first and set(spark.read.parquet(cache).inputFiles()) == files

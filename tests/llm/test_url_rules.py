@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopgrain.llm import queries, url_rules
+from shopgrain.operators import lookup as lookups
 
 RULES = queries.URL_RULES
 
@@ -95,3 +96,29 @@ def test_the_sql_gives_the_same(spark):
     sql = queries.ORACLE["op6_url_rules"]
     problem, n = compare(spark, connect(sf_dir), sf_dir, "op6", queries.QUERIES["op6_url_rules"], sql)
     assert problem is None and n == 250
+
+
+def test_a_hot_address_is_spread(spark, monkeypatch):
+    """Without broadcasts the pages join their verdicts with a salt, and the verdicts are the same."""
+    urls = URLS + ["http://a.net/x"] * 300 + [None] * 300
+    whole = judged(spark, urls, RULES)
+    monkeypatch.setattr(lookups, "small", lambda *_, **__: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+        table = spark.createDataFrame(RULES, "verdict string, host string, path string")
+        found = url_rules.judge_urls(pages, table)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [host" in plan and "_salt" in plan.split("SortMergeJoin [host")[1].split("\n")[0]
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found.collect()} == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_rule_paths_have_few_prefixes(spark):
+    long = "/" + "x" * 20_000
+    rules = [("block", "a.net", long), ("allow", "a.net", long + "/y"), ("allow", "net", "/x")]
+    table = spark.createDataFrame(rules, "verdict string, host string, path string")
+    assert {len(r.stack) for r in url_rules.rules_with_stacks(table).collect()} == {1, 2}
+    urls = [f"http://a.net{long}", f"http://b.a.net{long}/y/z", "http://a.net/x", "http://c.net/xy"]
+    assert judged(spark, urls, rules) == {i: by_hand(u, rules) for i, u in enumerate(urls)}
