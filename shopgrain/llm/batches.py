@@ -7,8 +7,23 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 TEXT_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame, limit: int = TEXT_BYTES) -> DataFrame:
+    """``df``, whose rows reach Python in Arrow batches of about ``limit`` bytes (a longer row comes alone).
+
+    That is a setting of the session, which is lowered for good, as it is read when a plan runs: without it a task
+    holds 10,000 texts at a time, in the JVM and in Python.
+    """
+    spark = df.sparkSession
+    now = int(spark.conf.get(BATCH_SETTING).removesuffix("b"))
+    if now > limit:
+        spark.conf.set(BATCH_SETTING, f"{limit}b")
+    return df
 
 
 def text_slices(
@@ -35,10 +50,15 @@ def given_back(*clear: Callable[[], None]):
     finally:
         for each in clear:
             each()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim is not None:
-            trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Free memory that Arrow and the C library keep in reserve goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from shopgrain.llm.batches import given_back, text_slices, texts_of
+from shopgrain.llm.batches import bounded, give_back, given_back, text_slices, texts_of
 
 NO_PAIR = np.int64(1) << 60
 LONGEST_SHARED = 256  # symbols; longer words get a tree of their own
@@ -295,7 +295,9 @@ class Bpe:
 @cache
 def model(path: str) -> Bpe:
     """One model per file and worker."""
-    return Bpe(path)
+    made = Bpe(path)
+    give_back()  # what reading the file took
+    return made
 
 
 def encode_documents(
@@ -318,7 +320,7 @@ def encode_documents(
                     ["id", "ids", "decoded"],
                 )
 
-    read = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    read = bounded(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     done = read.mapInArrow(encode, f"id {kind}, ids array<int>, decoded string")
     return done.withColumnRenamed("id", id_column)
 

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import given_back, text_slices, texts_of
+from shopgrain.llm.batches import bounded, given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, one_of_each_id, sampled_ids
 
 UNKNOWN = "und"
@@ -137,25 +137,26 @@ def learn(
     docs: DataFrame, shape: Shape, id_column: str, text_column: str, lang_column: str
 ) -> Network | None:
     """A network for the languages of the rows that are not held out; None without any."""
-    usable = docs.where(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
+    usable = bounded(docs).where(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
     picked = sampled_ids(
         usable.select(F.col(id_column).alias("id"), F.col(lang_column).alias("label")), shape.sample
     )
     texts = usable.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            pieces = []
-            for text in texts_of(batch, "text"):
-                rows = windows_of(text, shape)
-                some = np.unique(
-                    np.linspace(0, len(rows) - 1, min(len(rows), shape.sample_windows)).astype(int)
+        with given_back():
+            for batch in text_slices(batches, "text"):
+                pieces = []
+                for text in texts_of(batch, "text"):
+                    rows = windows_of(text, shape)
+                    some = np.unique(
+                        np.linspace(0, len(rows) - 1, min(len(rows), shape.sample_windows)).astype(int)
+                    )
+                    pieces.append(rows[some].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("label"), pa.array(pieces, pa.binary())],
+                    ["id", "label", "bytes"],
                 )
-                pieces.append(rows[some].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array(pieces, pa.binary())],
-                ["id", "label", "bytes"],
-            )
 
     kinds = {f.name: f.dataType.simpleString() for f in picked.schema}
     chosen = (
@@ -180,19 +181,20 @@ def predict(
     kind = docs.schema[id_column].dataType.simpleString()
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text", SLICE_BYTES):
-            named, scores = _predicted(network, texts_of(batch, "text"))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("held_out"),
-                    pa.array(named, pa.string()),
-                    pa.array(scores, pa.float64()),
-                ],
-                ["id", "held_out", "lang_pred", "score"],
-            )
-
-    read = docs.select(
+        with given_back():
+            for batch in text_slices(batches, "text", SLICE_BYTES):
+                named, scores = _predicted(network, texts_of(batch, "text"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id"),
+                        batch.column("held_out"),
+                        pa.array(named, pa.string()),
+                        pa.array(scores, pa.float64()),
+                    ],
+                    ["id", "held_out", "lang_pred", "score"],
+                )
+
+    read = bounded(docs).select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         held_out(F.col(id_column)).alias("held_out"),
@@ -223,7 +225,7 @@ def known_language(
                 ]
                 yield batch.filter(pa.array(fits, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return bounded(docs).mapInArrow(keep, docs.schema)
 
 
 def _predicted(network: Network | None, texts: list[str]) -> tuple[list[str], list[float]]:

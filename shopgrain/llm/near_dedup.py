@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.llm.batches import given_back, groups, text_slices, texts_of
+from shopgrain.llm.batches import bounded, given_back, groups, text_slices, texts_of
 from shopgrain.llm.components import components
 from shopgrain.operators.lookup import lookup, salted_join
 from shopgrain.sources.scratch import materialise
@@ -165,7 +165,7 @@ def signatures(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
                     ["id", "digest", "n_shingles", "set_key", "registers"],
                 )
 
-    read = docs.select(
+    read = bounded(docs).select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         _digest(text_column).alias("digest"),

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.llm.batches import given_back, text_slices, texts_of
+from shopgrain.llm.batches import bounded, given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, one_of_each_id, sampled_ids
 
 THRESHOLD = 0.7
@@ -196,21 +196,22 @@ def learn(
     ).where("label in (0, 1)")
     here = docs.select(F.col(id_column).alias("id")).where("id is not null").distinct()
     picked = sampled_ids(marked.join(here, "id", "left_semi"), shape.sample)
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    texts = bounded(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
-            bags = []
-            for text in texts_of(batch, "text"):
-                rows = passages_of(text, shape)
-                some = np.unique(
-                    np.linspace(0, len(rows) - 1, min(len(rows), shape.sample_passages)).astype(int)
+        with given_back(_FORMS.clear):
+            for batch in text_slices(batches, "text"):
+                bags = []
+                for text in texts_of(batch, "text"):
+                    rows = passages_of(text, shape)
+                    some = np.unique(
+                        np.linspace(0, len(rows) - 1, min(len(rows), shape.sample_passages)).astype(int)
+                    )
+                    bags.append(rows[some].astype(np.float16).tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id"), batch.column("label"), pa.array(bags, pa.binary())],
+                    ["id", "label", "bag"],
                 )
-                bags.append(rows[some].astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), pa.array(bags, pa.binary())],
-                ["id", "label", "bag"],
-            )
 
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = (
@@ -243,7 +244,7 @@ def score(
                     ["id", "held_out", "score"],
                 )
 
-    read = docs.select(
+    read = bounded(docs).select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         held_out(F.col(id_column)).alias("held_out"),
@@ -269,7 +270,7 @@ def good_documents(
                 fits = _scores(network, texts_of(batch, text_column)) >= least
                 yield batch.filter(pa.array(fits))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return bounded(docs).mapInArrow(keep, docs.schema)
 
 
 def _scores(network: Network | None, texts: list[str]) -> np.ndarray:
