@@ -10,6 +10,13 @@ REFERENCE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 COMMON_NAMES = ("amp", "lt", "gt", "quot", "nbsp")  # first, because a map is searched in order
 REFERENCE_CODES = {n: name2codepoint[n] for n in COMMON_NAMES} | {"apos": 39} | name2codepoint
 SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
+CHARSET = r"""(?i)<meta[^>]*?[\s"';]charset\s*=\s*["']?\s*([^\s"'/>;]+)"""
+# fixed values: the names of the western sets, and what windows-1252 has in place of control characters
+WESTERN = "iso-8859-1 iso8859-1 latin1 l1 windows-1252 cp1252 us-ascii ascii".split()
+WINDOWS_1252 = (
+    "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f",
+    "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ",
+)
 OPAQUE = (
     r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))"
     r"|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\z)"
@@ -95,6 +102,25 @@ def quote_key(x) -> Column:
     return text
 
 
+def declared_charset(content) -> Column:
+    """The character set that a page's bytes name in their first 1024, in lower case; empty without one."""
+    head = F.decode(F.substring(col(content), 1, 1024), "ISO-8859-1")
+    return F.lower(F.regexp_extract(head, CHARSET, 1))
+
+
+def page_text(content) -> Column:
+    """A page's bytes as text: by a byte order mark, else by the declared character set, else UTF-8.
+
+    Western single-byte sets are read as browsers do, as windows-1252. What is no UTF-8 becomes replacement characters, so no page
+    fails.
+    """
+    raw = col(content)
+    marked = F.substring(raw, 1, 3) == F.lit(b"\xef\xbb\xbf")
+    utf8 = F.make_valid_utf8(F.when(marked, F.substring(raw, 4, 1 << 30)).otherwise(raw).cast("string"))
+    western = F.translate(F.decode(raw, "ISO-8859-1"), *WINDOWS_1252)
+    return F.when(~marked & declared_charset(raw).isin(*WESTERN), western).otherwise(utf8)
+
+
 def shown_markup(html) -> Column:
     """The page without what a reader never sees: comments, scripts and styles, also unclosed ones, from left to right."""
     return F.regexp_replace(col(html), OPAQUE, "")

@@ -9,6 +9,7 @@ from shopgrain import fixed_values as V
 from shopgrain import schema as S
 from shopgrain.operators.dashboard import dashboard, in_report_order
 from shopgrain.operators.lookup import lookup
+from shopgrain.operators.ordinal import with_place
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names
 from shopgrain.sources.scratch import materialise
 
@@ -29,18 +30,15 @@ def export(
 ) -> Export:
     """Write a run below ``out_dir/<name>_<stamp>``.
 
-    The items are written first; the dashboard and the category sheets are made from what was
-    written, so the items are computed once however costly they are. Repeating a run replaces it.
+    The items are computed once however costly they are; everything is made from that table. The sheet of all items and every
+    category's sheet keep capture order: rows in a file are in order, and so are a sheet's files by their names. Repeating
+    a run replaces it.
     """
     spark = items.sparkSession
     root = f"{out_dir.rstrip('/')}/{name}_{run_ts:%Y%m%d_%H%M%S}"
     items_path, dash_path = f"{root}/{V.ALL_SHEET}", f"{root}/{V.DASHBOARD_SHEET}"
-    if fmt == "parquet":
-        _write(items, items_path, fmt)
-        written = _read(spark, items_path, items.schema, fmt)
-    else:
-        written = materialise(items, "items")
-        _write(written, items_path, fmt)
+    written = materialise(items, "items")
+    _write(_in_files(written, "ord"), items_path, fmt)
     if written.isEmpty():
         path = f"{root}/{V.MESSAGE_SHEET}"
         _write(placeholder_if_empty(written).coalesce(1), path, fmt)
@@ -51,12 +49,28 @@ def export(
     labels = dash.select(F.col("category").alias("category_label"))
     names = materialise(sheet_names(labels), "sheet-names")
     sheets_path = f"{root}/sheets"
-    # AQE splits a hot sheet over many tasks and merges small ones into few files.
-    by_sheet = lookup(written, names, ["category_label"], "inner").hint("rebalance", "sheet")
-    _write(by_sheet, sheets_path, fmt, "sheet")
+    by_sheet = lookup(written, names, ["category_label"], "inner")
+    _write(_in_files(by_sheet, "sheet", "ord"), sheets_path, fmt, "sheet")
     return Export(root, items_path, dash_path, sheets_path)
 
 
+def _in_files(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` in ranges of ``order``, one after the other in the numbers that files get.
+
+    Ranges hold about as many rows each, so a hot sheet is written by many tasks; AQE merges small neighbours.
+    """
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def rows_as_written(
+    spark: SparkSession, exported: Export, items_schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows of all category sheets with ``row``, their place in the sheet's files by name."""
+    sheets = read_sheets(spark, exported, items_schema, fmt)
+    at = sheets.select("*", "_metadata.file_name", F.col("_metadata.row_index").alias("file_row"))
+    return with_place(at, "sheet", ["file_name", "file_row"], "row").drop("file_name", "file_row")
+
+
 def read_sheets(
     spark: SparkSession, exported: Export, items_schema: T.StructType, fmt: str = "parquet"
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from shopgrain.operators.keyed import conform, first_wins, held_keys, upsert, us
 from shopgrain.operators.lookup import lookup
 from shopgrain.operators.ordinal import with_ordinal
 from shopgrain.operators.sheets import sheet_names
-from shopgrain.plans.tables import KeyedTable, PartedTable, StoredTable
+from shopgrain.plans.tables import BUCKETS, PARTS, KeyedTable, PartedTable, StoredTable
 from shopgrain.sources.scratch import materialise
 
 REPORT = T.StructType(
@@ -37,26 +37,32 @@ RUN = T.StructType([VERSION, T.StructField("run_id", T.StringType())])
 
 @dataclass(frozen=True)
 class Catalog:
-    """The stored tables below one path, and how their names are formed."""
+    """The stored tables below one path, and how their names are formed.
+
+    ``buckets`` of the items and ``parts`` of the dashboard stay as they were when the tables were first written; choose them
+    for the size that the tables will have.
+    """
 
     spark: SparkSession
     path: str
     namespace: str = "catalog"
     table_prefix: str = "items_"
+    buckets: int = BUCKETS
+    parts: int = PARTS
 
     @cached_property
     def items(self) -> KeyedTable:
         """All item tables in one, told apart by ``table_name``."""
         schema = T.StructType([*S.STORED_ITEM.fields, VERSION])
         return KeyedTable(
-            self.spark, f"{self.path}/items", schema, ("table_name", "url"), probed=("url",)
+            self.spark, f"{self.path}/items", schema, ("table_name", "url"), ("url",), self.buckets
         )
 
     @cached_property
     def dashboard(self) -> PartedTable:
         """Per category the row of the last run that had it, and the one before."""
         schema = T.StructType([*S.STORED_DASHBOARD.fields, VERSION])
-        return PartedTable(self.spark, f"{self.path}/dashboard", schema, "category")
+        return PartedTable(self.spark, f"{self.path}/dashboard", schema, "category", self.parts)
 
     @cached_property
     def runs(self) -> StoredTable:

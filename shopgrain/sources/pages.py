@@ -7,7 +7,7 @@ before anything is shuffled.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shopgrain.functions.parse import (
     low_stock,
@@ -22,6 +22,7 @@ from shopgrain.functions.web import (
     decoded,
     first_match,
     link_targets,
+    page_text,
     resolve_link,
     shown_markup,
 )
@@ -190,6 +191,16 @@ def _shown_pages(pages: DataFrame) -> DataFrame:
     return pages.withColumn("html", shown_markup("html"))
 
 
+def pages_from_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """``file`` (its path), ``html`` and the columns of partition folders of all pages stored below a path.
+
+    A file is one page as a crawler left it, in the character set it declares.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    folders = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    return files.select(F.col("path").alias("file"), page_text("content").alias("html"), *folders)
+
+
 def page_links(pages: DataFrame, patterns: PagePatterns = SHOP) -> DataFrame:
     """Product links per listing page, absolute, in document order, copies kept."""
     cut = _shown_pages(pages).select(

@@ -1,6 +1,7 @@
 """Incremental runs over a file source."""
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +12,14 @@ from shopgrain.plans.sync import Catalog, sync
 from shopgrain.plans.tables import KeyedTable
 from shopgrain.sources.scratch import materialise
 
+STATE_STORE = "spark.sql.streaming.stateStore"
+ROCKSDB_STATE = {
+    f"{STATE_STORE}.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    f"{STATE_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None
@@ -65,10 +74,43 @@ def append_new_keys(
 
 
 def first_seen_keys(stream: DataFrame, key: list[str]) -> DataFrame:
-    """Each key once, when it first appears. State grows with the number of keys."""
+    """Each key once, when it first appears. State grows with the number of keys, see ``write_first_seen``."""
     return stream.select(*key).dropDuplicates(key)
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]):
+    """The session's settings while a query starts; a query keeps those it started with."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def write_first_seen(
+    stream: DataFrame, key: list[str], path: str, checkpoint: str, fmt: str = "parquet"
+) -> StreamingQuery:
+    """Write each key once, when it first appears, whatever the number of keys.
+
+    The keys seen are kept in RocksDB on the executors' disks, so memory does not grow with them, and a batch adds what it
+    changes to the checkpoint, not the whole state.
+    """
+    with _settings(stream.sparkSession, ROCKSDB_STATE):
+        writer = first_seen_keys(stream, key).writeStream.format(fmt)
+        return (
+            writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        )
+
+
+def keys_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys that a checkpoint of ``write_first_seen`` holds."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*")
+
+
 def sync_batches(
     stream: DataFrame,
     to_items: Callable[[DataFrame], DataFrame],

@@ -4,7 +4,7 @@ import pytest
 
 from shopgrain import schema as S
 from shopgrain.operators.keyed import conform
-from shopgrain.plans.publish import export, read_sheets, sheet_report
+from shopgrain.plans.publish import export, read_sheets, rows_as_written, sheet_report
 from shopgrain.plans.run import publish_run
 from shopgrain.plans.sync import Catalog, sync
 from tests.helpers import sorted_rows
@@ -82,6 +82,34 @@ def test_export(spark, tmp_path, fmt):
     assert (tmp_path / "shop_20240201_123045" / "sheets" / "sheet=arte").is_dir()
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_sheets_keep_capture_order(spark, tmp_path, fmt):
+    """Rows of every sheet, read file by file in the order of names, are in capture order; a hot sheet has several files."""
+    rows = spark.range(5000).selectExpr(
+        "concat('u', id) AS url", "(id * 7919) % 5000 + 1 AS ord", "'t' AS title",
+        "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('c', id % 9) END AS category_label",
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        exported = export(conform(rows, S.ITEM).repartition(7), str(tmp_path), TS, fmt=fmt)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    reader = spark.read.schema(S.ITEM).options(header=True)
+    sheets = sorted((tmp_path / exported.sheets).glob("sheet=*")) + [tmp_path / exported.items]
+    files = {}
+    for sheet in sheets:
+        files[sheet.name] = sorted(sheet.glob(f"*.{fmt}"))
+        found = [r.ord for f in files[sheet.name] for r in reader.format(fmt).load(str(f)).coalesce(1).collect()]
+        assert found == sorted(found) and len(found) == len(set(found)) > 0
+    assert len(files["sheet=hot"]) > 3 and len(files) == 5
+    if fmt == "parquet":
+        placed = rows_as_written(spark, exported, S.ITEM).collect()
+        for sheet in {r.sheet for r in placed}:
+            mine = sorted((r.row, r.ord) for r in placed if r.sheet == sheet)
+            assert [row for row, _ in mine] == list(range(1, len(mine) + 1))
+            assert [o for _, o in mine] == sorted(o for _, o in mine)
+
+
 def test_empty_run_exports_the_message_and_syncs_nothing(spark, tmp_path):
     catalog = Catalog(spark, str(tmp_path / "catalog"))
     exported, synced = publish_run(items(spark, []), str(tmp_path / "out"), TS, catalog)

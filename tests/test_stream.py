@@ -7,7 +7,15 @@ from shopgrain import schema as S
 from shopgrain.operators.keyed import first_wins
 from shopgrain.plans.sync import Catalog
 from shopgrain.plans.tables import KeyedTable
-from shopgrain.streaming.ingest import append_new_keys, file_stream, first_seen_keys, sync_batches
+from shopgrain.streaming.ingest import (
+    STATE_STORE,
+    append_new_keys,
+    file_stream,
+    first_seen_keys,
+    keys_in_state,
+    sync_batches,
+    write_first_seen,
+)
 from tests.conftest import SF_DIR
 from tests.helpers import sorted_rows
 from tests.samples import FIRST, SECOND, items
@@ -89,6 +97,22 @@ def test_first_seen_keys_in_small_batches(spark, tmp_path, events):
     assert got.count() == got.distinct().count() == events.select("user_id").distinct().count()
 
 
+def test_the_state_holds_the_keys_seen(spark, tmp_path, events):
+    """Over two runs: the second adds to the state of the first and writes only what is new."""
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "c")
+    cut = F.lit("2024-01-10").cast("timestamp_ntz")
+    key = ["user_id", "event_type"]
+    provider = spark.conf.get(f"{STATE_STORE}.providerClass")
+    for part in (events.where(F.col("ts") < cut), events):
+        arrive(part, source)
+        write_first_seen(file_stream(spark, str(source), events.schema), key, out, check).awaitTermination()
+    assert spark.conf.get(f"{STATE_STORE}.providerClass") == provider  # the session's settings are as before
+    assert (tmp_path / "c" / "state").is_dir() and list((tmp_path / "c" / "state").rglob("*.changelog"))
+    wanted = sorted_rows(events.select(*key).distinct())
+    assert sorted_rows(keys_in_state(spark, check).select(*key)) == wanted
+    assert sorted_rows(spark.read.parquet(out).select(*key)) == wanted
+
+
 def test_dashboard_covers_the_current_batch(spark, tmp_path):
     source, catalog = tmp_path / "in", Catalog(spark, str(tmp_path / "catalog"))
     for rows in (FIRST, SECOND):

@@ -1,12 +1,14 @@
 import html
 from urllib.parse import quote, urljoin
 
+import pytest
 from pyspark.sql import functions as F
 from shopgrain.functions import web
 from shopgrain.sources.pages import (
     next_pages,
     page_fields,
     page_links,
+    pages_from_files,
     product_records,
     product_texts,
 )
@@ -122,3 +124,39 @@ def test_long_pages_are_searched_whole(spark):
         F.concat(F.lit(filler), F.lit(DETAIL), F.lit(filler)).alias("html"),
     )
     assert product_texts(df).first().title == "A Title"
+
+
+WESTERN = "caf\xe9 \u20ac5 \u2018q\u2019 \u0160"
+
+
+@pytest.mark.parametrize(
+    "content, text",
+    [
+        ('<meta charset="utf-8">é日'.encode(), '<meta charset="utf-8">é日'),
+        ("é日".encode(), "é日"),  # nothing declared
+        ('<META CHARSET=ISO-8859-1>'.encode() + WESTERN.encode("cp1252"), "<META CHARSET=ISO-8859-1>" + WESTERN),
+        (b"<meta charset='windows-1252'/>\xe9\x80", "<meta charset='windows-1252'/>é€"),
+        (b'<meta http-equiv="Content-Type" content="text/html; charset=latin1">\xe9',
+         '<meta http-equiv="Content-Type" content="text/html; charset=latin1">é'),
+        (b'\xef\xbb\xbf<meta charset="latin1">' + "é".encode(), '<meta charset="latin1">é'),  # the mark wins
+        (b'<meta charset="utf-8">a\xe9b', '<meta charset="utf-8">a\ufffdb'),
+        (b"<p charset=latin1>" + "é".encode(), "<p charset=latin1>é"),
+        (b'<meta name="x" data-charset="latin1">' + "é".encode(), '<meta name="x" data-charset="latin1">é'),
+        (b" " * 1100 + b"<meta charset=latin1>" + "é".encode(), " " * 1100 + "<meta charset=latin1>é"),
+        (b'<meta charset="klingon">' + "é".encode(), '<meta charset="klingon">é'),
+        (b"", ""),
+        (None, None),
+    ],
+)
+def test_pages_are_read_in_the_set_they_declare(spark, content, text):
+    row = spark.createDataFrame([(content,)], "content binary").select(web.page_text("content").alias("t")).first()
+    assert row.t == text
+
+
+def test_pages_from_files(spark, tmp_path):
+    for name, content in {"a/x=1/p.html": "é".encode(), "a/x=2/q.html": b"<meta charset=latin1>\xe9", "a/x=2/r.txt": b"no"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    found = pages_from_files(spark, str(tmp_path / "a"), "*.html")
+    rows = {r.file.rsplit("/", 1)[1]: (r.html, r.x) for r in found.collect()}
+    assert rows == {"p.html": ("é", 1), "q.html": ("<meta charset=latin1>é", 2)}

@@ -404,6 +404,13 @@ ORACLE = {
 }
 
 ORACLE["stream_offers"] = ORACLE["stored_items"]
+ORACLE["stream_state"] = ORACLE["stream_first_seen"]
+ORACLE["stored_pages"] = rf"""SELECT * REPLACE (CASE WHEN charset = 'utf-8' AND page_id % 2 = 0
+        AND page_id NOT IN (SELECT page_id FROM pages WHERE regexp_matches(html, '[^\x00-\x7f\xa0-\xff]'))
+        THEN 'iso-8859-1' ELSE charset END AS charset) FROM ({ORACLE["page_fields"]})"""
+ORACLE["sheet_rows"] = f"""WITH {ITEMS}, {sheets("items", "category_label")}
+    SELECT sheet, row_number() OVER (PARTITION BY sheet ORDER BY ord) AS row, ord, url
+    FROM items JOIN named ON category_label = label"""
 ORACLE["stream_new_checkpoint"] = ORACLE["stream_ingest"]
 
 SHEET_CATEGORIES = """cats AS (

@@ -12,14 +12,25 @@ from shopgrain.operators.lookup import lookup, salted_join
 from shopgrain.operators.ordinal import with_ordinal
 from shopgrain.operators.sheets import placeholder_if_empty, sheet_names as names_of_sheets
 from shopgrain.plans.items import items_from_offers, items_from_pages
-from shopgrain.plans.publish import export, sheet_report
+from shopgrain.plans.publish import export, rows_as_written, sheet_report
 from shopgrain.plans.run import publish_run
 from shopgrain.plans.sync import Catalog, instant, sync
 from shopgrain.plans.tables import KeyedTable
-from shopgrain.sources.pages import clean_texts, page_fields as fields_of, product_records
+from shopgrain.sources.pages import (
+    clean_texts,
+    page_fields as fields_of,
+    pages_from_files,
+    product_records,
+)
 from shopgrain.sources.payloads import rates_from_payloads, translations_from_payloads
 from shopgrain.sources.scratch import materialise, scratch_path
-from shopgrain.streaming.ingest import append_new_keys, file_stream, first_seen_keys, sync_batches
+from shopgrain.streaming.ingest import (
+    append_new_keys,
+    file_stream,
+    keys_in_state,
+    sync_batches,
+    write_first_seen,
+)
 from workload import tables as W
 
 PAGE_TEXTS = {
@@ -167,6 +178,15 @@ def page_fields(spark, sf_dir):
     )
 
 
+def stored_pages(spark, sf_dir):
+    """The pages as files, some of them in a western character set, read back: the fields of ``page_fields``."""
+    pages = W.table(spark, sf_dir, "pages")
+    source = scratch_path(spark, "page-files")
+    W.page_bytes(pages).write.partitionBy("page_id").text(source)
+    read = pages_from_files(spark, source).drop("file")
+    return fields_of(read, PAGE_TEXTS, PAGE_ATTRIBUTES)
+
+
 def _nav_links(spark, sf_dir) -> DataFrame:
     hrefs = web.all_attributes("html", NAV_LINK)
     return W.table(spark, sf_dir, "pages").select(
@@ -388,6 +408,13 @@ def category_fanout(spark, sf_dir):
     return sheet_report(spark, exported, items.schema).withColumn("run", F.lit(stamp))
 
 
+def sheet_rows(spark, sf_dir):
+    """The rows of each category's sheet in the order of its files."""
+    items = _part_items(spark, sf_dir)
+    exported = export(items, scratch_path(spark, "export"), W.RUN_TS)
+    return rows_as_written(spark, exported, items.schema).select("sheet", "row", "ord", "url")
+
+
 def sync_router(spark, sf_dir):
     """Two runs over the same offers: the second adds nothing."""
     items = materialise(_part_items(spark, sf_dir, W.offers_with_copies), "items")
@@ -488,12 +515,21 @@ def stream_new_checkpoint(spark, sf_dir):
 
 
 def stream_first_seen(spark, sf_dir):
-    out = scratch_path(spark, "seen")
-    keys = first_seen_keys(_event_stream(spark, sf_dir), EVENT_KEY)
-    keys.writeStream.option("checkpointLocation", scratch_path(spark, "stream")).trigger(
-        availableNow=True
-    ).start(out, format="parquet").awaitTermination()
-    return spark.read.schema(keys.schema).parquet(out)
+    out, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "stream")
+    events = _event_stream(spark, sf_dir)
+    write_first_seen(events, EVENT_KEY, out, checkpoint).awaitTermination()
+    return spark.read.schema(events.select(*EVENT_KEY).schema).parquet(out)
+
+
+def stream_state(spark, sf_dir):
+    """The keys that the state of two incremental runs holds."""
+    events = W.table(spark, sf_dir, "events")
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("arrived", "seen", "stream"))
+    for cut in (W.before_cut, W.after_cut):
+        cut(events).write.mode("append").parquet(source)
+        stream = file_stream(spark, source, events.schema)
+        write_first_seen(stream, EVENT_KEY, out, checkpoint).awaitTermination()
+    return keys_in_state(spark, checkpoint)
 
 
 def stream_dashboard(spark, sf_dir):
@@ -524,6 +560,7 @@ QUERIES = {
         format_prices,
         capture_report,
         page_fields,
+        stored_pages,
         page_links,
         page_link_order,
         page_link_limit,
@@ -543,6 +580,7 @@ QUERIES = {
         upsert_dashboard,
         evolve_union,
         category_fanout,
+        sheet_rows,
         sync_router,
         stored_items,
         whole_run,
@@ -551,6 +589,7 @@ QUERIES = {
         stream_ingest,
         stream_new_checkpoint,
         stream_first_seen,
+        stream_state,
         stream_dashboard,
     )
 }
