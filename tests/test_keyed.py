@@ -47,7 +47,7 @@ def test_append_keeps_what_is_there(spark):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_held_keys_cover_the_batch(spark, monkeypatch, small):
-    monkeypatch.setattr(keyed, "fits_broadcast", lambda df: small)
+    monkeypatch.setattr(keyed, "small", lambda size: small)
     target = frame(spark, [(f"t{i}", i, "") for i in range(50)])
     batch = frame(spark, [("t3", 1, ""), ("n", 2, "")])
     held = keyed.held_keys(batch, target, ["url"])
