@@ -214,8 +214,11 @@ def fitted_index(sample: np.ndarray, rows: int, longest: float, settings: Settin
     lists = min(settings.max_lists, int(np.ceil(settings.lists_per_root * np.sqrt(rows))))
     lifted = _lifted(sample, longest)
     centroids = Centroids(balanced_centroids(lifted, lists), settings.links)
-    usual = float(np.median(centroids.search(lifted[:4096], 2)[1][:, -1]))
-    own, far = centroids.search(lifted, settings.replicas)
+    second = [centroids.search(lifted[at : at + 512], 2)[1][:, -1] for at in range(0, min(len(lifted), 4096), 512)]
+    usual = float(np.median(np.concatenate(second)))
+    # in slices, as a search gathers the centroids that it looks at for every row
+    slices = [centroids.search(lifted[at : at + 512], settings.replicas) for at in range(0, len(lifted), 512)]
+    own, far = (np.concatenate(x) for x in zip(*slices))
     own = np.where((far <= far[:, :1] * settings.replica_ratio) & (own >= 0), own, own[:, :1])
     wanted = max(1, min(round(settings.neighbours * len(sample) / rows), len(sample) - 1))
     if len(sample) < 2:
