@@ -5,6 +5,7 @@ styles are taken out first. All columns of a page come from one projection, so `
 before anything is shuffled.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -89,6 +90,11 @@ class PagePatterns:
 SHOP = PagePatterns()
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` looks at it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _elements(html: Column, tag: str, token: str | None = None) -> Column:
     """Inner texts of a page's elements, up to their close or the next element of the same name.
 
@@ -114,10 +120,7 @@ def _main_block(html: Column, tag: str, token: str) -> Column:
     The page is cut before each begin and end of such elements; from the wanted one on, depth is
     counted until it is back at none.
     """
-    pieces = F.split(html, rf"(?i)(?=<{tag}[\s/>]|</{tag}[\s>])")
     wanted = rf"(?s)^{_tag_with_class(tag, token)}"
-    first = F.array_position(F.transform(pieces, lambda piece: piece.rlike(wanted)), True)
-    tail = F.slice(pieces, F.greatest(first, F.lit(1)).cast("int"), F.size(pieces))
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("kept"), F.lit(False).alias("closed"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -127,8 +130,17 @@ def _main_block(html: Column, tag: str, token: str) -> Column:
         kept = state["kept"] + F.when(closed, 0).otherwise(1)
         return F.struct(depth.alias("depth"), kept.alias("kept"), closed.alias("closed"))
 
-    kept = F.aggregate(tail, start, step)["kept"]
-    return F.when(first > 0, F.array_join(F.slice(tail, F.lit(1), kept), ""))
+    def up_to_close(tail: Column) -> Column:
+        return F.array_join(F.slice(tail, F.lit(1), F.aggregate(tail, start, step)["kept"]), "")
+
+    def from_first(pieces: Column) -> Column:
+        first = F.array_position(F.transform(pieces, lambda piece: piece.rlike(wanted)), True)
+        return _once(
+            first.cast("int"),
+            lambda at: F.when(at > 0, _once(F.slice(pieces, at, F.size(pieces)), up_to_close)),
+        )
+
+    return _once(F.split(html, rf"(?i)(?=<{tag}[\s/>]|</{tag}[\s>])"), from_first)
 
 
 def _link_in_child(block: Column, tag: str, place: int) -> Column:
@@ -138,33 +150,30 @@ def _link_in_child(block: Column, tag: str, place: int) -> Column:
     closes what is still open inside it, and an item the item before it in the same list. As in browsers, elements
     nested deeper than ``MOST_DEPTH`` count as siblings.
     """
-    pieces = F.split(block, r"(?=</?[A-Za-z])")
-    tags = F.transform(
-        pieces,
-        lambda piece: F.struct(
-            F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1)).alias("name"),
-            piece.startswith("</").alias("closes"),
-        ),
-    )
     root = F.array(F.struct(F.lit("").alias("name"), F.lit(0).alias("children")))
     none = F.lit(0).cast("bigint")
     start = F.struct(root.alias("open"), *(none.alias(n) for n in ("at", "within", "found")))
 
-    def from_top(names: Column, name: Column | str) -> Column:
-        return F.array_position(F.reverse(names), name)
+    def tag_of(piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][^\s/>]*)", 1))
+        return F.struct(name.alias("name"), piece.startswith("</").alias("closes"))
 
-    def step(state: Column, piece: Column) -> Column:
-        names, name = state["open"]["name"], piece["name"]
-        item, lists = from_top(names, F.lit(tag)), [from_top(names, F.lit(x)) for x in ("ul", "ol")]
+    def closed_by(piece: Column, from_top: Column) -> Column:
+        """How many open elements a tag closes, of their names from the innermost outwards."""
+        name = piece["name"]
+        item = F.array_position(from_top, tag)
+        lists = [F.array_position(from_top, x) for x in ("ul", "ol")]
         in_this_list = F.lit(True)
         for each in lists:
             in_this_list &= (each == 0) | (item < each)
-        closed = (
-            F.when(piece["closes"], from_top(names, name))
+        return (
+            F.when(piece["closes"], F.array_position(from_top, name))
             .when((name == tag) & in_this_list, item)
             .otherwise(F.lit(0))
         )
-        kept = F.slice(state["open"], F.lit(1), (F.size(names) - closed).cast("int"))
+
+    def after(state: Column, piece: Column, kept: Column) -> Column:
+        name = piece["name"]
         opens = (name != "") & ~piece["closes"]
         depth = F.size(kept)
         parent = F.element_at(kept, -1)
@@ -182,8 +191,20 @@ def _link_in_child(block: Column, tag: str, place: int) -> Column:
             F.when(hit, state["at"] + 1).otherwise(state["found"]).alias("found"),
         )
 
-    found = F.aggregate(tags, start.cast(f"struct<open:{OPEN},at:bigint,within:bigint,found:bigint>"), step)["found"]
-    return F.when(found > 0, F.array_join(F.slice(pieces, found.cast("int"), F.size(pieces)), ""))
+    def step(state: Column, piece: Column) -> Column:
+        closed = _once(F.reverse(state["open"]["name"]), lambda from_top: closed_by(piece, from_top))
+        kept = F.slice(state["open"], F.lit(1), (F.size(state["open"]) - closed).cast("int"))
+        return _once(kept, lambda kept: after(state, piece, kept))
+
+    def link(pieces: Column) -> Column:
+        zero = start.cast(f"struct<open:{OPEN},at:bigint,within:bigint,found:bigint>")
+        found = F.aggregate(F.transform(pieces, tag_of), zero, step)["found"]
+        return _once(
+            found.cast("int"),
+            lambda at: F.when(at > 0, F.array_join(F.slice(pieces, at, F.size(pieces)), "")),
+        )
+
+    return _once(F.split(block, r"(?=</?[A-Za-z])"), link)
 
 
 def _shown_pages(pages: DataFrame) -> DataFrame:

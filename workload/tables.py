@@ -183,8 +183,13 @@ def shop_listing(part: DataFrame) -> DataFrame:
 
 
 def shop_details(part: DataFrame) -> DataFrame:
-    """Product pages of the same shop, with the faults of the raw offers."""
-    o = offers_raw(part)
+    """Product pages of the same shop, with the faults of the raw offers.
+
+    The parts are dealt out before pages are made of them: a file of parts is much smaller than its pages, and one task may
+    read it all.
+    """
+    spread = int(part.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    o = offers_raw(part.repartition(spread))
 
     def block(before: str, column: str, after: str):
         whole = F.concat(F.lit(before), F.col(column), F.lit(after))
