@@ -182,7 +182,7 @@ def stored_pages(spark, sf_dir):
     """The pages as files, some of them in a western character set, read back: the fields of ``page_fields``."""
     pages = W.table(spark, sf_dir, "pages")
     source = scratch_path(spark, "page-files")
-    W.page_bytes(pages).write.partitionBy("page_id").text(source)
+    W.write_page_files(W.page_bytes(pages), source)
     read = pages_from_files(spark, source).drop("file")
     return fields_of(read, PAGE_TEXTS, PAGE_ATTRIBUTES)
 

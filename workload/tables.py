@@ -1,7 +1,11 @@
 """The given tables in the shapes the library reads, and the inline tables beside them."""
 
+import os
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopgrain import schema as S
@@ -42,6 +46,7 @@ SHOP_CATEGORIES = [
 ]
 SHOP_ROOT = "http://shop.example/catalogue/"
 PAGE_SIZE = 20
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's name for a null in a partition folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -228,6 +233,42 @@ def page_bytes(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", stored.cast("string").alias("value"))
 
 
+def write_page_files(pages: DataFrame, path: str) -> None:
+    """The rows of ``page_bytes`` as files ``page_id=<id>/part-<task>.txt`` below ``path``, each value ending in a line feed.
+
+    Rows of one id that meet in a task share its file, as with Spark's own text writer, which writes on any file system. In a
+    local or mounted folder that one starts several processes a page, to set the rights of its folder, its file and its checksum, so there
+    tasks write the files themselves. A repeated task writes the same files anew.
+    """
+    hadoop = pages.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    uri = hadoop.getFileSystem(pages.sparkSession._jsc.hadoopConfiguration()).makeQualified(hadoop).toUri()
+    if uri.getScheme() != "file":
+        pages.write.partitionBy("page_id").text(path)
+        return
+    root = uri.getPath()
+    os.makedirs(root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held, out = f"part-{TaskContext.get().partitionId():05d}.txt", None, None
+        try:
+            for batch in batches:
+                for key, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    folder = f"{root}/page_id={NULL_FOLDER if key is None else key}"
+                    if folder != held:
+                        if out is not None:
+                            out.close()
+                        os.makedirs(folder, exist_ok=True)
+                        held, out = folder, open(f"{folder}/{name}", "wb")
+                    out.write((value or b"") + b"\n")
+                yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], ["rows"])
+        finally:
+            if out is not None:
+                out.close()
+
+    rows = pages.select("page_id", F.col("value").cast("binary")).sortWithinPartitions("page_id")
+    rows.mapInArrow(write, "rows bigint").write.format("noop").mode("overwrite").save()
+
+
 def event_day(events: DataFrame) -> DataFrame:
     return events.withColumn("page_no", F.unix_date(F.col("ts").cast("date")).cast("bigint"))
 
