@@ -17,9 +17,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopgrain.operators.lookup import small
+from shopgrain.operators.lookup import by_merge, by_size, small
 from shopgrain.operators.ordinal import with_ordinal
-from shopgrain.sources.scratch import materialise, measured
+from shopgrain.sources.scratch import Size, materialise, measured
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
@@ -80,8 +80,8 @@ def _exact_sum(x: Column) -> Column:
     return F.sum(x.cast("decimal(32,6)")).cast("double")
 
 
-def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """rank, scale, multiplier: the dual's solution for written cells (rank, size, documents)."""
+def solved_multipliers(cells: DataFrame, targets: DataFrame) -> tuple[DataFrame, Size]:
+    """rank, scale, multiplier: the dual's solution for written cells (rank, size, documents), and its size."""
     scale = F.col("source_size") / F.col("documents")
     ratio = F.ln(F.col("target") / F.col("source_size"))
     state = targets.where("source_size > 0").select(
@@ -93,12 +93,13 @@ def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
         (scale * (math.log(CAP) + CLOSE)).alias("high"),
         F.lit(False).alias("done"),
     )
-    state = materialise(state, "dual")
+    state, size = measured(state, "dual")
+    most = targets.where("source_size > 0").select("rank", (F.col("source_size") * CAP).alias("most"))
     for _ in range(STEPS):
         tokens = F.col("documents") * F.col("size") * _rate()
         slope = F.when(_rate() < CAP, tokens * F.col("size") / F.col("scale")).otherwise(0.0)
         sums = (
-            cells.join(state.where("not done").select("rank", "scale", "multiplier"), "rank")
+            cells.join(by_size(state.where("not done").select("rank", "scale", "multiplier"), size), "rank")
             .groupBy("rank")
             .agg(_exact_sum(tokens).alias("tokens"), _exact_sum(slope).alias("slope"))
         )
@@ -114,7 +115,7 @@ def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
         at_cap = F.col("target") >= F.col("most") * (1 - CLOSE)
         stepped = (
             state.join(sums, "rank", "left")
-            .join(targets.select("rank", (F.col("source_size") * CAP).alias("most")), "rank")
+            .join(by_size(most, size), "rank")
             .withColumns({"gap": gap, "new_low": low, "new_high": high})
             .select(
                 "rank",
@@ -130,10 +131,10 @@ def solved_multipliers(cells: DataFrame, targets: DataFrame) -> DataFrame:
                 (F.col("done") | found | at_cap | stuck).alias("done"),
             )
         )
-        state = materialise(stepped, "dual")
+        state, size = measured(stepped, "dual")
         if state.where("not done").isEmpty():
             break
-    return state.select("rank", "scale", "multiplier")
+    return state.select("rank", "scale", "multiplier"), size
 
 
 def _place(fraction: Column, id_column: Column) -> Column:
@@ -143,18 +144,18 @@ def _place(fraction: Column, id_column: Column) -> Column:
     return F.greatest(F.lit(0), F.least(place, F.lit((1 << PLACE_BITS) - 1))).cast("bigint")
 
 
-def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
+def _thresholds(line: DataFrame, needs: DataFrame) -> tuple[DataFrame, Size]:
     """rank, threshold, exceptions: rows (rank, place, size) from the threshold on, but for the places in ``exceptions``,
-    which change sides, add up near to ``need`` (rank, need).
+    which change sides, add up near to ``need`` (rank, need). With the size.
     """
     shift = PLACE_BITS
-    state = materialise(
+    state, size = measured(
         needs.select("rank", "need", F.lit(0).cast("bigint").alias("prefix"), F.lit(0.0).alias("above")),
         "line",
     )
     while True:
         step = min(DIGIT_BITS, shift)
-        inside = line.join(state.select("rank", "prefix"), "rank").where(
+        inside = line.join(by_size(state.select("rank", "prefix"), size), "rank").where(
             F.shiftright("place", shift) == F.col("prefix")
         )
         shift -= step
@@ -169,7 +170,7 @@ def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
         )
         ahead = F.coalesce(F.sum("size").over(before), F.lit(0)).alias("ahead")
         # the first bin that reaches the need, or the last there is
-        reached = bins.select("*", ahead).join(state.select("rank", "need", "above"), "rank")
+        reached = bins.select("*", ahead).join(by_size(state.select("rank", "need", "above"), size), "rank")
         reached = reached.withColumn("over", F.col("above") + F.col("ahead") + F.col("size") >= F.col("need"))
         chosen = (
             reached.groupBy("rank", "need", "above")
@@ -194,13 +195,13 @@ def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
                 F.col("at.rows").alias("rows"),
             )
         )
-        state = materialise(chosen, "line")
+        state, size = measured(chosen, "line")
         if shift == 0 or state.where("rows > 1").isEmpty():
             break
     take = (F.col("above") + F.col("size") - F.col("need")) <= (F.col("need") - F.col("above"))
     low = F.shiftleft(F.col("prefix"), shift)
     gap = F.col("need") - F.col("above")
-    cut = materialise(
+    cut, size = measured(
         state.select(
             "rank",
             F.when(take, low).otherwise(low + F.lit(1 << shift)).alias("threshold"),
@@ -216,12 +217,12 @@ def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
         moved = F.when(below, F.col("size")).otherwise(-F.col("size"))
         left = F.col("gap") - moved
         best = (
-            places.join(cut, "rank")
+            places.join(by_size(cut, size), "rank")
             .where(F.abs(left) < F.abs("gap"))
             .groupBy("rank")
             .agg(F.min(F.struct(F.abs(left), F.col("place").alias("place"), left.alias("left"))).alias("best"))
         )
-        cut = materialise(
+        cut, size = measured(
             cut.join(best, "rank", "left").select(
                 "rank",
                 "threshold",
@@ -236,7 +237,7 @@ def _thresholds(line: DataFrame, needs: DataFrame) -> DataFrame:
             ),
             "thresholds",
         )
-    return cut.drop("gap")
+    return cut.drop("gap"), size
 
 
 def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
@@ -249,15 +250,15 @@ def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column:
         ),
         "sizes",
     )
-    targets = materialise(source_targets(sizes), "targets")
+    targets, targets_size = measured(source_targets(sizes), "targets")
     counted = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("documents"))
-    ranks = targets.select("rank", F.col("source").alias("of_source"))
+    ranks = by_size(targets.select("rank", F.col("source").alias("of_source")), targets_size)
     cells = materialise(
         counted.join(ranks, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source"), "cells"
     )
-    solved = solved_multipliers(cells, targets)
-    rated = materialise(
-        cells.join(solved, "rank", "left")
+    solved, solved_size = solved_multipliers(cells, targets)
+    rated, rated_size = measured(
+        cells.join(by_size(solved, solved_size), "rank", "left")
         .withColumn("rate", F.coalesce(_rate(), F.lit(1.0)))
         .select("source", "rank", "size", "documents", "rate"),
         "rates",
@@ -265,12 +266,13 @@ def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column:
     whole = rated.groupBy("rank").agg(
         F.sum(F.col("documents") * F.col("size") * F.floor("rate")).alias("whole")
     )
-    needs = targets.join(whole, "rank").select("rank", (F.col("target") - F.col("whole")).alias("need"))
+    of_source = by_size(targets.select("rank", "target"), targets_size)
+    needs = whole.join(of_source, "rank").select("rank", (F.col("target") - F.col("whole")).alias("need"))
     fraction = F.col("rate") - F.floor("rate")
     by_cell = rated.select(F.col("source").alias("of_source"), F.col("size").alias("of_size"), "rank", "rate")
     line = materialise(
         sizes.join(
-            by_cell,
+            by_size(by_cell, rated_size),
             F.col("source").eqNullSafe(F.col("of_source")) & (F.col("size") == F.col("of_size")),
         )
         .where((fraction > 0) & (F.col("size") > 0))
@@ -279,13 +281,13 @@ def copy_rules(docs: DataFrame, id_column: str, source_column: str, text_column:
     )
     rules = (
         rated.drop("documents")
-        .join(_thresholds(line, needs), "rank", "left")
-        .join(targets.select("rank", "source_size", "target"), "rank")
+        .join(by_size(*_thresholds(line, needs)), "rank", "left")
+        .join(by_size(targets.select("rank", "source_size", "target"), targets_size), "rank")
         .drop("rank")
     )
     rules, size = measured(rules, "rules")
     # Measured to be small, they go to the documents; else the join shuffles both.
-    return sizes, F.broadcast(rules) if small(size) else rules
+    return sizes, F.broadcast(rules) if small(size) else by_merge(rules)
 
 
 def with_copies(sized: DataFrame, rules: DataFrame, id_column: str, source_column: str, size_column: str) -> DataFrame:

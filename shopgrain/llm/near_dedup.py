@@ -23,15 +23,16 @@ than the id and the text are left out, so no name can clash.
 import hashlib
 from collections.abc import Iterator
 from functools import cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.llm.batches import bounded, given_back, groups, text_slices, texts_of
-from shopgrain.llm.components import components
-from shopgrain.operators.lookup import lookup, salted_join
-from shopgrain.sources.scratch import materialise
+from shopgrain.llm.components import sized_components
+from shopgrain.operators.lookup import by_merge, by_size, lookup, salted_join
+from shopgrain.sources.scratch import Size, materialise, measured
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // BAND
@@ -213,10 +214,10 @@ def _full_sets(
     return found.dropDuplicates(["node"]) if repeats else found
 
 
-def _both(pairs: DataFrame, known: DataFrame) -> DataFrame:
+def _both(pairs: DataFrame, known: DataFrame, size: Size) -> DataFrame:
     """Written pairs (a, b) with the columns of ``known`` (node, ...) for either side, as ``<column>_a`` and ``<column>_b``.
 
-    A pivot is the a of as many pairs as its groups have members: they are spread.
+    ``size`` is that of ``known``. A pivot is the a of as many pairs as its groups have members: they are spread.
     """
     sides = {
         side: known.select(
@@ -225,12 +226,12 @@ def _both(pairs: DataFrame, known: DataFrame) -> DataFrame:
         )
         for side in "ab"
     }
-    return salted_join(pairs, sides["a"], ["a"], "inner").join(sides["b"], "b")
+    return salted_join(pairs, sides["a"], ["a"], "inner").join(by_size(sides["b"], size), "b")
 
 
-def _estimated(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, signs: DataFrame, size: Size) -> DataFrame:
     """Pairs (a, b) that pass the estimate."""
-    pairs = _both(materialise(pairs, "offered-pairs"), signs)
+    pairs = _both(materialise(pairs, "offered-pairs"), signs, size)
 
     def pass_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -246,11 +247,11 @@ def _estimated(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(pass_on, "a bigint, b bigint")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, size: Size) -> DataFrame:
     """Written pairs whose full sets reach the similarity."""
     shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
     union = F.size("hashes_a") + F.size("hashes_b") - shared
-    return _both(pairs, sets).where(100 * shared >= PERCENT * union).select("a", "b")
+    return _both(pairs, sets, size).where(100 * shared >= PERCENT * union).select("a", "b")
 
 
 def _links_in_blocks(mixed: DataFrame) -> DataFrame:
@@ -353,28 +354,31 @@ def _shared(one: np.ndarray, other: np.ndarray) -> int:
 
 def _links(
     docs: DataFrame, nodes: DataFrame, repeats: bool, id_column: str, text_column: str
-) -> DataFrame | None:
-    """node, component of the linked sets; None if nothing is linked. ``nodes``: node, first, set_key, n, registers."""
+) -> tuple[DataFrame, Size] | None:
+    """node, component of the linked sets; None if nothing is linked. ``nodes``: node, first, set_key, n, registers.
+
+    A join has a side of a counted size or is a merge join: ``bands`` has ``BANDS`` rows for each that Spark sees in the files.
+    """
     bands = nodes.select("node", F.posexplode("registers").alias("band", "key"))
     shared_bands = (
         bands.groupBy("band", "key")
         .agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
         .where("members > 1")
     )
-    shared = materialise(bands.join(shared_bands, ["band", "key"]), "bands")
-    wanted = shared.select("node").distinct()
-    signs = materialise(nodes.join(wanted, "node"), "candidates")
-    if signs.isEmpty():
+    shared = materialise(bands.join(by_merge(shared_bands), ["band", "key"]), "bands")
+    wanted = by_size(*measured(shared.select("node").distinct(), "wanted"))
+    signs, signs_size = measured(nodes.join(wanted, "node"), "candidates")
+    if not signs_size.rows:
         return None
-    sets = materialise(_full_sets(docs, signs, repeats, id_column, text_column), "sets")
+    sets, sets_size = measured(_full_sets(docs, signs, repeats, id_column, text_column), "sets")
     signs = signs.select("node", "n", "registers")
 
     pairs = shared.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    tested = materialise(_estimated(pairs.where("a <> b").distinct(), signs), "pairs")
-    links = materialise(_verified(tested, sets), "links")
+    tested, tested_size = measured(_estimated(pairs.where("a <> b").distinct(), signs, signs_size), "pairs")
+    links = materialise(_verified(tested, sets, sets_size), "links")
     for turn in range(1, PIVOT_ROUNDS + 1):
-        labels = components(links)
-        parts = shared.join(labels, "node", "left").withColumn(
+        labels, labels_size = sized_components(links)
+        parts = shared.join(by_size(labels, labels_size), "node", "left").withColumn(
             "component", F.coalesce("component", "node")
         )
         # another pivot in every band, so that a group of copies is held against many
@@ -392,17 +396,19 @@ def _links(
         )
         open_groups = materialise(parts.drop("pivot").join(mixed, ["band", "key"]), "mixed")
         if open_groups.isEmpty():
-            return labels
+            return labels, labels_size
         if turn == PIVOT_ROUNDS:
-            rest = open_groups.join(signs, "node").join(sets, "node")
-            return components(links.unionByName(_links_in_blocks(rest)))
+            rest = open_groups.join(by_size(signs, signs_size), "node").join(by_size(sets, sets_size), "node")
+            return sized_components(links.unionByName(_links_in_blocks(rest)))
         pairs = open_groups.where("component <> part").select(
             F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")
         )
-        found = _estimated(pairs.distinct(), signs).join(tested, ["a", "b"], "left_anti")
-        fresh = materialise(found, "pairs")
-        tested = tested.unionByName(fresh)
-        links = materialise(links.unionByName(_verified(fresh, sets)), "links")
+        offered = _estimated(pairs.distinct(), signs, signs_size)
+        fresh, fresh_size = measured(
+            offered.join(by_size(tested, tested_size), ["a", "b"], "left_anti"), "pairs"
+        )
+        tested, tested_size = tested.unionByName(fresh), Size(*map(add, tested_size, fresh_size))
+        links = materialise(links.unionByName(_verified(fresh, sets, sets_size)), "links")
     return None
 
 
@@ -431,7 +437,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFra
     known = nodes.select("node", "set_key", "label", "first")
     if labels is None:
         return signed, known.withColumnRenamed("node", "component")
-    placed = known.join(labels, "node", "left")
+    placed = known.join(by_size(*labels), "node", "left")
     return signed, placed.withColumn("component", F.coalesce("component", "node")).drop("node")
 
 
@@ -441,7 +447,7 @@ def near_duplicates(
     """id, n_shingles, component_id (smallest id linked, over any number of links), kept for every document."""
     signed, sets = _grouped(docs, id_column, text_column)
     smallest = sets.groupBy("component").agg(F.min("label").alias("component_id"))
-    named = sets.join(smallest, "component").select("set_key", "component_id")
+    named = sets.join(by_merge(smallest), "component").select("set_key", "component_id")
     # Copies share a set; frequent ones are spread.
     found = salted_join(signed.select("id", "n_shingles", "set_key"), named, ["set_key"])
     component = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
@@ -469,13 +475,13 @@ def one_of_each(
         wordless.where("id is null").select("id", "digest").distinct(),
     ]
     chosen = reduce(DataFrame.unionByName, firsts)
-    kept = materialise(
+    kept, kept_size = measured(
         chosen.select(F.col("id").alias("_kept_id"), F.col("digest").alias("_kept_digest")).distinct(),
         "kept",
     )
     same = F.col(id_column).eqNullSafe(F.col("_kept_id"))
     same &= _digest(text_column).eqNullSafe(F.col("_kept_digest"))
-    left = docs.join(kept, same, "left_semi")
+    left = docs.join(by_size(kept, kept_size), same, "left_semi")
     repeated = (
         signed.where("id is not null or set_key is not null")
         .groupBy("id", "digest")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.llm.batches import bounded, given_back, text_slices, texts_of
 from shopgrain.llm.learning import Adam, held_out, one_of_each_id, sampled_ids
+from shopgrain.operators.lookup import by_merge
 
 THRESHOLD = 0.7
 PIECE = 64  # characters of a run without white space that count as one word
@@ -195,7 +196,7 @@ def learn(
         F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label")
     ).where("label in (0, 1)")
     here = docs.select(F.col(id_column).alias("id")).where("id is not null").distinct()
-    picked = sampled_ids(marked.join(here, "id", "left_semi"), shape.sample)
+    picked = sampled_ids(marked.join(by_merge(here), "id", "left_semi"), shape.sample)
     texts = bounded(docs).select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

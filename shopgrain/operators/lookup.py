@@ -25,6 +25,22 @@ def fits_broadcast(
     return small(Size(*df.agg(*size_columns(df)).first()), max_rows, max_bytes)
 
 
+def by_merge(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles both sides, whatever Spark takes their sizes for."""
+    return df.hint("merge")
+
+
+def by_size(df: DataFrame, size: Size) -> DataFrame:
+    """``df`` of a counted size as the right side of a join: broadcast within the session's
+    ``spark.sql.autoBroadcastJoinThreshold``, else merged.
+
+    Left to itself, Spark holds compressed files, the usual length of a text and one item of an array
+    against the threshold, and the rows before an explode.
+    """
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if size.width <= most else by_merge(df)
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,

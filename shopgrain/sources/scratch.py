@@ -11,6 +11,7 @@ from operator import add
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -58,12 +59,16 @@ class Size(NamedTuple):
     width: int
 
 
+def _bytes(field: StructField) -> Column:
+    kind = field.dataType
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, LongType):
+        return F.array_size(field.name) * 8
+    return F.octet_length(F.col(field.name).cast("string"))
+
+
 def size_columns(df: DataFrame) -> tuple[Column, Column]:
     """Aggregates that give a table's ``Size``."""
-    width = reduce(
-        add,
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns),
-    )
+    width = reduce(add, (F.coalesce(_bytes(f), F.lit(0)) + 16 for f in df.schema))
     total = F.coalesce(F.sum(width.cast("bigint")), F.lit(0))
     return F.count(F.lit(1)).alias("rows"), total.alias("width")
 

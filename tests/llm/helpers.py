@@ -1,7 +1,11 @@
 """Small document tables with the cases that every operator must stand."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
+from shopgrain.sources import scratch
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 ROWS = [
@@ -39,3 +43,26 @@ def each_case(spark, operator):
     assert rows_of(operator(clashing(documents(spark)))) == rows_of(found)
     assert operator(documents(spark, [])).collect() == []
     return found
+
+
+@contextmanager
+def plans_of(spark, monkeypatch, module, threshold):
+    """Plans of the tables that an operator writes, by name, before they run, with a limit on automatic broadcasts."""
+    plans, write = {}, scratch.materialise
+
+    def recorded(df, name):
+        plans.setdefault(name, []).append(plan_of(df))
+        return write(df, name)
+
+    with monkeypatch.context() as m:
+        m.setattr(scratch, "materialise", recorded)
+        m.setattr(module, "materialise", recorded)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            yield plans
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ import re
 import pytest
 
 from shopgrain.llm import mixing
-from tests.llm.helpers import ROWS, documents, each_case
+from tests.llm.helpers import ROWS, documents, each_case, plan_of, plans_of
 
 
 def words(text):
@@ -97,3 +97,16 @@ def test_documents_are_repeated_with_their_columns(spark):
     seen = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
     assert seen == {d: n for d, n in copies.items() if n}
     assert mixing.mixed_documents(documents(spark, [])).collect() == []
+
+
+def test_rates_and_rules_are_broadcast_by_their_counted_size(spark, monkeypatch):
+    docs = documents(spark, [(i, "word " * (i % 1500), "en", f"s{i % 7}", 1) for i in range(3000)])
+    expected = sorted(r.doc_id for r in mixing.mixed_documents(docs).collect())
+    with plans_of(spark, monkeypatch, mixing, "200k") as plans:  # of 500 KB in files of 100
+        monkeypatch.setattr(mixing, "small", lambda size: False)
+        mixed = mixing.mixed_documents(docs)
+        last = plan_of(mixed)
+        assert sorted(r.doc_id for r in mixed.collect()) == expected
+    for plan in (plans["places"][0], last):
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" in plans["cells"][0]  # seven sources

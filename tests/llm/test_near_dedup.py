@@ -4,9 +4,9 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from shopgrain.llm import near_dedup
+from shopgrain.llm import components as graph, near_dedup
 from shopgrain.llm.components import components
-from tests.llm.helpers import documents, each_case
+from tests.llm.helpers import documents, each_case, plan_of, plans_of
 
 
 def shingles(text):
@@ -211,3 +211,26 @@ def test_rows_that_come_more_than_once(spark):
     rows = near_copies(40, lambda i: i % 10 if i % 3 else None)
     found = near_dedup.near_duplicates(documents(spark, rows * 5)).collect()
     assert len(found) == 200 and {r.component_id for r in found} == {min(i % 10 for i in range(40) if i % 3)}
+
+
+def test_exploded_bands_are_not_broadcast_by_the_size_of_the_files(spark, monkeypatch):
+    """Bands of these sets take 1.5 MB in memory, 32 times what Spark takes them for."""
+    docs = documents(spark, near_copies(2000, lambda i: i))
+    with plans_of(spark, monkeypatch, near_dedup, "256k") as plans:
+        left = near_dedup.one_of_each(docs)
+        last = plan_of(left)
+    assert "BroadcastHashJoin" not in plans["bands"][0] and "SortMergeJoin" in plans["bands"][0]
+    assert "BroadcastHashJoin" in last  # one row is kept
+    assert [r.doc_id for r in left.collect()] == [0]
+
+
+def test_sides_of_joins_are_broadcast_by_their_counted_size(spark, monkeypatch):
+    edges = [(i // 2, i) for i in range(1, 4000)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint")
+    kinds = ["SortMergeJoin", "BroadcastHashJoin"]
+    for threshold, (used, other) in (("128k", kinds), ("2m", kinds[::-1])):
+        with plans_of(spark, monkeypatch, graph, threshold) as plans:
+            found = components(df).collect()
+        assert {r.component for r in found} == {0} and len(found) == 4000
+        first = plans["roots"][0]
+        assert used in first and other not in first
